@@ -157,7 +157,7 @@ def _within(pairs_most: float) -> object:
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             if hi - lo < 2:
                 continue
-            odd = np.stack(batch["odd"].iloc[lo:hi].to_numpy())
+            odd = np.stack(batch["odd"].iloc[lo:hi].to_numpy()).view(U64)
             # Within one block every two meet once; between two blocks only across.
             for i in range(hi - lo - 1):
                 if xs[lo] != ys[lo] and block[lo + i] != xs[lo]:
