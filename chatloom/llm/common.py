@@ -83,8 +83,8 @@ class Words:
 
     BASE = 0x9E3779B97F4A7C15  # odd, so powers of it can be inverted modulo 2**64
 
-    def __init__(self, texts: list[str | None], lower: bool = False) -> None:
-        blobs = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    def __init__(self, texts: list[str | bytes | None], lower: bool = False) -> None:
+        blobs = [t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass") for t in texts]
         self.raw = b" ".join(blobs) + b" "
         b = np.frombuffer(self.raw, dtype=np.uint8)
         if lower:
