@@ -82,6 +82,7 @@ class Words:
     """
 
     BASE = 0x9E3779B97F4A7C15  # odd, so powers of it can be inverted modulo 2**64
+    STEP = 1 << 17
 
     def __init__(self, texts: list[str | bytes | None], lower: bool = False) -> None:
         blobs = [t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass") for t in texts]
@@ -100,13 +101,19 @@ class Words:
         self.h = self._hash(b)
 
     def _hash(self, b: np.ndarray) -> np.ndarray:
-        if not len(self.lo):
-            return np.zeros(0, dtype=U64)
+        """Polynomial hashes from prefix sums, a block of bytes at a time (a word is never cut)."""
+        out = np.empty(len(self.lo), dtype=U64)
+        cuts = np.searchsorted(self.lo, np.arange(0, len(b) + self.STEP, self.STEP))
         with np.errstate(over="ignore"):
-            power, inverse = _powers(len(b))
-            total = np.concatenate((np.zeros(1, U64), np.cumsum((b.astype(U64) + U64(1)) * power)))
-            h = (total[self.hi] - total[self.lo]) * inverse[self.lo]
-            return mixed(h ^ ((self.hi - self.lo).astype(U64) << U64(48)))
+            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if i == j:
+                    continue
+                base = int(self.lo[i])
+                lo, hi = self.lo[i:j] - base, self.hi[i:j] - base
+                power, inverse = _powers(int(hi[-1]))
+                total = np.concatenate((np.zeros(1, U64), np.cumsum((b[base : base + int(hi[-1])].astype(U64) + U64(1)) * power)))
+                out[i:j] = mixed(((total[hi] - total[lo]) * inverse[lo]) ^ ((hi - lo).astype(U64) << U64(48)))
+        return out
 
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}

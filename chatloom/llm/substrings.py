@@ -32,13 +32,13 @@ from .common import U64, Words, mixed, slices, table
 
 WINDOW, GRAM = 20, 4
 #: Bytes of text hashed together, of packed strings a task holds, and of those in a bucket.
-CHUNK, HELD, BUCKET = 1 << 20, 12 << 20, 12 << 20
+CHUNK, HELD, BUCKET = 1 << 20, 48 << 20, 16 << 20
 #: Share of documents looked at for hot minimisers (one in ``SAMPLED``).
 SAMPLED = 32
 LAST = np.iinfo(np.int64).max
 PACKED = "bucket int, words binary, places binary"
-RANGES = "doc long, text_key long, lo int, hi int"
-_PLACE = np.dtype([("doc", "<i8"), ("key", "<i8"), ("start", "<i4"), ("size", "<i4")])
+RANGES = "doc long, text_key int, lo int, hi int"
+_PLACE = np.dtype([("doc", "<i8"), ("key", "<i4"), ("start", "<i4"), ("size", "<i4")])
 
 with np.errstate(over="ignore"):
     MULT = mixed(np.arange(1, WINDOW + 1, dtype=U64)) | U64(1)
@@ -137,10 +137,12 @@ def _packed(hot: np.ndarray, buckets: int) -> object:
             yield flush(seen, repeats)
 
     def flush(seen: dict[bytes, tuple], repeats: list[tuple]) -> pd.DataFrame:
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         by: dict[int, list] = {}
         for words, place in seen.items():
             by.setdefault(place[4], []).append((words, place))
+        for items in by.values():  # like strings side by side
+            items.sort()
         rows = [(b, squeeze(b"\n".join(x[0] for x in items)), squeeze(np.array([x[1][:4] for x in items], dtype=_PLACE).tobytes())) for b, items in by.items()]
         for lo in range(0, len(repeats), 50_000):
             part = repeats[lo : lo + 50_000]
@@ -204,7 +206,8 @@ def _count(pdf: pd.DataFrame) -> pd.DataFrame:
         key = place["key"][owner[later]]
         doc, start = doc[later], start[later].astype(np.int64)
     else:
-        doc = key = start = np.zeros(0, dtype=np.int64)
+        doc = start = np.zeros(0, dtype=np.int64)
+        key = np.zeros(0, dtype=np.int32)
     lo = np.concatenate((start, repeat["start"].astype(np.int64)))
     hi = np.concatenate((start + WINDOW, repeat["start"].astype(np.int64) + repeat["size"] - 1 + WINDOW))
     return _merged(np.concatenate((doc, repeat["doc"])), np.concatenate((key, repeat["key"])), lo, hi)
@@ -267,7 +270,7 @@ def _removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text`` of every row."""
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(int(LAST))).alias("doc"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_key"), "text")
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(int(LAST))).alias("doc"), F.hash("text").alias("text_key"), "text")
     ranges = repeated_ranges(rows.drop("doc_id"))
     by_text = ranges.groupBy("doc", "text_key").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))  # of one text
     full = rows.join(by_text, ["doc", "text_key"], "left").select("doc_id", "text", "ranges")
