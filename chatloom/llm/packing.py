@@ -14,6 +14,7 @@ an empty result; a text of any length is tokenised whole; other columns are igno
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,12 +32,17 @@ NEARLY = 8
 #: Items that one group packs.
 GROUP_ITEMS = 16_384
 #: Distinct word strings whose ids a worker remembers (about 100 bytes each).
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", bin long, offset long, filled long, done boolean"
 
 
+#: Letters that every version of Unicode calls so, before an ASCII mark or digit.
+_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-@\[-`{-~])")
+_IDS: dict[str, _Ids] = {}
+
+
 class _Ids(dict):
     """Ids of a string of text as little-endian bytes, remembered for strings that recur."""
 
@@ -49,7 +55,12 @@ class _Ids(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def __missing__(self, s: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        # The pre-tokeniser parts a run of letters from the mark or digit after it.
+        word = _WORD.match(s)
+        if word:
+            ids = self[s[: word.end()]] + self[s[word.end() :]]
+        else:
+            ids = np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(self) >= REMEMBERED:
             self.clear()
         self[s] = ids
@@ -84,7 +95,8 @@ def tokenised(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = _Ids(tokenizer)
+        # Kept by the worker process from task to task.
+        ids = _IDS.get(tokenizer) or _IDS.setdefault(tokenizer, _Ids(tokenizer))
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
