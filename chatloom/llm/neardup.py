@@ -9,6 +9,7 @@ least ``MIN_PERCENT`` / 100. Exact copies of a set are one vertex. For the rest:
    which each sample flips one bit. With d differing bits in an exclusive or, similarity is
    about 1 + BITS / (4 * HASHES) * ln(1 - 2 * d / BITS); pairs estimated under
    ``MIN_ESTIMATE``, more than five standard errors below the threshold, are dropped.
+   So are pairs of sets whose sizes alone forbid the threshold.
 3. The pairs that pass are confirmed on their full sets.
 
 Pairs come in two waves, so that a bucket never yields all its pairs. First each vertex meets
@@ -35,12 +36,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import U64, Words, mixed, saved, slices, table
-from .components import components
+from ..operators.graph import components
 
 BANDS, ROWS = 24, 3
 #: MinHash samples in an odd sketch (the banded ones are among them) and its bits.
-HASHES, BITS = 128, 1024
-MIN_PERCENT, MIN_ESTIMATE = 80, 0.58
+HASHES, BITS = 256, 2048
+MIN_PERCENT, MIN_ESTIMATE = 80, 0.67
 #: Members of one block when a bucket is compared within itself.
 BLOCK = 1024
 #: Bytes of text that are hashed together.
@@ -133,9 +134,9 @@ def _estimate(a: Column, b: Column) -> Column:
     return F.when(free <= 0, 0.0).otherwise(F.lit(1.0) + F.lit(BITS / (4.0 * HASHES)) * F.log(free))
 
 
-def _within(pairs_most: float) -> object:
+def _within(least: float, percent: int) -> object:
     """Pairs from different components in each block pair of a bucket, by sketch."""
-    low = int(np.floor((1 - np.exp((pairs_most - 1) * 4 * HASHES / BITS)) * BITS / 2))
+    low = int(np.floor((1 - np.exp((least - 1) * 4 * HASHES / BITS)) * BITS / 2))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
@@ -152,7 +153,7 @@ def _within(pairs_most: float) -> object:
 
     def groups(batch: pd.DataFrame, cuts: list[int]) -> Iterator[pd.DataFrame]:
         ids, comp, block = (batch[c].to_numpy() for c in ("id", "component", "block"))
-        xs, ys = batch["x"].to_numpy(), batch["y"].to_numpy()
+        xs, ys, size = batch["x"].to_numpy(), batch["y"].to_numpy(), batch["n_shingles"].to_numpy()
         out = []
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             if hi - lo < 2:
@@ -164,6 +165,8 @@ def _within(pairs_most: float) -> object:
                     continue
                 rest = np.arange(i + 1, hi - lo) if xs[lo] == ys[lo] else np.flatnonzero(block[lo:hi] == ys[lo])
                 rest = rest[comp[lo + rest] != comp[lo + i]]
+                n = size[lo + rest]
+                rest = rest[100 * np.minimum(n, size[lo + i]) >= percent * np.maximum(n, size[lo + i])]
                 if len(rest):
                     d = np.bitwise_count(odd[rest] ^ odd[i]).sum(axis=1)
                     for j in rest[d <= low]:
@@ -209,16 +212,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = MIN_PERCENT)
     classes = known.groupBy("set_hash").agg(F.min("doc_id").alias("id"))
     copies = saved(known.select("doc_id", "set_hash").join(classes, "set_hash").filter("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")).distinct(), "neardup-copies")
     # One row for each different set; a doc_id with several texts stands for each of them.
-    heads = known.join(classes, "set_hash").filter("doc_id = id").dropDuplicates(["set_hash"]).select("id", "set_hash", "bands", "odd")
+    heads = known.join(classes, "set_hash").filter("doc_id = id").dropDuplicates(["set_hash"]).select("id", "set_hash", "n_shingles", "bands", "odd")
     members = heads.select("id", F.posexplode("bands").alias("band", "key"))
     # min by a hash that differs by band, so that bands have different hubs; combined map-side.
     hubs = members.groupBy("band", "key").agg(F.min_by("id", F.xxhash64("id", "band")).alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     hubs = saved(hubs, "neardup-hubs")
     shared = saved(members.join(hubs, ["band", "key"]), "neardup-buckets")
     stars = shared.filter("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-    odd = heads.groupBy("id").agg(F.collect_list("odd").alias("odds"))  # one, but for repeated ids
+    odd = heads.groupBy("id").agg(F.collect_list(F.struct("n_shingles", "odd")).alias("odds"))  # one, but for repeated ids
     passed = stars.join(odd.select(F.col("id").alias("a"), F.col("odds").alias("oa")), "a").join(odd.select(F.col("id").alias("b"), F.col("odds").alias("ob")), "b")
-    near = F.exists("oa", lambda x: F.exists("ob", lambda y: _estimate(x, y) >= MIN_ESTIMATE))
+    near = F.exists("oa", lambda x: F.exists("ob", lambda y: (F.least(x["n_shingles"], y["n_shingles"]) * 100 >= percent * F.greatest(x["n_shingles"], y["n_shingles"])) & (_estimate(x["odd"], y["odd"]) >= MIN_ESTIMATE)))
     first = saved(passed.filter(near).select("a", "b"), "neardup-stars")
 
     def texts(pairs: DataFrame) -> DataFrame:
@@ -232,13 +235,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = MIN_PERCENT)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     again = (
         placed.join(split, ["band", "key"])
-        .join(heads.select("id", "odd"), "id")
+        .join(heads.select("id", "n_shingles", "odd"), "id")
         .withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("band", "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "component", "odd")
+        .select("band", "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "component", "n_shingles", "odd")
     )
     again = again.repartition("band", "key", "x", "y").sortWithinPartitions("band", "key", "x", "y", "id")
-    second = again.mapInPandas(_within(MIN_ESTIMATE), "a long, b long").distinct().join(first, ["a", "b"], "left_anti")
+    second = again.mapInPandas(_within(MIN_ESTIMATE, percent), "a long, b long").distinct().join(first, ["a", "b"], "left_anti")
     second = saved(second, "neardup-rest")
     more = saved(_linked(second, texts(second), width, percent), "neardup-links-2")
     merged = components(links.union(more).union(copies))
