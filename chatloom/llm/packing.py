@@ -31,8 +31,8 @@ CAPACITY, END_ID = 2048, 0
 NEARLY = 8
 #: Items that one group packs.
 GROUP_ITEMS = 16_384
-#: Distinct word strings whose ids a worker remembers (about 100 bytes each).
-REMEMBERED = 600_000
+#: Distinct word strings whose ids a worker remembers (about 200 bytes each).
+REMEMBERED = 1_200_000
 #: Code points that are tokenised together.
 CHUNK = 1 << 20
 
