@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, slices, table
+from .common import saved, table
 
 #: Tokens of a sequence, and the id that ends a document.
 CAPACITY, END_ID = 2048, 0
@@ -31,10 +31,8 @@ CAPACITY, END_ID = 2048, 0
 NEARLY = 8
 #: Items that one group packs.
 GROUP_ITEMS = 16_384
-#: Distinct word strings whose ids a worker remembers (about 200 bytes each).
-REMEMBERED = 1_200_000
-#: Code points that are tokenised together.
-CHUNK = 1 << 20
+#: Distinct word strings whose ids a worker remembers (about 100 bytes each).
+REMEMBERED = 600_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", bin long, offset long, filled long, done boolean"
@@ -42,16 +40,11 @@ PLACED = PIECES + ", bin long, offset long, filled long, done boolean"
 
 #: Letters that every version of Unicode calls so, before an ASCII mark or digit.
 _WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-@\[-`{-~])")
-_SEAM = re.compile(r"\s ")
 _IDS: dict[str, _Ids] = {}
 
 
-class _Ids:
-    """Ids of texts as little-endian bytes, remembered for strings that recur.
-
-    Two generations are held: when the young one is full it becomes the old one, and what is
-    still asked for moves over, so frequent strings are never tokenised again.
-    """
+class _Ids(dict):
+    """Ids of a string of text as little-endian bytes, remembered for strings that recur."""
 
     def __init__(self, path: str) -> None:
         import os
@@ -60,74 +53,41 @@ class _Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _learn(self, strings: set[str]) -> None:
-        """Put the strings and their parts into the young generation, tokenising what is new in one call."""
-        halves = {}
-        for s in strings:
-            # The pre-tokeniser parts a run of letters from the mark or digit after it.
-            word = _WORD.match(s)
-            while word:
-                halves[s] = s[: word.end()], s[word.end() :]
-                s = s[word.end() :]
-                word = _WORD.match(s)
-        atoms = (strings.difference(halves)).union(x for pair in halves.values() for x in pair if x not in halves).difference(self.young)
-        new = [s for s in atoms if s not in self.old]
-        self.young.update((s, self.old[s]) for s in atoms if s in self.old)
-        for s, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.young[s] = np.array(found.ids, dtype="<u4").tobytes()
-        # A string stands before its own tail, so tails are put together first.
-        for s, (head, tail) in reversed(halves.items()):
-            if s not in self.young:
-                self.young[s] = self._whole(head, halves) + self._whole(tail, halves)
-
-    def _whole(self, s: str, halves: dict[str, tuple[str, str]]) -> bytes:
-        out = []
-        while s not in self.young:
-            head, s = halves[s]
-            out.append(self.young[head])
-        return b"".join(out) + self.young[s]
+
+    def __missing__(self, s: str) -> bytes:
+        # The pre-tokeniser parts a run of letters from the mark or digit after it.
+        word = _WORD.match(s)
+        if word:
+            ids = self[s[: word.end()]] + self[s[word.end() :]]
+        else:
+            ids = np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[s] = ids
+        return ids
 
     def of(self, text: str) -> bytes:
-        """Ids of a whole text."""
-        return self.of_all([text])[0]
-
-    def of_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts, looked up together."""
-        parted = [_strings(t) for t in texts]
-        asked = set().union(*parted)
-        missing = asked.difference(self.young)
-        if len(self.young) + len(missing) > REMEMBERED // 2:
-            self.old, self.young = self.young, {}
-            missing = asked
-        again = {s for s in missing if s in self.old}
-        self.young.update((s, self.old[s]) for s in again)
-        if len(again) < len(missing):
-            self._learn(missing - again)
-        ids = self.young.__getitem__
-        return [b"".join(map(ids, strings)) for strings in parted]
-
-
-def _strings(text: str) -> list[str]:
-    """Cut a text into strings that tokenise on their own.
-
-    The byte-level pre-tokeniser always parts a space from the non-space before it, so texts
-    fall apart at single spaces. White space before a space belongs to one run with it and
-    what follows: such places are not cut.
-    """
-    parts = [" " + part for part in text.split(" ")]
-    parts[0] = parts[0][1:]
-    if not _SEAM.search(text):
-        return parts
-    out, held = [], ""
-    for part in parts:
-        held += part
-        if held and not held[-1].isspace():
-            out.append(held)
-            held = ""
-    return [*out, held] if held else out
+        """Ids of a whole text.
+
+        The byte-level pre-tokeniser always parts a space from the non-space before it, so
+        texts fall apart at single spaces into strings that tokenise on their own.
+        """
+        if not text:
+            return b""
+        parts = text.split(" ")
+        out, held = [], None
+        for i, part in enumerate(parts):
+            s = part if i == 0 else " " + part
+            if held is not None:
+                s, held = held + s, None
+            # White space at a seam belongs to one run with what follows: keep it together.
+            if s[-1:].isspace() or not s:
+                held = s
+            else:
+                out.append(self[s])
+        if held:
+            out.append(self[held])
+        return b"".join(out)
 
 
 def tokenised(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -139,9 +99,8 @@ def tokenised(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
         ids = _IDS.get(tokenizer) or _IDS.setdefault(tokenizer, _Ids(tokenizer))
         for batch in batches:
             rows = []
-            texts = [t or "" for t in batch["text"]]
-            blobs = (blob + end for lo, hi in slices([len(t) for t in texts], CHUNK) for blob in ids.of_all(texts[lo:hi]))
-            for doc, blob in zip(batch["doc_id"], blobs, strict=True):
+            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+                blob = ids.of(text or "") + end
                 n = len(blob) // 4
                 pieces = -(-n // capacity)
                 hi = n - (pieces - 1) * capacity
