@@ -46,6 +46,8 @@ MIN_PERCENT, MIN_ESTIMATE = 80, 0.67
 BLOCK = 1024
 #: Bytes of text that are hashed together.
 CHUNK = 2 << 20
+#: Bit maps that mark wanted documents, each of 2**15 bits: 8 MB in all, at any size of input.
+MAPS = 2048
 
 _rng = np.random.default_rng(20260101)
 FACTORS = _rng.integers(1 << 62, 1 << 63, HASHES, dtype=np.uint64) * U64(2) + U64(1)
@@ -197,6 +199,20 @@ def _confirm(width: int, percent: int) -> object:
     return confirm
 
 
+def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with a ``doc_id`` in ``ids``.
+
+    Bit maps over hashes of the ids, of a fixed size whatever the input, drop most other rows
+    before the exact semi join shuffles texts.
+    """
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(MAPS << 15))
+    maps = ids.groupBy(F.shiftright(spot, 15).alias("map")).agg(F.bitmap_construct_agg(spot.bitwiseAND(F.lit((1 << 15) - 1))).alias("marks"))
+    at = spot.bitwiseAND(F.lit((1 << 15) - 1))
+    byte = F.conv(F.hex(F.substr("marks", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    there = (F.shiftright(spot, 15) == F.col("map")) & (F.getbit(byte, at.bitwiseAND(F.lit(7)).cast("int")) == 1)
+    return docs.join(F.broadcast(maps), there, "left_semi").join(ids, "doc_id", "left_semi")
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough. ``texts``: a row for each vertex."""
     right = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
@@ -226,7 +242,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = MIN_PERCENT)
 
     def texts(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        return docs.select("doc_id", "text").filter("text is not null").join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text")
+        return _marked(docs.select("doc_id", "text").filter("text is not null"), ids).select(F.col("doc_id").alias("id"), "text")
 
     links = saved(_linked(first, texts(first), width, percent), "neardup-links-1")
     so_far = components(links)
