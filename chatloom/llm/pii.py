@@ -7,9 +7,15 @@ within reach of entity e, n(t) documents that have t anywhere and N documents,
 
     p(e | t) = n(t, e) / n(t)          I(t; e) = log2(n(t, e) * N / (n(t) * n(e)))
 
-and t is disclosed next to e when both exceed their thresholds and at least ``MIN_TEXTS``
-different texts support it (copies of one text are one support). Such a term is generalised to
-the shape of its letters where it holds upper case, else removed.
+and t is disclosed next to e when both reach their thresholds and chance does not explain it:
+were e spread over the documents at random, at least n(t, e) of the n(t) would hold it with a
+probability of at most 2 ** -S, with q = n(e) / N, p = p(e | t) and
+
+    S = n(t, e) * (I + (1 - p) / p * log2((1 - p) / (1 - q)))
+
+(the Chernoff bound). Copies of one text are one support: S counts different texts for n(t, e).
+One text is enough for an identifier that stands in few documents of many. Such a term is
+generalised to the shape of its letters where it holds upper case, else removed.
 
 Everything is DataFrame expressions. Positions are code points, ends exclusive.
 
@@ -39,8 +45,8 @@ KINDS = ("email", "ip", "card", "phone")
 REACH = 120
 #: A term is a run of at least this many letters.
 TERM = r"\p{L}{4,}"
-#: Disclosure thresholds: p(e | t), I(t; e) in bits, and different texts that support them.
-MIN_P, MIN_BITS, MIN_TEXTS = 0.5, 6.0, 3
+#: Disclosure thresholds: p(e | t), I(t; e) in bits, and S in bits (a chance of one in 256).
+MIN_P, MIN_BITS, MIN_SURE = 0.5, 6.0, 8.0
 
 _SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
@@ -113,6 +119,14 @@ def _near(text: Column, base: Column) -> Column:
     return F.flatten(F.transform(base, lambda s: F.concat(side(s, F.greatest(s["start"] - REACH, F.lit(0)), s["start"]), side(s, s["end"], F.least(s["end"] + REACH, n)))))
 
 
+def _discloses(n_docs: int) -> Column:
+    """Whether a pair with ``n_te, texts, n_t, n_e`` is over the thresholds."""
+    p, q = F.col("n_te") / F.col("n_t"), F.col("n_e") / F.lit(float(n_docs))
+    bits = F.log2(p / q)
+    others = F.when((p < 1) & (q < 1), (1 - p) / p * F.log2((1 - p) / (1 - q))).otherwise(0.0)
+    return (p >= MIN_P) & (bits >= MIN_BITS) & (F.col("texts") * (bits + others) >= MIN_SURE)
+
+
 def disclosed(near: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
     """``entity, term`` pairs over the thresholds.
 
@@ -121,14 +135,13 @@ def disclosed(near: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
     the shuffle.
     """
     by_text = near.groupBy("entity", "term", "text_key").agg(F.count_distinct("row").alias("n"))
-    pairs = by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= MIN_TEXTS)
+    pairs = by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts"))
     entities = near.groupBy("entity").agg(F.count_distinct("row").alias("n_e"))
     pairs = saved(pairs.join(entities, "entity"), "pii-pairs")
-    # All terms are counted, map-side first; the pairs are few beside them.
+    # All terms are counted, map-side first.
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TERM), F.lit(0)))).alias("term"))
     counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    bits = F.log2(F.col("n_te") * F.lit(float(n_docs)) / (F.col("n_t") * F.col("n_e")))
-    return pairs.join(counts, "term").filter((F.col("n_te") / F.col("n_t") >= MIN_P) & (bits >= MIN_BITS)).select("entity", "term")
+    return pairs.join(counts, "term").filter(_discloses(n_docs)).select("entity", "term")
 
 
 def sanitised(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -91,6 +91,12 @@ def test_pii(spark, empty):
     assert pii.sanitised(empty).count() == 0
 
 
+def test_pii_one_text(spark):
+    rows = [(1, "Zephyrus met q@r.st today"), (2, "today we met")] + [(50 + i, "plain words here today") for i in range(900)]
+    got = {r.doc_id: r.pii_spans for r in pii.sanitised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s.kind, s.start, s.end) for s in got[1]] == [("email", 13, 19), ("term", 0, 8)] and not got[2]
+
+
 def test_search(docs, empty, rows):
     queries = docs.filter("doc_id % 2 = 0").select(F.col("doc_id").alias("query_id"), "text")
     got = collections.defaultdict(list)
