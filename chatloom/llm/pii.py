@@ -1,21 +1,22 @@
 """PII: patterns for direct identifiers, and information-theoretic sanitisation of what reveals them.
 
 Direct identifiers (emails, IPv4 addresses, card and phone numbers) are found by pattern. A
-word that stands near an identifier can still reveal it once the identifier is masked, when
-the word is rarely seen without it. The corpus tells: with n(t, e) documents that have term t
-within reach of entity e, n(t) documents that have t anywhere and N documents,
+word that stands with an identifier can still reveal it once the identifier is masked, when
+the word is rarely seen without it. The corpus tells: with n(t, e) documents that have both
+term t and entity e, n(t) documents that have t and N documents,
 
     p(e | t) = n(t, e) / n(t)          I(t; e) = log2(n(t, e) * N / (n(t) * n(e)))
 
-and t is disclosed next to e when both reach their thresholds and chance does not explain it:
+and t discloses e when both reach their thresholds and chance does not explain it:
 were e spread over the documents at random, at least n(t, e) of the n(t) would hold it with a
 probability of at most 2 ** -S, with q = n(e) / N, p = p(e | t) and
 
     S = n(t, e) * (I + (1 - p) / p * log2((1 - p) / (1 - q)))
 
 (the Chernoff bound). Copies of one text are one support: S counts different texts for n(t, e).
-One text is enough for an identifier that stands in few documents of many. Such a term is
-generalised to the shape of its letters where it holds upper case, else removed.
+One text is enough for an identifier that stands in few documents of many. Such a term
+is generalised to the shape of its letters where it holds upper case, else removed, wherever it
+stands, in documents without the identifier too. Letters of identifiers are no terms.
 
 Everything is DataFrame expressions. Positions are code points, ends exclusive.
 
@@ -41,24 +42,24 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 KINDS = ("email", "ip", "card", "phone")
 
-#: Code points on either side of an identifier in which terms count as near it.
-REACH = 120
 #: A term is a run of at least this many letters.
 TERM = r"\p{L}{4,}"
 #: Disclosure thresholds: p(e | t), I(t; e) in bits, and S in bits (a chance of one in 256).
 MIN_P, MIN_BITS, MIN_SURE = 0.5, 6.0, 8.0
+#: Most words of 64 bits in a bit map: more values than fit make it let more rows pass, never fewer.
+WORDS = 1 << 20
 
 _SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
-def _spans(text: Column, pattern: str, kind: str, offset: Column | None = None) -> Column:
+def _spans(text: Column, pattern: str, kind: str) -> Column:
     """Leftmost non-overlapping matches with their places, from the pieces between them."""
     empty = F.array().cast(f"array<{_SPAN}>")
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def place(pair: Column) -> Column:
         values, pieces = pair["v"], pair["p"]
-        start = F.struct(empty.alias("out"), (F.lit(0) if offset is None else offset).cast("int").alias("at"))
+        start = F.struct(empty.alias("out"), F.lit(0).cast("int").alias("at"))
 
         def step(acc: Column, i: Column) -> Column:
             value = F.get(values, i)
@@ -106,17 +107,51 @@ def _entity(s: Column) -> Column:
     return F.concat(s["kind"], F.lit(":"), plain)
 
 
-def _near(text: Column, base: Column) -> Column:
-    """Terms within reach of each identifier: array of ``entity, term, start, end``."""
-    n = F.char_length(text)
+def _free(text: Column, base: Column) -> Column:
+    """The text with blanks for the code points of its identifiers."""
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+
+    def step(acc: Column, s: Column) -> Column:
+        piece = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+        blanks = F.repeat(F.lit(" "), s["end"] - F.greatest(s["start"], acc["at"]))
+        return F.struct(F.concat(acc["out"], piece, blanks).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+
+    ordered = F.array_sort(F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    done = F.aggregate(ordered, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    return F.when(F.size(base) == 0, text).otherwise(done)
+
+
+def _terms(free: Column) -> Column:
+    return F.transform(F.regexp_extract_all(free, F.lit(TERM), F.lit(0)), F.lower)
+
+
+def _places(free: Column, wanted: Column) -> Column:
+    """Spans of the terms whose numbers in the text are in ``wanted``, which is sorted."""
+    empty = F.array().cast(f"array<{_SPAN}>")
+
+    def place(t: Column) -> Column:
+        start = F.struct(empty.alias("out"), F.lit(0).alias("at"), F.lit(0).alias("k"))
+
+        def step(acc: Column, i: Column) -> Column:
+            lo = acc["at"] + F.char_length(F.get(t["p"], i))
+            hi = lo + F.char_length(F.get(t["v"], i))
+            hit = F.get(t["w"], acc["k"]) == i
+            span = F.struct(F.lit("term").alias("kind"), lo.alias("start"), hi.alias("end"), F.lit(None).cast("string").alias("value"))
+            return F.struct(F.when(hit, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"), hi.alias("at"), F.when(hit, acc["k"] + 1).otherwise(acc["k"]).alias("k"))
+
+        return F.aggregate(F.sequence(F.lit(0), F.array_max(t["w"])), start, step, lambda acc: acc["out"])
+
+    values = F.regexp_extract_all(free, F.lit(TERM), F.lit(0))
+    return F.get(F.transform(F.array(F.struct(values.alias("v"), F.split(free, TERM, -1).alias("p"), wanted.alias("w"))), place), 0)
 
-    def side(s: Column, lo: Column, hi: Column) -> Column:
-        part = F.substring(text, lo + 1, hi - lo)
-        whole = F.filter(_spans(part, TERM, "term", lo), lambda t: ((t["start"] > lo) | (lo == 0) | (lo == s["end"])) & ((t["end"] < hi) | (hi == n) | (hi == s["start"])))
-        free = F.filter(whole, lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-        return F.transform(free, lambda t: F.struct(_entity(s).alias("entity"), F.lower(t["value"]).alias("term"), t["start"].alias("start"), t["end"].alias("end")))
 
-    return F.flatten(F.transform(base, lambda s: F.concat(side(s, F.greatest(s["start"] - REACH, F.lit(0)), s["start"]), side(s, s["end"], F.least(s["end"] + REACH, n)))))
+def _marked(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` whose ``column`` may be in ``wanted``: a bit map drops most others before a shuffle."""
+    words = 1 << min(WORDS.bit_length() - 1, max(10, wanted.count().bit_length()))
+    spot = F.xxhash64(column)
+    word, bit = F.shiftright(spot, 6).bitwiseAND(F.lit(words - 1)), spot.bitwiseAND(F.lit(63)).cast("int")
+    maps = wanted.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    return rows.join(F.broadcast(maps), (word == F.col("_word")) & (F.getbit("_bits", bit) == 1), "left_semi")
 
 
 def _discloses(n_docs: int) -> Column:
@@ -127,39 +162,46 @@ def _discloses(n_docs: int) -> Column:
     return (p >= MIN_P) & (bits >= MIN_BITS) & (F.col("texts") * (bits + others) >= MIN_SURE)
 
 
-def disclosed(near: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
-    """``entity, term`` pairs over the thresholds.
+def disclosed(rows: DataFrame, n_docs: int) -> DataFrame:
+    """``term``: those that are over the thresholds with some entity.
 
-    ``near``: a row for each document, entity and term near it, with ``text_key``. ``docs``:
-    all documents. Pairs are counted per text first, so copies and a hot entity shrink before
-    the shuffle.
+    ``rows``: all documents, with ``row``, ``text_key``, ``free`` text and ``entities``. Pairs
+    are counted per text first, so copies and a hot entity shrink before the shuffle.
     """
-    by_text = near.groupBy("entity", "term", "text_key").agg(F.count_distinct("row").alias("n"))
-    pairs = by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts"))
-    entities = near.groupBy("entity").agg(F.count_distinct("row").alias("n_e"))
-    pairs = saved(pairs.join(entities, "entity"), "pii-pairs")
-    # All terms are counted, map-side first.
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TERM), F.lit(0)))).alias("term"))
-    counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    return pairs.join(counts, "term").filter(_discloses(n_docs)).select("entity", "term")
+    private = F.size("entities") > 0
+    # All terms are counted, map-side first. No entity can have a larger share of a term's
+    # documents than all of them together, so most terms never make pairs.
+    words = rows.select(private.cast("long").alias("private"), F.explode(F.array_distinct(_terms(F.col("free")))).alias("term"))
+    counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"), F.sum("private").alias("n_p"))
+    counts = saved(counts.filter((F.col("n_p") > 0) & (F.col("n_p") / F.col("n_t") >= MIN_P)).select("term", "n_t"), "pii-counts")
+    known = rows.filter(private)
+    entities = known.select("row", F.explode("entities").alias("entity"))
+    told = known.select("row", "text_key", F.explode(F.array_distinct(_terms(F.col("free")))).alias("term"))
+    told = _marked(told, "term", counts).join(counts, "term")
+    by_text = told.join(entities, "row").groupBy("entity", "term", "text_key").agg(F.count(F.lit(1)).alias("n"), F.first("n_t").alias("n_t"))
+    pairs = by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts"), F.first("n_t").alias("n_t"))
+    pairs = pairs.filter(F.col("n_te") / F.col("n_t") >= MIN_P).join(entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")), "entity")
+    return saved(pairs.filter(_discloses(n_docs)).select("term").distinct(), "pii-terms")
 
 
 def sanitised(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The columns of ``docs`` (or those to ``keep``) and ``pii_base``, ``pii_spans`` (arrays of spans).
 
-    ``pii_spans`` holds the base spans and a span of kind ``term`` for each disclosed term.
+    ``pii_spans`` holds the base spans and a span of kind ``term`` for each place of a disclosed term.
     """
     known = docs.columns if keep is None else keep
-    rows = docs.withColumn("_pii_row", F.monotonically_increasing_id()).withColumn("_pii_text", F.coalesce("text", F.lit("")))
-    rows = rows.withColumn("pii_base", base_spans(F.col("_pii_text")))
-    rows = rows.withColumn("_pii_near", F.when(F.size("pii_base") > 0, _near(F.col("_pii_text"), F.col("pii_base"))))
-    rows = rows.withColumn("_pii_key", F.when(F.size("pii_base") > 0, F.xxhash64("_pii_text"))).select(*known, "pii_base", "_pii_row", "_pii_near", "_pii_key")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.withColumn("_pii_row", F.monotonically_increasing_id()).withColumn("pii_base", base_spans(text))
     # The row numbers hold only once they are written.
-    rows = saved(rows, "pii-base")
-    near = rows.filter(F.size("_pii_near") > 0).select(F.col("_pii_row").alias("row"), F.col("_pii_key").alias("text_key"), F.explode("_pii_near").alias("s")).select("row", "text_key", "s.*")
-    terms = disclosed(near, docs.select("text"), rows.count())
-    extra = near.join(terms, ["entity", "term"]).select(F.col("row").alias("_pii_row"), F.struct(F.lit("term").alias("kind"), "start", "end", F.lit(None).cast("string").alias("value")).alias("s"))
-    extra = extra.groupBy("_pii_row").agg(F.array_sort(F.collect_set("s")).alias("_pii_extra"))  # of one document
+    rows = saved(rows.select(*dict.fromkeys([*known, "text"]), "pii_base", "_pii_row"), "pii-base")
+    free = _free(text, F.col("pii_base")).alias("free")
+    entities = F.array_distinct(F.transform("pii_base", _entity)).alias("entities")
+    terms = disclosed(rows.select(F.col("_pii_row").alias("row"), F.xxhash64(text).alias("text_key"), free, entities), rows.count())
+    tokens = rows.select("_pii_row", F.posexplode(_terms(free)).alias("at", "term"))
+    hits = _marked(tokens, "term", terms).join(terms, "term", "left_semi")
+    hits = saved(hits.groupBy("_pii_row").agg(F.array_sort(F.collect_list("at")).alias("wanted")), "pii-hits")  # of one document
+    found = _marked(rows.select("_pii_row", "text", "pii_base"), "_pii_row", hits.select("_pii_row")).join(hits, "_pii_row")
+    extra = found.select("_pii_row", _places(free, F.col("wanted")).alias("_pii_extra"))
     out = rows.join(extra, "_pii_row", "left")
     spans = F.when(F.col("_pii_extra").isNull(), F.col("pii_base")).otherwise(F.concat("pii_base", "_pii_extra"))
     return out.withColumn("pii_spans", spans).select(*known, "pii_base", "pii_spans")

@@ -97,6 +97,16 @@ def test_pii_one_text(spark):
     assert [(s.kind, s.start, s.end) for s in got[1]] == [("email", 13, 19), ("term", 0, 8)] and not got[2]
 
 
+def test_pii_everywhere(spark):
+    far = "Zephyrus " + "it is so " * 40 + "q@r.st and zephyrus"
+    rows = [(i, f"{'abcde'[i] * 3} {far}") for i in range(5)] + [(9, "é zEphyrus!"), (10, "zephyrusé")] + [(50 + i, "plain words here") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.sanitised(df).withColumn("m", pii.masked(F.col("text"), F.col("pii_spans"))).collect()}
+    assert [(s.kind, s.start, s.end) for s in got[0].pii_spans] == [("email", 373, 379), ("term", 4, 12), ("term", 384, 392)]
+    assert got[0].m == "aaa Xxxxxxxx " + "it is so " * 40 + "[EMAIL] and "
+    assert (got[9].m, got[10].m) == ("é xXxxxxxx!", "zephyrusé") and not got[50].pii_spans
+
+
 def test_search(docs, empty, rows):
     queries = docs.filter("doc_id % 2 = 0").select(F.col("doc_id").alias("query_id"), "text")
     got = collections.defaultdict(list)
