@@ -1,6 +1,7 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A sketch keeps every shingle hash below a fixed fraction of the hash range. Which hashes it
+A sketch keeps every shingle hash below a fixed fraction of the hash range; the operator keeps
+the whole range, so that short texts lose nothing and likeness is exact. Which hashes it
 keeps never depends on a document's length, so the sketch of a union is the union of the
 sketches, and containment can be estimated between a page and a book. The fingerprint is the
 sorted hashes in hex, joined by commas.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import SPACES, range_bounds, range_bucket, table
 
 #: Words of a shingle, and the share of the hash range that a sketch keeps (one in ``ONE_IN``).
-SHINGLE, ONE_IN = 5, 8
+SHINGLE, ONE_IN = 5, 1
 #: Documents of a range: what one task sorts at once.
 ROWS_PER_RANGE = 2_000
 
@@ -30,12 +31,12 @@ ROWS_PER_RANGE = 2_000
 def sketch(text: Column, shingle: int = SHINGLE, one_in: int = ONE_IN) -> Column:
     """Sorted distinct shingle hashes below the threshold, as ``array<bigint>``."""
     words = F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
-    limit = -(2**63) + 2**64 // one_in
+    most = -(2**63) + 2**64 // one_in - 1
 
     def of(w: Column) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(w) - shingle, F.lit(0)))
         hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(shingle)]))
-        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < limit))))
+        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h <= most))))
 
     # transform over a one-element array binds the words once.
     return F.get(F.transform(F.array(words), of), 0)
@@ -46,7 +47,7 @@ def fingerprint(sketched: Column) -> Column:
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of the smaller document's shingles that are in the other one."""
+    """Share (estimated, where sketches keep a part) of the smaller document's shingles that are in the other one."""
     least = F.least(F.size(a), F.size(b))
     return F.when(least == 0, 0.0).otherwise(F.size(F.array_intersect(a, b)) / least)
 

@@ -76,6 +76,14 @@ def test_fingerprints(docs, empty, rows):
     assert fingerprints.with_next(empty).count() == 0
 
 
+def test_fingerprints_of_short_texts(spark):
+    texts = [f"a{i} b c d e" for i in range(40)]
+    df = spark.createDataFrame([(t, f"{t} f g h") for t in texts], "text string, longer string")
+    a, b = fingerprints.sketch(F.col("text")), fingerprints.sketch(F.col("longer"))
+    got = df.select(fingerprints.fingerprint(a).alias("f"), fingerprints.containment(a, b).alias("c")).collect()
+    assert len({r.f for r in got} - {""}) == 40 and all(r.c == 1 for r in got)
+
+
 def test_pii(spark, empty):
     text = "é a.b@c.de x 10.0.0.1 y 300.1.1.1 z 4111 1111 1111 1111 +49 (30) 1234-567 w"
     rows = [(1, text), (2, None), (3, ""), (4, "nothing 12 + 3 @ home"), (None, text)]
