@@ -5,12 +5,16 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: ASCII white space that separates words everywhere in this subpackage (fixed values).
 SPACES = r"[\x20\x09-\x0D]+"
 U64 = np.uint64
+#: Rows of a table of group sizes that is small enough to broadcast.
+FEW_GROUPS = 50_000
+#: What Spark itself limits an Arrow batch to, where a session says nothing.
+DEFAULT_BATCH = "67108864b"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,10 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a default is chosen only where the session names none."""
+    """The folder all executors share; a session on one machine that names none gets a default."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = spark.sparkContext.getCheckpointDir() or "/tmp/checkpoints/chatloom"
+        folder = spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "/tmp/checkpoints/chatloom"
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
@@ -36,6 +44,27 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Arrow batches of this session hold at most ``most`` bytes; ten thousand long texts would not fit a worker."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) in (None, DEFAULT_BATCH):
+        spark.conf.set(name, most)
+
+
+def least_hashed(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
+    """Up to ``most`` rows of each ``group``, those with the least hash of their ``key``.
+
+    Only rows whose hash is in the share of the range that holds half as many again are ranked, so
+    a group of any size brings a bounded number of rows to the task that ranks them. The sizes of
+    the groups travel to all tasks while there are few of them.
+    """
+    h = F.shiftrightunsigned(F.xxhash64(key), 1)
+    sizes = saved(rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")), "group-sizes")
+    low = rows.join(F.broadcast(sizes) if sizes.count() <= FEW_GROUPS else sizes, group).filter(h / F.lit(2.0**63) <= F.lit(1.5 * most) / F.col("_n"))
+    place = Window.partitionBy(group).orderBy(h, key)
+    return low.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= most).drop("_place", "_n")
+
+
 def range_bounds(ids: DataFrame, column: str, rows_per_bucket: int, most: int = 20_000) -> list[int]:
     """Upper bounds that cut ``column`` into ranges of about ``rows_per_bucket`` rows; at most ``most`` of them."""
     n = ids.agg(F.count(column)).first()[0]

@@ -13,11 +13,14 @@ least ``MIN_PERCENT`` / 100. Exact copies of a set are one vertex. For the rest:
 3. The pairs that pass are confirmed on their full sets.
 
 Pairs come in two waves, so that a bucket never yields all its pairs. First each vertex meets
-one hub of its bucket (each band has another hub), and components of the confirmed links are
-found. Then only buckets that still hold several components are compared, block by block, and
-only pairs from different components that pass the sketch are confirmed. Nothing is capped:
-after the second wave every pair that shares a bucket is linked, in one component, estimated
-too low, or refuted.
+the hub of its bucket, the member with the least hash (one order for all bands, so a group of
+near copies shares its hubs), and components of the confirmed links are found. Then only
+buckets that still hold several components are compared, block by block: members travel with
+their full sets, and pairs from different components that pass the sketch are confirmed where
+they meet, in the first bucket they share. Only links leave a block, never the pairs that were
+refuted, and what a link joins is not compared again. Buckets with the same members count once.
+Nothing is capped: after the second wave every pair that shares a bucket is linked, in one
+component, estimated too low, or refuted.
 
 Cases: words are runs of non-white-space bytes with A-Z lowered; a text with fewer words than
 a shingle has its whole sequence as its one shingle; without words it has no shingle and no
@@ -35,23 +38,23 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Words, mixed, saved, slices, table
+from .common import U64, Words, bounded_batches, mixed, saved, slices, table
 from ..operators.graph import components
 
 BANDS, ROWS = 24, 3
 #: MinHash samples in an odd sketch (the banded ones are among them) and its bits.
 HASHES, BITS = 256, 2048
 MIN_PERCENT, MIN_ESTIMATE = 80, 0.67
-#: Members of one block when a bucket is compared within itself.
-BLOCK = 1024
+#: Members of one block when a bucket is compared within itself, and shingles of their sets.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 19
 #: Bytes of text that are hashed together.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: Bit maps that mark wanted documents, each of 2**15 bits: 8 MB in all, at any size of input.
 MAPS = 2048
 
 _rng = np.random.default_rng(20260101)
 FACTORS = _rng.integers(1 << 62, 1 << 63, HASHES, dtype=np.uint64) * U64(2) + U64(1)
-SIGNATURE = "doc_id long, n_shingles long, set_hash string, bands array<long>, odd array<long>"
+SIGNATURE = "doc_id long, n_shingles long, set_hash string, v long, bands array<long>, odd array<long>"
 
 
 def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
@@ -99,6 +102,11 @@ def _minhashes(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _number(hashes: np.ndarray) -> int:
+    """A set's number: the first 64 bits of its digest."""
+    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()[:8], "big", signed=True)
+
+
 def _signatures(width: int) -> object:
     def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -124,7 +132,7 @@ def _signatures(width: int) -> object:
             words = np.packbits(flips, axis=1, bitorder="little").view("<i8")
             for j, i in enumerate(full):
                 bands[i], odd[i] = key[j].view(np.int64), words[j]
-        return pd.DataFrame({"doc_id": ids.to_numpy(), "n_shingles": [len(s) for s in sets], "set_hash": [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets], "bands": bands, "odd": odd}).astype({"doc_id": "Int64"})
+        return pd.DataFrame({"doc_id": ids.to_numpy(), "n_shingles": [len(s) for s in sets], "set_hash": [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets], "v": [_number(s) for s in sets], "bands": bands, "odd": odd}).astype({"doc_id": "Int64"})
 
     return signed
 
@@ -136,61 +144,82 @@ def _estimate(a: Column, b: Column) -> Column:
     return F.when(free <= 0, 0.0).otherwise(F.lit(1.0) + F.lit(BITS / (4.0 * HASHES)) * F.log(free))
 
 
+def _sets_of(width: int) -> object:
+    """Every text's sorted shingle hashes as bytes, and the number of its set."""
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts, ids = batch["text"].tolist(), batch["id"].to_numpy()
+            for lo, hi in slices([len(t) for t in texts], CHUNK):
+                found = _sets(texts[lo:hi], width)
+                yield pd.DataFrame({"id": ids[lo:hi], "v": [_number(s) for s in found], "hashes": [s.tobytes() for s in found]})
+
+    return sets
+
+
 def _within(least: float, percent: int) -> object:
-    """Pairs from different components in each block pair of a bucket, by sketch."""
+    """The links between components in each block pair of a bucket."""
     low = int(np.floor((1 - np.exp((least - 1) * 4 * HASHES / BITS)) * BITS / 2))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
+        held: list[pd.DataFrame] = []
+        key = None
         for batch in batches:
-            if held is not None:
-                batch = pd.concat([held, batch], ignore_index=True)
             keys = batch[["band", "key", "x", "y"]].to_numpy()
-            change = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            cuts = [0, *change.tolist()]
-            yield from groups(batch, cuts)
-            held = batch.iloc[cuts[-1] :]
-        if held is not None and len(held):
-            yield from groups(held.reset_index(drop=True), [0, len(held)])
-
-    def groups(batch: pd.DataFrame, cuts: list[int]) -> Iterator[pd.DataFrame]:
-        ids, comp, block = (batch[c].to_numpy() for c in ("id", "component", "block"))
-        xs, ys, size = batch["x"].to_numpy(), batch["y"].to_numpy(), batch["n_shingles"].to_numpy()
-        out = []
-        for lo, hi in zip(cuts, cuts[1:], strict=False):
-            if hi - lo < 2:
-                continue
-            odd = np.stack(batch["odd"].iloc[lo:hi].to_numpy()).view(U64)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if lo == hi:
+                    continue
+                if key is not None and tuple(keys[lo]) != key:
+                    yield group(pd.concat(held, ignore_index=True))
+                    held = []
+                key = tuple(keys[lo])
+                held.append(batch.iloc[lo:hi])
+        if held:
+            yield group(pd.concat(held, ignore_index=True))
+
+    def group(rows: pd.DataFrame) -> pd.DataFrame:
+        ids, comp, block, size = (rows[c].to_numpy().copy() for c in ("id", "component", "block", "n_shingles"))
+        band, x, y = (int(rows[c].iloc[0]) for c in ("band", "x", "y"))
+        out: list[tuple[int, int]] = []
+        if len(rows) > 1 and (comp != comp[0]).any():
+            odd = np.stack(rows["odd"].to_numpy()).view(U64)
+            bands = np.stack(rows["bands"].to_numpy())
+            sets = [np.frombuffer(h, dtype=U64) for h in rows["hashes"]]
             # Within one block every two meet once; between two blocks only across.
-            for i in range(hi - lo - 1):
-                if xs[lo] != ys[lo] and block[lo + i] != xs[lo]:
+            for i in range(len(rows)):
+                if x != y and block[i] != x:
                     continue
-                rest = np.arange(i + 1, hi - lo) if xs[lo] == ys[lo] else np.flatnonzero(block[lo:hi] == ys[lo])
-                rest = rest[comp[lo + rest] != comp[lo + i]]
-                n = size[lo + rest]
-                rest = rest[100 * np.minimum(n, size[lo + i]) >= percent * np.maximum(n, size[lo + i])]
-                if len(rest):
-                    d = np.bitwise_count(odd[rest] ^ odd[i]).sum(axis=1)
-                    for j in rest[d <= low]:
-                        out.append((min(ids[lo + i], ids[lo + j]), max(ids[lo + i], ids[lo + j])))
-        if out:
-            yield pd.DataFrame(sorted(set(out)), columns=["a", "b"])
+                rest = np.arange(i + 1, len(rows)) if x == y else np.flatnonzero(block == y)
+                rest = rest[comp[rest] != comp[i]]
+                rest = rest[100 * np.minimum(size[rest], size[i]) >= percent * np.maximum(size[rest], size[i])]
+                d = np.bitwise_count(odd[rest] ^ odd[i]).sum(axis=1)
+                rest, d = rest[d <= low], d[d <= low]
+                # A pair is judged in the first bucket it shares; the likeliest pairs come first.
+                first = (bands[rest] == bands[i]).argmax(axis=1) == band
+                for j in rest[first][np.argsort(d[first], kind="stable")].tolist():
+                    if comp[j] == comp[i]:
+                        continue
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                        out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                        comp[comp == comp[j]] = comp[i]
+        return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
 
     return compare
 
 
 def _confirm(width: int, percent: int) -> object:
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last: tuple[int, np.ndarray] | None = None
+        last: tuple[str, np.ndarray] | None = None
         for batch in batches:
-            a, b = batch["a"].tolist(), batch["b"].tolist()
             ta, tb = batch["text_a"].tolist(), batch["text_b"].tolist()
             keep = []
             for lo, hi in slices([len(t) for t in tb], CHUNK):
                 right = shingle_sets(tb[lo:hi], width)
                 for i in range(lo, hi):
-                    if last is None or last[0] != a[i]:
-                        last = (a[i], shingle_sets([ta[i]], width)[0])
+                    if last is None or last[0] != ta[i]:
+                        last = (ta[i], shingle_sets([ta[i]], width)[0])
                     x, y = last[1], right[i - lo]
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     keep.append(100 * both >= percent * (len(x) + len(y) - both))
@@ -223,43 +252,48 @@ def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = MIN_PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
+    bounded_batches(docs.sparkSession)
     signed = saved(docs.select("doc_id", "text").mapInPandas(_signatures(width), SIGNATURE), "neardup-signatures")
     known = signed.filter("doc_id is not null and set_hash is not null")
     classes = known.groupBy("set_hash").agg(F.min("doc_id").alias("id"))
     copies = saved(known.select("doc_id", "set_hash").join(classes, "set_hash").filter("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")).distinct(), "neardup-copies")
     # One row for each different set; a doc_id with several texts stands for each of them.
-    heads = known.join(classes, "set_hash").filter("doc_id = id").dropDuplicates(["set_hash"]).select("id", "set_hash", "n_shingles", "bands", "odd")
-    members = heads.select("id", F.posexplode("bands").alias("band", "key"))
-    # min by a hash that differs by band, so that bands have different hubs; combined map-side.
-    hubs = members.groupBy("band", "key").agg(F.min_by("id", F.xxhash64("id", "band")).alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    hubs = saved(hubs, "neardup-hubs")
-    shared = saved(members.join(hubs, ["band", "key"]), "neardup-buckets")
+    heads = known.join(classes, "set_hash").filter("doc_id = id").dropDuplicates(["set_hash"]).select("id", "v", "n_shingles", "bands", "odd")
+    members = heads.select("id", "v", "n_shingles", F.posexplode("bands").alias("band", "key"))
+    place = F.xxhash64("id", "v")
+    hubs = members.groupBy("band", "key").agg(
+        F.min_by("id", place).alias("hub"), F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"), F.bit_xor(place).alias("s"), F.bit_xor(F.xxhash64("v", "id")).alias("t")
+    )
+    # Of buckets with the same members the one of the first band stays.
+    same = hubs.filter("n > 1").groupBy("n", "s", "t").agg(F.min(F.struct("band", "key", "hub", "shingles")).alias("b"))
+    hubs = saved(same.select("b.*", "n"), "neardup-hubs")
+    shared = saved(members.drop("n_shingles").join(hubs, ["band", "key"]), "neardup-buckets")
     stars = shared.filter("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     odd = heads.groupBy("id").agg(F.collect_list(F.struct("n_shingles", "odd")).alias("odds"))  # one, but for repeated ids
     passed = stars.join(odd.select(F.col("id").alias("a"), F.col("odds").alias("oa")), "a").join(odd.select(F.col("id").alias("b"), F.col("odds").alias("ob")), "b")
     near = F.exists("oa", lambda x: F.exists("ob", lambda y: (F.least(x["n_shingles"], y["n_shingles"]) * 100 >= percent * F.greatest(x["n_shingles"], y["n_shingles"])) & (_estimate(x["odd"], y["odd"]) >= MIN_ESTIMATE)))
     first = saved(passed.filter(near).select("a", "b"), "neardup-stars")
 
-    def texts(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    def texts(ids: DataFrame) -> DataFrame:
         return _marked(docs.select("doc_id", "text").filter("text is not null"), ids).select(F.col("doc_id").alias("id"), "text")
 
-    links = saved(_linked(first, texts(first), width, percent), "neardup-links-1")
+    ends = first.select(F.col("a").alias("doc_id")).union(first.select(F.col("b").alias("doc_id"))).distinct()
+    links = saved(_linked(first, texts(ends), width, percent), "neardup-links-1")
     so_far = components(links)
     placed = shared.join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band", "key")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    open_ = saved(placed.join(split, ["band", "key"]).select("band", "key", "id", "v", "component", "n", "shingles"), "neardup-open")
+    # Distinct first: rows that share an id and a text would double the set.
+    sets = texts(open_.select(F.col("id").alias("doc_id")).distinct()).mapInPandas(_sets_of(width), "id long, v long, hashes binary").dropDuplicates(["id", "v"])
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    whole = open_.join(heads.join(sets, ["id", "v"]), ["id", "v"])
     again = (
-        placed.join(split, ["band", "key"])
-        .join(heads.select("id", "n_shingles", "odd"), "id")
-        .withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+        whole.withColumn("block", F.pmod(place, blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("band", "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "component", "n_shingles", "odd")
+        .select("band", "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "component", "n_shingles", "odd", "bands", "hashes")
     )
-    again = again.repartition("band", "key", "x", "y").sortWithinPartitions("band", "key", "x", "y", "id")
-    second = again.mapInPandas(_within(MIN_ESTIMATE, percent), "a long, b long").distinct().join(first, ["a", "b"], "left_anti")
-    second = saved(second, "neardup-rest")
-    more = saved(_linked(second, texts(second), width, percent), "neardup-links-2")
+    again = again.repartition("band", "key", "x", "y").sortWithinPartitions("band", "key", "x", "y")
+    more = saved(again.mapInPandas(_within(MIN_ESTIMATE, percent), "a long, b long"), "neardup-links-2")
     merged = components(links.union(more).union(copies))
     return signed.join(merged.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id",
