@@ -1,6 +1,7 @@
 """The training-data operators against brute force on small tables with awkward rows."""
 
 import collections
+import json
 import re
 import zlib
 
@@ -152,7 +153,10 @@ def test_packing(docs, empty, rows):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
     strange = ["a  b\n\n c", " lead", "trail \n", "don't  stop's", "x y 　 z", "12,5% é&&& a$$$"]
-    assert [packing._Ids(path).of(t) for t in strange] == [np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in strange]
+    strange += ["".join(chr(c) for c in range(i, i + 64)) for i in [*range(0, 0x3100, 64), 0xFF00, 0x1F600]] + ["x<|endoftext|> y", "a" * 3000, " " * 500 + "z"]
+    for encode in (packing.encoder(path), packing._plain(path)):
+        assert [encode(t).tolist() for t in strange] == [tok.encode(t, add_special_tokens=False).ids for t in strange]
+    assert packing._ranked(json.loads(open(path).read())) is not None
     stored = packing.saved(packing.tokenised(docs, path, capacity=512), "test-pieces")
     out = packing.packed(stored, capacity=512, group_items=16).orderBy("sequence_id", "offset").collect()
     pieces = collections.defaultdict(list)
