@@ -8,6 +8,29 @@ STEP_CONTEXTS = ("on_script", "off_script", "transition", "unknown")
 POLARITIES = ("pos", "neu", "neg")
 OUTCOMES = ("booked", "lost", "ambiguous")
 UNKNOWN = "unknown"
+OBJECTION_IDS = ("price", "location", "time_slot", "competitor", "hesitation_vou_pensar", "delegated_talk_to_someone", "delayed_response_te_falo", "trust_boundary_male", "other")
+#: A customer message confirms when it holds one of these, inside words too.
+CONFIRMATIONS = ("ok", "okay", "perfeito", "confirm", "fechad", "combinad", "obrigad", "agendad", "até ", "ate ", "pode ser", "valeu", "maravilh", "beleza", "show", "blz", "👍")
+#: Records that stand for no answer and are asked for again.
+STUB_CRITIQUE, STUB_EVIDENCE = "(não avaliado)", "(stub)"
+#: Stages that need their sections and tables by these names.
+SECTIONS = (
+    "## 1. Resumo executivo",
+    "## 2. Análise por etapa do script",
+    "## 3. O que dizemos que funciona (top 10 templates positivos)",
+    "## 4. O que dizemos que pode melhorar (top 10 templates negativos)",
+    "## 5. Viradas de jogo (top 20 turnarounds)",
+    "## 6. Padrões de argumentação vencedora",
+    "## 7. Lacunas no script",
+)
+DEAL_COLUMNS = ("telefone", "data", "tipo_objecao", "mensagem_cliente", "resposta_vencedora", "confirmacao", "labels")
+CSV_COLUMNS = {
+    "turnarounds.csv": DEAL_COLUMNS,
+    "lost_deals.csv": DEAL_COLUMNS,
+    "per_step.csv": ("step_id", "on_script_count", "off_script_count", "top_intents", "top_objections", "top_clusters"),
+    "spa_templates_scored.csv": ("template_id", "canonical_text", "instance_count", "warmth", "clarity", "script_adherence", "polarity", "critique"),
+    "off_script_clusters.csv": ("step_id", "medoid_text", "size", "example_msg_ids"),
+}
 
 MIN_MESSAGES = 20
 FUZZY_THRESHOLD = 88

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import domain
+from ..functions.text import stripped
+from ..storage import saved
+from .ordered import with_parent_step
+from .templates import top_values
+
+#: Dimensions of an embedded text.
+DIMS = 384
 
 
 def medoids(vectors: DataFrame, group: str, key: str, vector: str) -> DataFrame:
@@ -122,13 +132,74 @@ def density_clusters(vectors: DataFrame, group: str, key: str, vector: str, leas
     return vectors.select(group, key, vector).groupBy(group).applyInPandas(run, f"{group} {kind[group]}, {key} {kind[key]}, cluster int")
 
 
+def embedded(texts: DataFrame, key: str, dims: int = DIMS) -> DataFrame:
+    """``key, vector``: hashed character n-grams of one to four letters, as an offline stand-in for a sentence model.
+
+    The same text always gives the same vector, of length one; a blank text gives zeros. Another
+    embedder is any function from ``texts(key, text)`` to ``key, vector``.
+    """
+
+    @F.pandas_udf("array<float>")
+    def vectors(batch: pd.Series) -> pd.Series:
+        out = []
+        for text in batch:
+            t = f" {(text or '').lower().strip()} "
+            v = np.zeros(dims, dtype=np.float32)
+            for n in range(1, 5):
+                for i in range(len(t) - n + 1 if t.strip() else 0):
+                    h = zlib.crc32(t[i : i + n].encode("utf-8", "surrogatepass"))
+                    v[h % dims] += 1 if h >> 31 else -1
+            size = float(np.linalg.norm(v))
+            out.append((v / size if size else v).tolist())
+        return pd.Series(out)
+
+    return texts.select(key, vectors("text").alias("vector"))
+
+
 def summaries(clustered: DataFrame, vectors: DataFrame, texts: DataFrame, group: str, key: str, vector: str) -> DataFrame:
-    """Medoid text, size and first examples of each cluster, without noise."""
-    rows = clustered.filter("cluster >= 0").withColumn("_c", F.struct(group, "cluster"))
-    best = medoids(rows.join(vectors.select(key, vector), key), "_c", key, vector)
-    examples = rows.groupBy("_c").agg(F.slice(F.array_sort(F.collect_list(key)), 1, domain.EXAMPLES).alias("example_msg_ids"))
-    out = best.join(examples, "_c").join(texts.select(F.col(key).alias("medoid"), F.col("text").alias("medoid_text")), "medoid", "left")
-    return out.select(F.col("_c").getField(group).alias(group), "medoid_text", "size", "example_msg_ids")
+    """``group, cluster, medoid_text, size, example_msg_ids, rank`` of each cluster, without noise.
+
+    Examples are the first by ``key``, ranked before they are gathered; ``rank`` is by size, the
+    largest first, then by cluster.
+    """
+    rows = clustered.filter("cluster >= 0").withColumn("_cluster", F.struct(group, "cluster"))
+    best = medoids(rows.join(vectors.select(key, vector), key), "_cluster", key, vector)
+    place = F.row_number().over(Window.partitionBy("_cluster").orderBy(key))
+    few = rows.withColumn("_r", place).filter(F.col("_r") <= domain.EXAMPLES)
+    examples = few.groupBy("_cluster").agg(F.array_sort(F.collect_list(key)).alias("example_msg_ids"))
+    out = best.join(examples, "_cluster").join(texts.select(F.col(key).alias("medoid"), F.col("text").alias("medoid_text")), "medoid", "left")
+    out = out.select(F.col("_cluster").getField(group).alias(group), F.col("_cluster.cluster").alias("cluster"), "medoid_text", "size", "example_msg_ids")
+    return out.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(F.desc("size"), "cluster")))
+
+
+def off_script(labelled: DataFrame, messages: DataFrame) -> DataFrame:
+    """``msg_id, parent_step, text`` of customers' off-script messages that say something."""
+    rows = labelled.filter("not from_me and step_context = 'off_script'").join(messages.select("chat_id", "msg_id", F.col("text").alias("_t")), ["chat_id", "msg_id"])
+    return rows.select("msg_id", "parent_step", stripped(F.col("_t")).alias("text")).filter("text <> ''")
+
+
+def aggregations(labelled: DataFrame, messages: DataFrame, embedder: Callable[[DataFrame, str], DataFrame] = embedded) -> tuple[DataFrame, DataFrame]:
+    """What is said at each step, and clusters of what is said off script.
+
+    First ``step_id, on_script_count, off_script_count, top_intents, top_objections`` (arrays of
+    ``value, n``); then ``step_id, cluster, medoid_text, size, example_msg_ids, rank``, where the
+    step ``unknown`` holds messages before any step. A label without its message counts, at the
+    step ``unknown``.
+    """
+    timed = labelled.join(messages.select("chat_id", "msg_id", "ts_ms"), ["chat_id", "msg_id"])
+    parents = with_parent_step(timed).select("chat_id", "msg_id", "parent_step", "ts_ms")
+    rows = labelled.join(parents, ["chat_id", "msg_id"], "left").withColumn("parent_step", F.coalesce("parent_step", F.lit(domain.UNKNOWN))).withColumn("_at", F.struct("chat_id", "ts_ms", "msg_id"))
+    rows = saved(rows, "aggregation-labels")
+    out = step_counts(rows)
+    for value, name in (("intent", "top_intents"), ("objection_type", "top_objections")):
+        top = top_values(rows.filter("not from_me"), "parent_step", value, "_at")
+        lists = top.groupBy("parent_step").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", F.col(value).alias("value"), "n"))), lambda s: F.struct(s["value"].alias("value"), s["n"].alias("n"))).alias(name))
+        out = out.join(lists, "parent_step", "left").withColumn(name, F.coalesce(name, F.array().cast("array<struct<value:string,n:bigint>>")))
+    texts = saved(off_script(rows, messages), "aggregation-texts")
+    vectors = saved(embedder(texts.select("msg_id", "text"), "msg_id"), "aggregation-vectors")
+    found = saved(density_clusters(texts.select("msg_id", F.col("parent_step").alias("step_id")).join(vectors, "msg_id"), "step_id", "msg_id", "vector"), "aggregation-clusters")
+    steps = out.select(F.col("parent_step").alias("step_id"), "on_script_count", "off_script_count", "top_intents", "top_objections")
+    return steps, summaries(found, vectors, texts, "step_id", "msg_id", "vector")
 
 
 def step_counts(messages: DataFrame) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import domain
+from ..functions.text import estimated_tokens, mentions_any, rendered, utc_date
+from .ordered import first_after, last_after, merged, windows_of, with_gaps
 
 
 def _objection() -> Column:
@@ -54,17 +58,62 @@ def located(detections: DataFrame, messages: DataFrame) -> DataFrame:
     return out.withColumn("winning_reply_excerpt", F.substring(F.coalesce("winning_reply_excerpt", "_reply"), 1, domain.EXCERPT_CHARS)).drop("_reply")
 
 
-def shrunk_radius(chats: DataFrame, objections: DataFrame, messages: DataFrame, budget: int = domain.TOKEN_BUDGET, most: int = domain.RADIUS) -> DataFrame:
-    """``chat_id, radius``: the widest windows around objections whose transcript fits the budget, at least 0."""
-    from ..functions.text import estimated_tokens, rendered
-    from .ordered import merged, windows_of
-
-    lengths = messages.select("chat_id", "pos", estimated_tokens(rendered(F.col("msg_id"), F.col("from_me"), F.col("text"))).alias("tokens"))
-    sums = lengths.withColumn("upto", F.sum("tokens").over(Window.partitionBy("chat_id").orderBy("pos")))
-    out = None
-    for radius in range(most + 1):
-        spans = merged(windows_of(chats, objections, radius=radius))
-        cost = spans.join(sums.select("chat_id", (F.col("pos") + 1).alias("b"), F.col("upto").alias("hi")), ["chat_id", "b"]).join(sums.select("chat_id", (F.col("pos") + 1).alias("a"), F.col("upto").alias("lo")), ["chat_id", "a"], "left")
-        fits = cost.groupBy("chat_id").agg(F.sum(F.col("hi") - F.coalesce("lo", F.lit(0))).alias("t")).select("chat_id", F.lit(radius).alias("radius"), (F.col("t") <= budget).alias("fits"))
-        out = fits if out is None else out.unionByName(fits)
-    return out.groupBy("chat_id").agg(F.coalesce(F.max(F.when(F.col("fits"), F.col("radius"))), F.lit(0)).alias("radius"))
+def shrunk_radius(chats: DataFrame, objections: DataFrame, messages: DataFrame, budget: int = domain.TOKEN_BUDGET, most: int = domain.RADIUS, tokens: Callable[[Column], Column] = estimated_tokens) -> DataFrame:
+    """``chat_id, radius``: the widest windows around objections whose transcript fits the budget, at least 0.
+
+    All radii are tried at once: windows carry theirs, and a window costs the difference of two
+    running sums. ``tokens`` counts the tokens of a line.
+    """
+    lengths = messages.select("chat_id", "pos", tokens(rendered(F.col("msg_id"), F.col("from_me"), F.col("text"))).alias("tokens"))
+    sums = lengths.select("chat_id", (F.col("pos") + 1).alias("at"), F.sum("tokens").over(Window.partitionBy("chat_id").orderBy("pos")).alias("upto"))
+    tried = chats.select("chat_id", "n", F.explode(F.sequence(F.lit(0), F.lit(most))).alias("radius"))
+    spans = merged(windows_of(tried, objections, radius="radius"))
+    edges = spans.select("chat_id", "radius", F.explode(F.array(F.struct(F.col("a").alias("at"), F.lit(-1).alias("sign")), F.struct(F.col("b").alias("at"), F.lit(1).alias("sign")))).alias("e"))
+    cost = edges.select("chat_id", "radius", F.col("e.at").alias("at"), F.col("e.sign").alias("sign")).join(sums, ["chat_id", "at"], "left")
+    spent = cost.groupBy("chat_id", "radius").agg(F.sum(F.col("sign") * F.coalesce("upto", F.lit(0))).alias("t"))
+    return spent.groupBy("chat_id").agg(F.coalesce(F.max(F.when(F.col("t") <= budget, F.col("radius"))), F.lit(0)).alias("radius"))
+
+
+def transcripts(messages: DataFrame, objections: DataFrame, budget: int = domain.TOKEN_BUDGET, tokens: Callable[[Column], Column] = estimated_tokens) -> DataFrame:
+    """``chat_id, transcript`` of ``messages`` with ``pos``: the lines of the merged windows, gaps between them told.
+
+    A transcript holds at most the budget unless the head, the tail and the objections alone exceed it.
+    """
+    sizes = messages.groupBy("chat_id").agg(F.count(F.lit(1)).alias("n"))
+    radius = shrunk_radius(sizes, objections, messages, budget, tokens=tokens)
+    spans = with_gaps(merged(windows_of(sizes.join(radius, "chat_id"), objections, radius="radius")).drop("radius"))
+    places = spans.select("chat_id", "gap", F.posexplode(F.sequence("a", F.col("b") - 1)).alias("k", "pos"))
+    line = rendered(F.col("msg_id"), F.col("from_me"), F.col("text"))
+    # Fixed value: how a gap reads.
+    told = F.when((F.col("k") == 0) & (F.col("gap") > 0), F.concat(F.lit("[... "), F.col("gap").cast("string"), F.lit(" mensagens ...]\n"), line)).otherwise(line)
+    lines = messages.join(places, ["chat_id", "pos"]).select("chat_id", F.struct("pos", told.alias("line")).alias("s"))
+    return lines.groupBy("chat_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["line"]), "\n").alias("transcript"))
+
+
+def deals(conversions: DataFrame, messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turnarounds with their paired lost deals, and lost deals, of ``conversions`` in ``conv_order``.
+
+    ``messages`` have ``pos``. A turnaround shows the objection, the reply that resolved it and the
+    first confirmation after that; a lost deal the objection and the last reply after it.
+    """
+    sizes = messages.groupBy("chat_id").agg(F.count(F.lit(1)).alias("n"), F.min_by("phone", "pos").alias("phone"))
+    at = messages.select("chat_id", F.col("pos").alias("first_objection_idx"), "ts_ms", F.col("text").alias("customer_message"))
+    rows = conversions.drop("phone", "n", "ts_ms").withColumn("first_objection_idx", F.col("first_objection_idx").cast("long")).join(sizes, "chat_id").join(at, ["chat_id", "first_objection_idx"])
+    rows = rows.withColumns({"date": utc_date(F.col("ts_ms")), "objection_type": F.col("first_objection_type")})
+    won, lost = rows.filter(is_turnaround()), rows.filter(is_lost_deal())
+    reply = messages.select("chat_id", F.col("pos").alias("resolution_idx"), F.col("text").alias("winning_reply"), F.col("msg_id").alias("winning_reply_msg_id"))
+    won = won.drop("winning_reply_excerpt").withColumn("resolution_idx", F.col("resolution_idx").cast("long")).join(reply, ["chat_id", "resolution_idx"])
+    sure = first_after(messages, won.select("chat_id", F.col("resolution_idx").alias("mark")), ~F.col("from_me") & mentions_any(F.col("text"), list(domain.CONFIRMATIONS)))
+    won = won.join(sure.select("chat_id", F.col("mark").alias("resolution_idx"), F.col("text").alias("confirmation")), ["chat_id", "resolution_idx"])
+    last = last_after(messages, lost.select("chat_id", F.col("first_objection_idx").alias("mark")), F.col("from_me"))
+    lost = lost.join(last.select("chat_id", F.col("mark").alias("first_objection_idx"), F.col("text").alias("winning_reply")), ["chat_id", "first_objection_idx"])
+    shown = ["conv_order", "chat_id", "phone", "date", "objection_type", "customer_message", "winning_reply"]
+    pairs = paired(won, lost).select("chat_id", "conv_order", "paired_lost_deals")
+    won = won.select(*shown, "winning_reply_msg_id", "confirmation").join(pairs, ["chat_id", "conv_order"])
+    return won, lost.select(*shown, F.lit("").alias("confirmation"))
+
+
+def objections_by_chat(labelled: DataFrame) -> DataFrame:
+    """``chat_id, objections``: a map from message to objection type, of customers' messages."""
+    rows = labelled.filter("objection_type is not null and not from_me").groupBy("chat_id", "msg_id").agg(F.max("objection_type").alias("objection_type"))
+    return rows.groupBy("chat_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("msg_id", "objection_type")))).alias("objections"))

@@ -1,8 +1,9 @@
-"""Enrichment: labels from a pluggable provider, packed, cached, checked and joined back."""
+"""Enrichment: records from a pluggable provider, packed, cached, retried, checked and joined back."""
 
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Iterator
 from typing import Any, Protocol
 
@@ -11,10 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import domain
+from ..storage import saved
 
 
 class Provider(Protocol):
-    """A pure function of a batch of items to records; it is pickled to the executors."""
+    """A pure function of a batch of items to records; it is pickled to the executors.
+
+    ``prompt`` tells providers that ask a model what to do with the items.
+    """
 
     name: str
 
@@ -22,7 +27,15 @@ class Provider(Protocol):
 
 
 class ProviderError(RuntimeError):
-    pass
+    """An answer that can't be used; asking again may help."""
+
+
+class QuotaError(ProviderError):
+    """A provider that is spent until ``until`` (seconds of the clock)."""
+
+    def __init__(self, message: str, until: float | None = None) -> None:
+        super().__init__(message)
+        self.until = until
 
 
 class BudgetExceeded(RuntimeError):
@@ -30,24 +43,54 @@ class BudgetExceeded(RuntimeError):
 
 
 class Chain:
-    """Providers in order: each is tried ``tries`` times before the next."""
+    """Providers in order: each is tried ``tries`` times before the next; a spent one rests."""
 
     name = "chain"
+    #: Seconds that a spent provider rests when it doesn't say how long.
+    REST = 3600.0
 
     def __init__(self, providers: list[Provider], tries: int = 2) -> None:
         self.providers, self.tries = providers, tries
+        self.resting: dict[int, float] = {}
+        self.fallbacks: list[str] = []
 
     def complete(self, items: list[dict[str, Any]]) -> list[dict[str, Any]]:
         last: Exception | None = None
-        for provider in self.providers:
+        for i, provider in enumerate(self.providers):
+            if time.time() < self.resting.get(i, 0.0):
+                continue
             for _ in range(self.tries):
                 try:
                     return provider.complete(items)
+                except QuotaError as e:
+                    last = e
+                    self.resting[i] = e.until or time.time() + self.REST
+                    break
                 except ProviderError as e:
                     last = e
+            self.fallbacks.append(f"{provider.name}: {last}")
         raise ProviderError("no provider answered") from last
 
 
+class Patient:
+    """A provider that is asked up to ``tries`` times, with twice the wait each time."""
+
+    def __init__(self, provider: Provider, tries: int = 5, wait: float = 1.0) -> None:
+        self.provider, self.tries, self.wait, self.name = provider, tries, wait, provider.name
+
+    def complete(self, items: list[dict[str, Any]]) -> list[dict[str, Any]]:
+        for k in range(self.tries):
+            try:
+                return self.provider.complete(items)
+            except QuotaError:
+                raise
+            except ProviderError:
+                if k == self.tries - 1:
+                    raise
+                time.sleep(self.wait * 2**k)
+        raise AssertionError
+
+
 def cost(tokens_in: Column, tokens_out: Column, price_in: Column, price_out: Column) -> Column:
     """Price of a call in dollars from prices of a million tokens; unknown prices cost nothing."""
     return F.coalesce((tokens_in * price_in + tokens_out * price_out) / F.lit(1e6), F.lit(0.0))
@@ -59,8 +102,8 @@ def guard(spent: float, projected: float, budget: float | None) -> None:
         raise BudgetExceeded(f"{spent + projected:.4f} of {budget:.4f}")
 
 
-def cache_key(provider: str, item: Column) -> Column:
-    return F.sha2(F.concat(F.lit(provider + "\n"), F.to_json(item)), 256)
+def cache_key(name: str, item: Column) -> Column:
+    return F.sha2(F.concat(F.lit(name + "\n"), item), 256)
 
 
 def pending(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -68,24 +111,87 @@ def pending(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return items.join(done.select(key), key, "left_anti")
 
 
+def packed(items: DataFrame, size: int, number: str = "idx") -> DataFrame:
+    """``batch, items`` (JSON, in order): ``size`` consecutive items each, by ``number``."""
+    names = [c for c in items.columns if c != number]
+    return items.groupBy(F.floor(F.col(number) / size).alias("batch")).agg(F.to_json(F.array_sort(F.collect_list(F.struct(number, *names)))).alias("items"))
+
+
+CALL = "batch long, cache_key string, bucket string, calls int, tokens_in long, tokens_out long, error string, records array<string>"
+
+
+def called(batches: DataFrame, provider: Provider, key: str, skip_errors: bool = False) -> DataFrame:
+    """A row for each batch, asked once, with the records for its own keys (JSON) and the usage.
+
+    Unknown keys are dropped, the last of repeated ones stays. A batch that the provider can't
+    answer ends the run, or with ``skip_errors`` keeps its error and no records.
+    """
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            rows = []
+            for batch, cached, text in zip(pdf["batch"], pdf["cache_key"], pdf["items"], strict=True):
+                asked = json.loads(text)
+                known = {i[key] for i in asked}
+                why, latest = None, {}
+                try:
+                    latest = {r[key]: r for r in provider.complete(asked) if r.get(key) in known}
+                except ProviderError as e:
+                    if not skip_errors:
+                        raise
+                    why = str(e)
+                answer = [json.dumps(r, ensure_ascii=False) for r in latest.values()]
+                rows.append((batch, cached, provider.name, 1, max(1, len(text) // 4), sum(len(a) for a in answer) // 4, why, answer))
+            yield pd.DataFrame(rows, columns=[f.split()[0] for f in CALL.split(", ")])
+
+    # A call costs money: its answer is stored before anything reads it twice.
+    return saved(batches.select("batch", "cache_key", "items").mapInPandas(run, CALL), "calls")
+
+
+def records(calls: DataFrame, schema: str) -> DataFrame:
+    return calls.select(F.explode("records").alias("r")).select(F.from_json("r", schema).alias("r")).select("r.*")
+
+
+def usage(calls: DataFrame) -> DataFrame:
+    """Calls and tokens by bucket: each provider's, and those the cache answered."""
+    return calls.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("calls", "tokens_in", "tokens_out")], F.count("error").alias("errors"))
+
+
 def enrich(items: DataFrame, provider: Provider, key: str, schema: str, size: int, number: str = "idx") -> DataFrame:
     """Records of ``items``, made ``size`` items at a time (by ``number``), unknown keys dropped.
 
     Batches are consecutive; a batch never crosses tasks.
     """
-    names = [c for c in items.columns if c != number]
-    packed = items.groupBy(F.floor(F.col(number) / size).alias("batch")).agg(F.to_json(F.array_sort(F.collect_list(F.struct(number, *names)))).alias("items"))
-    fields = [f.split()[0] for f in schema.split(", ")]
+    batches = packed(items, size, number).withColumn("cache_key", F.lit(None).cast("string"))
+    return records(called(batches, provider, key), schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for text in pdf["items"]:
-                asked = json.loads(text)
-                known = {i[key] for i in asked}
-                latest = {r[key]: r for r in provider.complete(asked) if r.get(key) in known}  # the last of repeated keys
-                yield pd.DataFrame([{f: r.get(f) for f in fields} for r in latest.values()], columns=fields)
 
-    return packed.mapInPandas(run, schema)
+def enrich_cached(items: DataFrame, provider: Provider, key: str, size: int, cache: str, version: str = "", number: str = "idx", skip_errors: bool = False) -> DataFrame:
+    """The calls for ``items``; batches that the table at ``cache`` has are not asked again.
+
+    A batch's key hashes its items, the provider's name and prompt, and ``version``. Answers
+    without error are added to the cache.
+    """
+    spark = items.sparkSession
+    name = "\n".join([provider.name, getattr(provider, "prompt", ""), version])
+    batches = saved(packed(items, size, number).withColumn("cache_key", cache_key(name, F.col("items"))), "batches")
+    try:
+        known = spark.read.schema(CALL).parquet(cache).dropDuplicates(["cache_key"])
+        known.isEmpty()
+    except Exception as e:  # noqa: BLE001  only a table that isn't there yet is no error
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        known = spark.createDataFrame([], CALL)
+    hits = batches.select("batch", "cache_key").join(known.drop("batch"), "cache_key").withColumns({"bucket": F.lit("cache"), "tokens_in": F.lit(0).cast("long"), "tokens_out": F.lit(0).cast("long")})
+    hits = saved(hits.select(*[f.split()[0] for f in CALL.split(", ")]), "cached")
+    fresh = called(batches.join(known, "cache_key", "left_anti"), provider, key, skip_errors)
+    fresh.filter("error is null").write.mode("append").parquet(cache)
+    return hits.unionByName(fresh)
+
+
+def unanswered(items: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Keys that were asked for and have no record."""
+    return items.select(key).join(found.select(key), key, "left_anti")
 
 
 def checked(records: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -96,8 +202,21 @@ def checked(records: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return records.withColumn("reject", why)
 
 
-def label_rules() -> dict[str, Column]:
-    return {"step_id": F.col("step_id").isin(*domain.STEP_IDS), "step_context": F.col("step_context").isin(*domain.STEP_CONTEXTS), "sentiment": F.col("sentiment").isin(*domain.POLARITIES)}
+def strict(records: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """The records, or an error at the first that breaks a rule."""
+    rows = checked(records, rules)
+    broken = F.raise_error(F.concat(F.lit("record breaks the rule "), F.col("reject"), F.lit(": "), F.to_json(F.struct(*records.columns))))
+    # The check stands in a column that is used, so that it can't be pruned.
+    first = records.columns[0]
+    return rows.withColumn(first, F.when(F.col("reject").isNull(), F.col(first)).otherwise(broken.cast(dict(records.dtypes)[first]))).drop("reject")
+
+
+def template_rules() -> dict[str, Column]:
+    return {"step_id": F.col("step_id").isNotNull() & F.col("step_id").isin(*domain.STEP_IDS)}
+
+
+def customer_rules() -> dict[str, Column]:
+    return {"step_context": F.col("step_context").isin(*domain.STEP_CONTEXTS), "objection_type": F.col("objection_type").isin(*domain.OBJECTION_IDS), "sentiment": F.col("sentiment").isin(*domain.POLARITIES)}
 
 
 def sentiment_rules() -> dict[str, Column]:
@@ -105,7 +224,7 @@ def sentiment_rules() -> dict[str, Column]:
 
 
 def conversion_rules() -> dict[str, Column]:
-    return {"conversion_score": F.col("conversion_score").between(0, 3), "final_outcome": F.col("final_outcome").isin(*domain.OUTCOMES)}
+    return {"conversion_score": F.col("conversion_score").between(0, 3), "final_outcome": F.col("final_outcome").isin(*domain.OUTCOMES), "first_objection_type": F.col("first_objection_type").isin(*domain.OBJECTION_IDS)}
 
 
 class KeywordProvider:
@@ -116,20 +235,87 @@ class KeywordProvider:
     def __init__(self, steps: dict[str, list[str]], objections: dict[str, list[str]], positive: list[str], negative: list[str]) -> None:
         self.steps, self.objections, self.positive, self.negative = steps, objections, positive, negative
 
+    def labels(self, text: str) -> tuple[str | None, str | None, str]:
+        low = text.lower()
+
+        def hit(table: dict[str, list[str]]) -> str | None:
+            return next((k for k, words in table.items() if any(w in low for w in words)), None)
+
+        tone = "pos" if any(w in low for w in self.positive) else "neg" if any(w in low for w in self.negative) else "neu"
+        return hit(self.steps), hit(self.objections), tone
+
     def complete(self, items: list[dict[str, Any]]) -> list[dict[str, Any]]:
         out = []
         for item in items:
-            text = (item.get("text") or "").lower()
-
-            def hit(table: dict[str, list[str]]) -> str | None:
-                return next((k for k, words in table.items() if any(w in text for w in words)), None)
-
-            step, objection = hit(self.steps), hit(self.objections)
-            tone = "pos" if any(w in text for w in self.positive) else "neg" if any(w in text for w in self.negative) else "neu"
+            step, objection, tone = self.labels(item.get("text") or "")
             out.append({**item, "step_id": step, "matches_script": step is not None, "step_context": "on_script" if step else "off_script", "intent": objection or step, "objection_type": objection, "sentiment": tone})
         return out
 
 
+class ScriptProvider(KeywordProvider):
+    """Offline answers to every question of the analysis, from the script's own words.
+
+    ``task`` is one of template, customer, score, conversion. A step is the one whose canonical
+    texts share most words with a text, an objection the first whose trigger a text holds.
+    """
+
+    POSITIVE = ("obrigad", "perfeito", "ótimo", "otimo", "adorei", "maravilh", "😊", "❤")
+    NEGATIVE = ("caro", "ruim", "não quero", "nao quero", "reclama", "péssim")
+
+    def __init__(self, script: dict[str, Any], task: str) -> None:
+        triggers = {o["id"]: [str(t).lower() for t in o.get("triggers") or []] for o in script.get("objection_taxonomy") or [] if o.get("id") in domain.OBJECTION_IDS}
+        super().__init__({}, triggers, list(self.POSITIVE), list(self.NEGATIVE))
+        self.task, self.name = task, f"script-{task}"
+        self.canon = [(str(s["id"]), [set(str(t).lower().split()) for t in s.get("canonical_texts") or []]) for s in script.get("steps") or []]
+
+    def step(self, text: str) -> tuple[str, float]:
+        words = set(text.lower().split())
+        best = max(((len(words & c) / len(words | c) if words | c else 0.0, -i, sid) for i, (sid, texts) in enumerate(self.canon) for c in texts), default=(0.0, 0, domain.STEP_IDS[0]))
+        return best[2], best[0]
+
+    def complete(self, items: list[dict[str, Any]]) -> list[dict[str, Any]]:
+        return [getattr(self, f"_{self.task}")(item) for item in items]
+
+    def _template(self, item: dict[str, Any]) -> dict[str, Any]:
+        step, share = self.step(item["text"])
+        return {"template_id": item["template_id"], "step_id": step, "matches_script": share >= 0.5, "deviation_note": None if share >= 0.5 else f"{share:.2f} of the words"}
+
+    def _customer(self, item: dict[str, Any]) -> dict[str, Any]:
+        _, objection, tone = self.labels(item["text"])
+        context = "off_script" if objection else "on_script" if item.get("hints") else "unknown"
+        return {"msg_id": item["msg_id"], "step_context": context, "intent": objection or ("question" if "?" in item["text"] else "statement"), "objection_type": objection, "sentiment": tone}
+
+    def _score(self, item: dict[str, Any]) -> dict[str, Any]:
+        _, _, tone = self.labels(item["text"])
+        _, share = self.step(item["text"])
+        return {"template_id": item["template_id"], "warmth": {"pos": 5, "neu": 3, "neg": 1}[tone], "clarity": 5 if len(item["text"]) < 200 else 3, "script_adherence": 1 + round(4 * share), "polarity": tone, "critique": ""}
+
+    def _conversion(self, item: dict[str, Any]) -> dict[str, Any]:
+        parts = map(self._line, item["transcript"].splitlines())
+        lines = [(int(p[0]), p[1], p[2]) for p in parts if p]
+        objection = next(((i, k) for i, who, text in lines if who == "cli" and (k := self.labels(text)[1])), (None, None))
+        after = [line for line in lines if objection[0] is not None and line[0] > objection[0]]
+        reply = next((i for i, who, _ in after if who == "spa"), None)
+        booked = any(who == "cli" and any(p in text.lower() for p in domain.CONFIRMATIONS) for _, who, text in (after or lines))
+        outcome = "booked" if booked else "lost" if objection[0] is not None else "ambiguous"
+        return {
+            "chat_id": item["chat_id"],
+            "conversion_score": 3 if booked else 0 if outcome == "lost" else 1,
+            "conversion_evidence": "a confirmation" if booked else "none",
+            "objection_msg_id": objection[0],
+            "first_objection_type": objection[1],
+            "resolution_msg_id": reply if booked else None,
+            "winning_reply_excerpt": None,
+            "final_outcome": outcome,
+        }
+
+    @staticmethod
+    def _line(line: str) -> tuple[str, str, str] | None:
+        head, _, text = line.partition(": ")
+        number, _, who = head.partition("] ")
+        return (number[1:], who, text) if number[:1] == "[" and number[1:].isdecimal() and who in ("spa", "cli") else None
+
+
 def merged_labels(messages: DataFrame, template_map: DataFrame, template_labels: DataFrame, customer_labels: DataFrame) -> DataFrame:
     """Labelled messages: agents through their template, customers directly; without a label, unknown."""
     rows = messages.join(template_map, "msg_id", "left").join(template_labels.withColumnRenamed("step_id", "_step"), "template_id", "left")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import domain
+from ..functions.formats import chat_line
+from ..functions.text import stripped
 
 
 def in_chat() -> Window:
@@ -17,6 +19,17 @@ def positioned(messages: DataFrame) -> DataFrame:
     return messages.withColumn("pos", (F.row_number().over(in_chat()) - 1).cast("long"))
 
 
+def nested(messages: DataFrame) -> DataFrame:
+    """``chat_id, messages``: each chat's messages in order, as structs of all other columns."""
+    rest = [c for c in messages.columns if c not in ("chat_id", "ts_ms", "msg_id")]
+    return messages.groupBy("chat_id").agg(F.array_sort(F.collect_list(F.struct("ts_ms", "msg_id", *rest))).alias("messages"))
+
+
+def written_out(messages: DataFrame) -> DataFrame:
+    """``chat_id, chat``: each chat as lines for people to read."""
+    return nested(messages).select("chat_id", F.array_join(F.transform("messages", lambda m: chat_line(m["ts_ms"], m["from_me"], m["text"])), "\n").alias("chat"))
+
+
 def with_parent_step(messages: DataFrame) -> DataFrame:
     """As-of join, backward: the last non-empty step an agent was at, else unknown."""
     step = F.when(F.col("from_me") & (F.col("step_id") != ""), F.col("step_id"))
@@ -30,10 +43,11 @@ def with_hints(messages: DataFrame, keep: int = domain.HINT_MESSAGES, chars: int
     Agent messages are numbered, and each message fetches the numbers just before it, so
     nothing grows with the length of a chat.
     """
-    said = F.col("from_me") & (F.trim("text") != "")
+    text = stripped(F.col("text"))
+    said = F.col("from_me") & (text != "")
     rows = messages.withColumn("_n", F.sum(F.when(said, 1).otherwise(0)).over(in_chat().rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     rows = rows.withColumn("_before", F.col("_n") - F.when(said, 1).otherwise(0))
-    agent = rows.filter(said).select("chat_id", F.col("_n").alias("_k"), F.substring(F.trim("text"), 1, chars).alias("_t"))
+    agent = rows.filter(said).select("chat_id", F.col("_n").alias("_k"), F.substring(text, 1, chars).alias("_t"))
     asked = rows.filter("not from_me").withColumn("_k", F.explode(F.sequence(F.greatest(F.col("_before") - keep + 1, F.lit(1)), F.greatest(F.col("_before"), F.lit(1)))))
     found = asked.join(agent, ["chat_id", "_k"], "left")
     hints = found.groupBy("chat_id", "msg_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_t").isNotNull() & (F.col("_k") <= F.col("_before")), F.struct("_k", "_t")))), lambda s: s["_t"]), " | ").alias("hints"))
@@ -44,22 +58,28 @@ def batches(rows: DataFrame, size: int, number: str = "idx") -> DataFrame:
     return rows.withColumn("batch", F.floor(F.col(number) / size).cast("long"))
 
 
-def windows_of(sizes: DataFrame, objections: DataFrame, head: int = domain.HEAD, tail: int = domain.TAIL, radius: int = domain.RADIUS) -> DataFrame:
-    """``chat_id, a, b`` intervals [a, b) of a transcript: its head, its tail, around objections."""
-    n = F.col("n")
-    ends = sizes.select("chat_id", "n", F.explode(F.array(F.struct(F.lit(0).cast("long").alias("a"), F.lit(head).cast("long").alias("b")), F.struct((n - tail).alias("a"), n.alias("b")))).alias("w"))
-    around = objections.join(sizes, "chat_id").select("chat_id", "n", F.struct((F.col("pos") - radius).alias("a"), (F.col("pos") + radius + 1).alias("b")).alias("w"))
-    clipped = ends.unionByName(around).select("chat_id", F.greatest(F.col("w.a"), F.lit(0)).alias("a"), F.least(F.col("w.b"), F.col("n")).alias("b"))
+def windows_of(sizes: DataFrame, objections: DataFrame, head: int = domain.HEAD, tail: int = domain.TAIL, radius: int | str = domain.RADIUS) -> DataFrame:
+    """``chat_id, a, b`` intervals [a, b) of a transcript: its head, its tail, around objections.
+
+    ``radius`` is a number, or the name of a column that ``sizes`` has besides ``chat_id`` and ``n``;
+    all such columns are kept.
+    """
+    n, keys = F.col("n"), [c for c in sizes.columns if c != "n"]
+    reach = F.col(radius) if isinstance(radius, str) else F.lit(radius)
+    ends = sizes.select(*keys, "n", F.explode(F.array(F.struct(F.lit(0).cast("long").alias("a"), F.lit(head).cast("long").alias("b")), F.struct((n - tail).alias("a"), n.alias("b")))).alias("w"))
+    around = objections.join(sizes, "chat_id").select(*keys, "n", F.struct((F.col("pos") - reach).alias("a"), (F.col("pos") + reach + 1).alias("b")).alias("w"))
+    clipped = ends.unionByName(around).select(*keys, F.greatest(F.col("w.a"), F.lit(0)).alias("a"), F.least(F.col("w.b"), F.col("n")).alias("b"))
     return clipped.filter("a < b")
 
 
 def merged(intervals: DataFrame) -> DataFrame:
-    """Overlapping or touching intervals of a chat as one: gaps and islands."""
-    order = Window.partitionBy("chat_id").orderBy("a", "b")
+    """Overlapping or touching intervals of a chat (or of any other columns) as one: gaps and islands."""
+    keys = [c for c in intervals.columns if c not in ("a", "b")]
+    order = Window.partitionBy(*keys).orderBy("a", "b")
     reach = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = intervals.withColumn("_new", F.when(reach.isNull() | (F.col("a") > reach), 1).otherwise(0))
     island = marked.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return island.groupBy("chat_id", "_island").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("_island")
+    return island.groupBy(*keys, "_island").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("_island")
 
 
 def with_gaps(islands: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import saved
+
 
 def base_scan(message: DataFrame, chat: DataFrame, jid: DataFrame, from_ms: int | None = None, phones: list[str] | None = None) -> DataFrame:
     """Text messages of one-to-one chats with their phone; both filters hold when both are given."""
@@ -39,21 +41,29 @@ def long_chats(rows: DataFrame, least: int, limit: int | None = None, chat: str
     return out if limit is None else out.orderBy(chat).limit(limit)
 
 
+def busiest(rows: DataFrame, k: int, chat: str = "chat_id") -> DataFrame:
+    """The ``k`` chats of most messages with how many each side wrote; the first id among equals."""
+    out = rows.groupBy(chat).agg(F.count(F.lit(1)).alias("n_messages"), F.count_if("from_me").alias("agent"), F.count_if(~F.col("from_me")).alias("customer"))
+    return out.orderBy(F.desc("n_messages"), chat).limit(k)
+
+
 def labels_per_key(links: DataFrame, key: str, name: str) -> DataFrame:
     return links.groupBy(key).agg(F.array_join(F.sort_array(F.collect_set(name)), ";").alias("labels"))
 
 
-def numbered(rows: DataFrame, order: list, name: str = "idx", buckets: int = 64) -> DataFrame:
+def numbered(rows: DataFrame, order: list, name: str = "idx") -> DataFrame:
     """A global 0-based row number without a single-task window.
 
     Rows are range-partitioned by ``order``, numbered inside their partition, and shifted by
-    the counts of the partitions before (one row a partition).
+    the counts of the partitions before (one row a partition). The partitioned rows are stored
+    first: ranges come from a sample, so a plan that made them twice could deal rows differently.
     """
-    n = min(buckets, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
     # The id counts up inside a partition from partition << 33.
-    parts = parts.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m").bitwiseAND((1 << 33) - 1))
+    parts = parts.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m").bitwiseAND((1 << 33) - 1)).drop("_m")
+    parts = saved(parts, "numbered")
     counts = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_s"))
-    return parts.join(F.broadcast(starts), "_p").withColumn(name, F.col("_s") + F.col("_i")).drop("_p", "_i", "_m", "_s")
+    starts = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_s"))  # one row a partition
+    return parts.join(F.broadcast(starts), "_p").withColumn(name, F.col("_s") + F.col("_i")).drop("_p", "_i", "_s")

@@ -14,6 +14,11 @@ def outcome_counts(conversions: DataFrame) -> DataFrame:
     return conversions.agg(*[F.count_if(F.col("final_outcome") == o).alias(o) for o in ("booked", "lost", "ambiguous")], F.count(F.lit(1)).alias("total"))
 
 
+def histogram(rows: DataFrame, value: str) -> DataFrame:
+    """How often each value stands; null is none."""
+    return rows.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+
+
 def deal_rows(deals: DataFrame, chat_labels: DataFrame, limit: int | None = None) -> DataFrame:
     """CSV rows of turnarounds or lost deals with their phone's labels, in list order."""
     rows = deals.withColumn("date", utc_date(F.col("ts_ms"))).join(chat_labels, "phone", "left").withColumn("labels", F.coalesce("labels", F.lit("")))
@@ -21,7 +26,10 @@ def deal_rows(deals: DataFrame, chat_labels: DataFrame, limit: int | None = None
 
 
 def repaired_headers(text: str, headers: list[str], stub: str = "(sem dados — stub)") -> str:
-    """Numbered second-level headers in their canonical wording; missing ones appended with a stub."""
+    """Numbered second-level headers in their canonical wording; missing ones appended with a stub.
+
+    The stub's wording is a fixed value.
+    """
     wanted = {m[1]: h for h in headers if (m := re.match(r"##\s*(\d+)\.", h))}
     seen: set[str] = set()
     lines = []

@@ -111,7 +111,7 @@ def excluded_distinct_count(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select s_nationkey, string_agg(distinct r, ';' order by r) as labels from (select s_nationkey, n_name || '/' || r_name as r from supplier join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey) group by 1")
 def labels_per_entity(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "supplier").join(F.broadcast(table(spark, d, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return relational.labels_per_key(rows.withColumn("r", F.concat_ws("/", "n_name", "r_name")), "s_nationkey", "r")
 
 
@@ -175,11 +175,11 @@ def objection_rows(spark: SparkSession, d: str) -> DataFrame:
 
 def _windows(spark: SparkSession, d: str) -> DataFrame:
     m = ordered.positioned(event_messages(spark, d))
-    return ordered.merged(ordered.windows_of(m.groupBy("chat_id").agg(F.count(F.lit(1)).alias("n")), m.filter("objection_type is not null and k % 8 = 0").select("chat_id", "pos")))
+    return ordered.merged(ordered.windows_of(m.groupBy("chat_id").agg(F.count(F.lit(1)).alias("n")), m.filter("objection_type is not null").select("chat_id", "pos")))
 
 
 _ISLANDS = EVENT_SQL + """, z as (select chat_id, count(*) as n from m group by chat_id),
-w0 as (select chat_id, n, 0 as a, 15 as b from z union all select chat_id, n, n - 15, n from z union all select m.chat_id, n, pos - 10, pos + 11 from m join z on z.chat_id = m.chat_id where objection_type is not null and k % 8 = 0),
+w0 as (select chat_id, n, 0 as a, 15 as b from z union all select chat_id, n, n - 15, n from z union all select m.chat_id, n, pos - 10, pos + 11 from m join z on z.chat_id = m.chat_id where objection_type is not null),
 w as (select chat_id, greatest(a, 0) as a, least(b, n) as b from w0 where greatest(a, 0) < least(b, n)),
 w1 as (select *, max(b) over (partition by chat_id order by a, b rows between unbounded preceding and 1 preceding) as r from w),
 w2 as (select *, sum(case when r is null or a > r then 1 else 0 end) over (partition by chat_id order by a, b rows unbounded preceding) as i from w1),
@@ -197,14 +197,14 @@ def window_gaps(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""with {EVENT_SQL}, z as (select chat_id, count(*) as n from m group by chat_id), r as (select unnest(range(0, 11)) as radius),
-o as (select chat_id, pos from m where objection_type is not null and k % 8 = 0),
+o as (select chat_id, pos from m where objection_type is not null),
 w as (select z.chat_id, radius, 0 as a, least(15, n) as b from z, r union all select z.chat_id, radius, greatest(n - 15, 0), n from z, r union all select o.chat_id, radius, greatest(pos - radius, 0), least(pos + radius + 1, n) from o join z on z.chat_id = o.chat_id, r),
 x as (select distinct w.chat_id, radius, msg_id, greatest(1, length('[' || msg_id || '] spa: ' || text) // 4) as t from w join m on m.chat_id = w.chat_id and pos >= a and pos < b)
 select chat_id, coalesce(max(radius) filter (where t <= 260), 0)::integer as radius from (select chat_id, radius, sum(t) as t from x group by chat_id, radius) group by chat_id""")
 def transcript_radius(spark: SparkSession, d: str) -> DataFrame:
     m = ordered.positioned(event_messages(spark, d))
     sizes = m.groupBy("chat_id").agg(F.count(F.lit(1)).alias("n"))
-    return conversion.shrunk_radius(sizes, m.filter("objection_type is not null and k % 8 = 0").select("chat_id", "pos"), m, budget=260)
+    return conversion.shrunk_radius(sizes, m.filter("objection_type is not null").select("chat_id", "pos"), m, budget=260)
 
 
 @query(f"with {_ISLANDS} select m.chat_id, msg_id, '[' || msg_id || '] ' || case when from_me then 'spa' else 'cli' end || ': ' || text as line from m join isl on isl.chat_id = m.chat_id and pos >= a and pos < b")
@@ -275,29 +275,26 @@ def template_map(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(out.select(F.col("key").alias("text"), "template_id"), "text").select("msg_id", "template_id")
 
 
-_EDGES = "select doc_id as a, cast(floor(doc_id / 3) as bigint) as b from documents where doc_id % 7 <> 0"
+#: Stars of four documents: an edge rule that covers all of them and leaves many components.
+_EDGES = "select doc_id as a, cast(floor(doc_id / 4) * 4 + 1 as bigint) as b from documents"
 
 
 @query(f"with recursive e0 as ({_EDGES}), e as (select a, b from e0 where a <> b union select b, a from e0 where a <> b), r(id, x) as (select a, a from e union select r.id, e.b from r join e on e.a = r.x) select id, min(x) as component from r group by id")
 def connected_components(spark: SparkSession, d: str) -> DataFrame:
     from ..operators.graph import components
 
-    return components(table(spark, d, "documents").filter("doc_id % 7 <> 0").select(F.col("doc_id").alias("a"), F.floor(F.col("doc_id") / 3).alias("b")))
+    return components(table(spark, d, "documents").select(F.col("doc_id").alias("a"), (F.floor(F.col("doc_id") / 4) * 4 + 1).alias("b")))
 
 
 @query(r"""with t as (select item_id, list_sort(list_distinct(list_filter(string_split_regex(text, '\s+'), lambda x: x <> ''))) as w from benchmark), u as (select conv_id * 1000 + turn as msg_id, list_sort(list_distinct(list_filter(string_split_regex(text, '\s+'), lambda x: x <> ''))) as w from conversations where role <> 'system')
 select item_id, msg_id, len(list_intersect(t.w, u.w))::integer as shared from t join u on len(list_intersect(t.w, u.w)) >= 8""")
 def token_containment_pairs(spark: SparkSession, d: str) -> DataFrame:
-    def words(df: DataFrame, key: str) -> DataFrame:
-        return df.select(key, F.explode(F.array_distinct(F.filter(F.split("text", r"\s+"), lambda w: w != ""))).alias("word"))
-
-    pairs = words(table(spark, d, "benchmark"), "item_id").join(words(chat_messages(spark, d), "msg_id"), "word")
-    return pairs.groupBy("item_id", "msg_id").agg(F.count(F.lit(1)).cast("int").alias("shared")).filter("shared >= 8")
+    return templates.sharing_words(table(spark, d, "benchmark"), "item_id", chat_messages(spark, d), "msg_id", 8)
 
 
 def _fuzzy_input(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "benchmark").select(F.col("item_id").alias("msg_id"), "text")
-    rows = rows.unionByName(chat_messages(spark, d).filter("from_me").select("msg_id", "text").withColumn("msg_id", F.col("msg_id") + 1_000_000))
+    """Texts no longer than a message can be, which is what templates are made of."""
+    rows = table(spark, d, "documents").filter("n_chars <= 1500").select(F.col("doc_id").alias("msg_id"), "text")
     return rows.withColumn("load_idx", F.col("msg_id")).withColumn("ts_ms", F.col("msg_id")).withColumn("norm", tx.ascii_fold(F.col("text")))
 
 
@@ -354,7 +351,7 @@ def template_score_bottom(spark: SparkSession, d: str) -> DataFrame:
 def report_csv_rows(spark: SparkSession, d: str) -> DataFrame:
     customer, nation = table(spark, d, "customer"), table(spark, d, "nation").filter("n_regionkey > 1")
     deals = event_conversions(spark, d).filter(conversion.is_turnaround()).join(customer.select(F.col("c_custkey").alias("chat_id"), F.col("c_name").alias("phone"), "c_nationkey"), "chat_id")
-    labels = relational.labels_per_key(customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")), "c_name", "n_name").withColumnRenamed("c_name", "phone")
+    labels = relational.labels_per_key(customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")), "c_name", "n_name").withColumnRenamed("c_name", "phone")
     return reporting.deal_rows(deals, labels).select("chat_id", "phone", "date", "first_objection_type", "labels")
 
 
@@ -405,5 +402,100 @@ def validation_rejects(spark: SparkSession, d: str) -> DataFrame:
     return enrichment.checked(rows, enrichment.sentiment_rules()).select("doc_id", "reject")
 
 
+@query(f"with {CHAT_SQL} select chat_id, count(*) as n_messages, count(*) filter (where from_me) as agent, count(*) filter (where not from_me) as customer from c group by chat_id order by n_messages desc, chat_id limit 5")
+def busiest_chats(spark: SparkSession, d: str) -> DataFrame:
+    return relational.busiest(chat_messages(spark, d), 5)
+
+
+@query(f"with {EVENT_SQL} select objection_type, count(*) as n from m where objection_type is not null and not from_me group by objection_type")
+def objection_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return reporting.histogram(event_messages(spark, d).filter("not from_me"), "objection_type")
+
+
+@query(f"with {EVENT_SQL} select chat_id, count(*) as n, string_agg(msg_id || '=' || objection_type, ',' order by msg_id) as objections from m where objection_type is not null and not from_me group by chat_id")
+def objections_per_chat(spark: SparkSession, d: str) -> DataFrame:
+    out = conversion.objections_by_chat(event_messages(spark, d))
+    listed = F.transform(F.map_entries("objections"), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"]))
+    return out.select("chat_id", F.size("objections").cast("long").alias("n"), F.array_join(listed, ",").alias("objections"))
+
+
+@query(f"with {EVENT_SQL} select chat_id, msg_id, pos, objection_type from m where objection_type is not null and not from_me")
+def objection_positions(spark: SparkSession, d: str) -> DataFrame:
+    m = event_messages(spark, d)
+    marks = m.filter("objection_type is not null and not from_me").select("chat_id", "msg_id", "objection_type")
+    return ordered.positioned(m.drop("objection_type")).select("chat_id", "msg_id", "pos").join(marks, ["chat_id", "msg_id"])
+
+
+#: A detection names the first objection of a chat and the message two places after it.
+_DETECTED = CONVERSION_SQL + """, det as (select conv.*, a.msg_id as objection_msg_id, b.msg_id as resolution_msg_id from conv
+  join m a on a.chat_id = conv.chat_id and a.pos = first_objection_idx left join m b on b.chat_id = conv.chat_id and b.pos = resolution_idx)"""
+
+
+@query(f"with {_DETECTED} select d.chat_id, a.pos::integer as first_objection_idx, b.pos::integer as resolution_idx, substring(b.text, 1, 200) as winning_reply_excerpt from det d left join m a on a.chat_id = d.chat_id and a.msg_id = d.objection_msg_id left join m b on b.chat_id = d.chat_id and b.msg_id = d.resolution_msg_id")
+def detections_located(spark: SparkSession, d: str) -> DataFrame:
+    m = ordered.positioned(event_messages(spark, d))
+    conv = event_conversions(spark, d)
+    at = m.select("chat_id", F.col("pos").alias("first_objection_idx"), F.col("msg_id").alias("objection_msg_id"))
+    to = m.select("chat_id", F.col("pos").alias("resolution_idx"), F.col("msg_id").alias("resolution_msg_id"))
+    found = conv.join(at, ["chat_id", "first_objection_idx"]).join(to, ["chat_id", "resolution_idx"], "left").select("chat_id", "objection_msg_id", "resolution_msg_id", F.lit(None).cast("string").alias("winning_reply_excerpt"))
+    return conversion.located(found, m).select("chat_id", "first_objection_idx", "resolution_idx", "winning_reply_excerpt")
+
+
+def _deals(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    m = ordered.positioned(event_messages(spark, d)).withColumn("phone", F.col("chat_id").cast("string")).withColumn("text", F.concat("text", F.lit(" "), F.col("k").cast("string"), F.when(F.col("k") % 3 == 0, " ok").otherwise("")))
+    return conversion.deals(event_conversions(spark, d), m)
+
+
+_DEAL_TEXT = CONVERSION_SQL + """, mt as (select *, text || ' ' || k || case when k % 3 = 0 then ' ok' else '' end as said, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') as date from m)"""
+
+
+@query(f"""with {_DEAL_TEXT} select t.chat_id, t.chat_id::varchar as phone, a.date, t.objection_type, a.said as customer_message, b.said as winning_reply, b.msg_id as winning_reply_msg_id,
+coalesce((select arg_min(said, pos) from mt where mt.chat_id = t.chat_id and pos > t.resolution_idx and not from_me and (contains(said, 'ok') or contains(said, 'show'))), '') as confirmation
+from turn t join mt a on a.chat_id = t.chat_id and a.pos = t.first_objection_idx join mt b on b.chat_id = t.chat_id and b.pos = t.resolution_idx""")
+def turnaround_details(spark: SparkSession, d: str) -> DataFrame:
+    return _deals(spark, d)[0].drop("conv_order", "paired_lost_deals")
+
+
+@query(f"""with {_DEAL_TEXT} select l.chat_id, l.chat_id::varchar as phone, a.date, l.objection_type, a.said as customer_message,
+coalesce((select arg_max(said, pos) from mt where mt.chat_id = l.chat_id and pos > l.first_objection_idx and from_me), '') as winning_reply, '' as confirmation
+from lost l join mt a on a.chat_id = l.chat_id and a.pos = l.first_objection_idx""")
+def lost_deal_details(spark: SparkSession, d: str) -> DataFrame:
+    return _deals(spark, d)[1].drop("conv_order")
+
+
+@query(f"with {_PARENT} select msg_id, parent_step, trim(text) as text from p where not from_me and step_context = 'off_script' and trim(text) <> ''")
+def off_script_texts(spark: SparkSession, d: str) -> DataFrame:
+    return clusters.off_script(_parents(spark, d), event_messages(spark, d))
+
+
+@query(f"with {_PARENT} select chat_id, msg_id, parent_step from p where not from_me")
+def customer_parents(spark: SparkSession, d: str) -> DataFrame:
+    m = event_messages(spark, d)
+    timed = m.select("chat_id", "msg_id", "from_me", "step_id").join(m.select("chat_id", "msg_id", "ts_ms"), ["chat_id", "msg_id"])
+    return ordered.with_parent_step(timed).filter("not from_me").select("chat_id", "msg_id", "parent_step")
+
+
+@query(f"with {CHAT_SQL} select chat_id, string_agg('[' || strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H:%M') || '] ' || case when from_me then 'ME  ' else 'THEM' end || ': ' || rtrim(replace(coalesce(text, ''), chr(13), '')), chr(10) order by ts_ms, msg_id) as chat from c group by chat_id")
+def chats_written_out(spark: SparkSession, d: str) -> DataFrame:
+    return ordered.written_out(chat_messages(spark, d))
+
+
+@query(f"with {CHAT_SQL} select chat_id, count(*) as n_messages, string_agg(msg_id::varchar, ',' order by ts_ms, msg_id) as ids from c group by chat_id")
+def nested_conversations(spark: SparkSession, d: str) -> DataFrame:
+    rows = ordered.nested(chat_messages(spark, d))
+    return rows.select("chat_id", F.size("messages").cast("long").alias("n_messages"), F.array_join(F.transform("messages", lambda m: m["msg_id"].cast("string")), ",").alias("ids"))
+
+
+@query("select doc_id, quality, toxic from labels where doc_id not in (select doc_id from documents)")
+def truth_without_chat(spark: SparkSession, d: str) -> DataFrame:
+    return enrichment.pending(table(spark, d, "labels").select("doc_id", "quality", "toxic"), table(spark, d, "documents"), "doc_id")
+
+
+@query("select lang, count(*) as templates, sum(n_chars)::bigint as instances from documents where lang is not null group by lang order by instances desc, lang")
+def volume_counts(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").filter("lang is not null")
+    return rows.groupBy("lang").agg(F.count(F.lit(1)).alias("templates"), F.sum("n_chars").alias("instances"))
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_step_counts(spark, sf_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import shutil
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -15,6 +16,13 @@ class MissingInput(RuntimeError):
     pass
 
 
+def remove(path: Path) -> None:
+    if path.is_dir():
+        shutil.rmtree(path)
+    else:
+        path.unlink(missing_ok=True)
+
+
 @dataclass
 class Stage:
     number: int
@@ -46,7 +54,7 @@ class Runner:
         inputs = {n for s in self.stages for n in s.needs if s.number <= stage.number}
         for name in stage.outputs:
             if name not in inputs:
-                (self.folder / name).unlink(missing_ok=True)
+                remove(self.folder / name)
         self.manifest(stage).unlink(missing_ok=True)
 
     def run(self, first: int = 1, last: int | None = None, force: bool = False, only: int | None = None) -> dict[int, dict[str, Any]]:
@@ -70,3 +78,15 @@ class Runner:
             write_json(self.manifest(stage), {"fingerprint": self.fingerprint, "outputs": stage.outputs, "result": result})
             out[stage.number] = result
         return out
+
+    def restart(self, keep: tuple[str, ...] = ()) -> None:
+        """Forget all stages: their outputs and manifests go, other files of the folder and those to ``keep`` stay."""
+        for stage in self.stages:
+            for name in stage.outputs:
+                if name not in keep:
+                    remove(self.folder / name)
+            self.manifest(stage).unlink(missing_ok=True)
+
+    def lacking(self, *names: str) -> list[str]:
+        """Which files, in the folder or by full path, are not there."""
+        return [n for n in names if not (self.folder / n).exists()]

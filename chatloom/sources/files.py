@@ -5,21 +5,18 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import hashlib
-import io
 import json
 import os
 import re
+from collections.abc import Iterable
 from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import domain
 
-#: Objection types a script must define.
-OBJECTIONS = 9
-
-
 def line_list(path: str | Path) -> list[str]:
     """Lines without blanks and comments, each once, in order."""
     lines = (line.strip() for line in Path(path).read_text(encoding="utf-8").splitlines())
@@ -63,16 +60,50 @@ def load_script(path: str | Path, extensions: str | Path | None = None) -> dict[
     import yaml
 
     script = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
-    missing = set(domain.STEP_IDS) - {str(s.get("id")) for s in script.get("steps", [])}
-    kinds = [o.get("id") for o in script.get("objection_taxonomy", [])]
-    if missing or len(set(kinds)) < OBJECTIONS:
-        raise ValueError(f"script lacks steps {sorted(missing)} or objection types ({len(set(kinds))} of {OBJECTIONS})")
-    for part, empty in (("services", []), ("price_grid", {}), ("additionals", []), ("negotiation_rules", []), ("promocoes", [])):
-        script.setdefault(part, empty)
-    script["extensions"] = yaml.safe_load(Path(extensions).read_text(encoding="utf-8")) if extensions and Path(extensions).exists() else {}
+    missing = sorted(set(domain.STEP_IDS) - {str(x.get("id")) for x in script.get("steps") or []})
+    unnamed = sorted(set(domain.OBJECTION_IDS) - {x.get("id") for x in script.get("objection_taxonomy") or []})
+    if missing or unnamed:
+        raise ValueError(f"script lacks steps {missing} and objection types {unnamed}")
+    for part, empty in (("services", []), ("price_grid", []), ("additionals", []), ("negotiation_rules", {}), ("promocoes", {})):
+        script[part] = script.get(part) or empty
+    more = yaml.safe_load(Path(extensions).read_text(encoding="utf-8")) if extensions and Path(extensions).exists() else None
+    script["extensions"] = more or {}
     return script
 
 
+def checked_replies(extensions: dict[str, Any]) -> dict[str, Any]:
+    """Script extensions with exactly one reply for each objection type."""
+    found = [r["objection_id"] for r in extensions.get("objection_replies") or []]
+    if sorted(found) != sorted(domain.OBJECTION_IDS):
+        raise ValueError(f"replies for {sorted(found)}, not one for each of {sorted(domain.OBJECTION_IDS)}")
+    return extensions
+
+
+def write_yaml(path: str | Path, value: Any) -> None:
+    """Key order and letters stay as they are."""
+    import yaml
+
+    replace_text(path, yaml.safe_dump(value, allow_unicode=True, sort_keys=False))
+
+
+def configured_date(path: str | Path) -> str | None:
+    """``from_date`` of a settings file as an ISO date; none where the file or the value is missing."""
+    import yaml
+
+    try:
+        found = yaml.safe_load(Path(path).read_text(encoding="utf-8"))
+    except FileNotFoundError:
+        return None
+    except yaml.YAMLError as e:
+        raise ValueError(f"not YAML: {path}") from e
+    value = found.get("from_date") if isinstance(found, dict) else None
+    return user_date(str(value)) if value else None
+
+
+def write_configured_date(path: str | Path, day: str | None) -> None:
+    write_yaml(path, {"from_date": day or ""})
+
+
 def script_steps(spark: SparkSession, script: dict[str, Any]) -> DataFrame:
     rows = [(str(s["id"]), s.get("name", ""), s.get("canonical_texts") or [], s.get("expected_customer_intents") or [], [str(x) for x in s.get("transitions_to") or []]) for s in script["steps"]]
     return spark.createDataFrame(rows, "id string, name string, canonical_texts array<string>, expected_customer_intents array<string>, transitions_to array<string>")
@@ -100,25 +131,66 @@ def write_json(path: str | Path, value: Any) -> None:
 
 
 def write_csv(path: str | Path, header: list[str], rows: list[tuple]) -> None:
-    out = io.StringIO()
-    writer = csv.writer(out)
-    writer.writerow(header)
-    writer.writerows(rows)
-    replace_text(path, out.getvalue())
+    write_csv_rows(path, header, rows)
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Typed JSON lines; blank lines are skipped."""
-    rows = spark.read.schema(schema).json(path)
-    return rows.dropna("all")
+def write_csv_rows(path: str | Path, header: list[str], rows: Iterable[tuple]) -> int:
+    """A CSV of rows as they come, whole or not at all; the header is there without rows too. How many rows it has."""
+    path = Path(path)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    part, n = path.with_name(f"{path.name}.{os.getpid()}.part"), 0
+    with part.open("w", encoding="utf-8", newline="") as f:
+        writer = csv.writer(f)
+        writer.writerow(header)
+        for n, row in enumerate(rows, 1):
+            writer.writerow(row)
+    os.replace(part, path)
+    return n
+
+
+def read_jsonl(spark: SparkSession, path: str, schema: str, missing_ok: bool = False) -> DataFrame:
+    """Typed JSON lines; blank lines are skipped, ``{}`` is a row of nulls; a missing file may mean no rows."""
+    if missing_ok and not Path(path).exists():
+        return spark.createDataFrame([], schema)
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    return lines.select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    """A folder of JSON lines, nulls included, written in parallel."""
+    df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_jsonl_file(df: DataFrame, path: str | Path, order: list[str]) -> None:
+    """One file of JSON lines in ``order``, for readers that need one; rows stream through the driver, a partition at a time."""
+    rows = df.orderBy(*order).select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    path = Path(path)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    part = path.with_name(f"{path.name}.{os.getpid()}.part")
+    with part.open("w", encoding="utf-8", newline="") as f:
+        for row in rows.toLocalIterator():
+            f.write(row.value + "\n")
+    os.replace(part, path)
+
+
+def read_json_map(spark: SparkSession, path: str | Path, key: str, value: str, kind: str = "long") -> DataFrame:
+    """A JSON object with whole numbers as keys (strings in the file) as rows ``key, value``."""
+    found = tolerant_json(path)
+    return spark.createDataFrame([(int(k), v) for k, v in found.items()], f"{key} long, {value} {kind}")
+
+
+def append_csv(path: str | Path, header: list[str], rows: list[tuple]) -> None:
+    """Add rows to a CSV file; the header is written once, when the file is new."""
+    path = Path(path)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    fresh = not path.exists() or not path.stat().st_size
+    with path.open("a", encoding="utf-8", newline="") as f:
+        writer = csv.writer(f)
+        writer.writerows([header, *rows] if fresh else rows)
 
 
 def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
     """``chat_id, phone, outcome, notes``; bad ids and outcomes are dropped."""
-    rows = spark.read.csv(path, header=True, schema="chat_id string, phone string, outcome string, notes string")
+    rows = spark.read.csv(path, header=True, escape='"', multiLine=True, schema="chat_id string, phone string, outcome string, notes string")
     rows = rows.selectExpr("try_cast(chat_id as bigint) as chat_id", "phone", "outcome", "notes")
     return rows.filter(rows.chat_id.isNotNull() & rows.outcome.isin(*domain.OUTCOMES))

@@ -6,7 +6,7 @@ import sqlite3
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual
 from pyspark.sql.types import StructType
 
 _TYPES = {"INTEGER": "long", "INT": "long", "TEXT": "string", "REAL": "double", "BLOB": "binary"}
@@ -27,6 +27,27 @@ class _Reader(DataSourceReader):
         self.path, self.table = options["path"], options["table"]
         self.parts = int(options.get("partitions", "4"))
         self.names = schema.fieldNames()
+        self.where: list[str] = []
+        self.values: list = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Comparisons of a column with numbers or texts go into the SQL; Spark keeps the others."""
+        signs = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+        for f in filters:
+            name = f.attribute[0] if hasattr(f, "attribute") and len(f.attribute) == 1 else None
+            values = list(f.value) if isinstance(f, In) else [f.value] if type(f) in signs else []
+            if name not in self.names or any(type(v) not in (int, str) for v in values):
+                yield f
+            elif isinstance(f, IsNotNull):
+                self.where.append(f'"{name}" is not null')
+            elif isinstance(f, In) and values:
+                self.where.append(f'"{name}" in ({", ".join("?" * len(values))})')
+                self.values += values
+            elif type(f) in signs:
+                self.where.append(f'"{name}" {signs[type(f)]} ?')
+                self.values += values
+            else:
+                yield f
 
     def partitions(self) -> list[InputPartition]:
         with _connect(self.path) as c:
@@ -40,7 +61,8 @@ class _Reader(DataSourceReader):
         columns = ", ".join(f'"{n}"' for n in self.names)
         c = _connect(self.path)
         try:
-            yield from c.execute(f'select {columns} from "{self.table}" where rowid >= ? and rowid < ?', (partition.lo, partition.hi))
+            where = " and ".join(["rowid >= ?", "rowid < ?", *self.where])
+            yield from c.execute(f'select {columns} from "{self.table}" where {where}', (partition.lo, partition.hi, *self.values))
         finally:
             c.close()
 
@@ -67,6 +89,8 @@ def tables(path: str) -> set[str]:
 
 
 def read(spark: SparkSession, path: str, table: str, partitions: int = 4) -> DataFrame:
+    """A table; simple filters run inside SQLite where the session allows them to be pushed."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SQLiteSource)
     return spark.read.format("chat_sqlite").options(path=path, table=table, partitions=str(partitions)).load()
 

@@ -12,8 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a default is chosen only where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "/tmp/checkpoints/chatloom"
+    """The folder all executors share; a session on one machine that names none gets a default."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "/tmp/checkpoints/chatloom"
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 

@@ -70,9 +70,11 @@ def test_windows(spark):
 
 
 def test_medoid_and_clusters(spark):
-    points = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [-1.0, 0.0]), (3, [0.0, -1.0]), (4, [0.1, 0.1])]
-    df = spark.createDataFrame([(0, *p) for p in points], "g int, id long, v array<float>")
-    assert clusters.medoids(df, "g", "id", "v").first().medoid in range(5)
+    points = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [-1.0, 0.2]), (3, [0.2, -1.0]), (4, [1.0, 1.0])]
+    df = spark.createDataFrame([(0, *p) for p in points] + [(1, 7, [0.0, 0.0])], "g int, id long, v array<float>")
+    got = {r.g: (r.medoid, r.size) for r in clusters.medoids(df, "g", "id", "v").collect()}
+    unit = np.array([v for _, v in points]) / np.linalg.norm([v for _, v in points], axis=1, keepdims=True)
+    assert got == {0: (int((1 - unit @ unit.T).sum(axis=1).argmin()), 5), 1: (7, 1)} and got[0][0] == 4
     rng = np.random.default_rng(3)
     rows = [(0, i, [float(x) for x in (np.eye(3)[i % 2] + rng.normal(0, 0.02, 3))]) for i in range(12)]
     got = {r.id: r.cluster for r in clusters.density_clusters(spark.createDataFrame(rows, "g int, id long, v array<double>"), "g", "id", "v").collect()}
