@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -27,13 +28,28 @@ def stripped(text: Column) -> Column:
 
 
 def ascii_fold(text: Column) -> Column:
-    """Compatibility-decompose, drop what is not ASCII, lower, strip (Arrow: Spark has no NFKD)."""
+    """Compatibility-decompose, drop what is not ASCII, lower, strip (Arrow: Spark has no NFKD).
+
+    Texts that are ASCII already never leave the JVM.
+    """
 
     @F.pandas_udf("string")
     def fold(s: pd.Series) -> pd.Series:
         return s.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode().lower().strip())
 
-    return fold(text)
+    wide = text.rlike(r"[^\x00-\x7f]")
+    plain = F.regexp_replace(F.lower(text), r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.when(wide, fold(F.when(wide, text))).otherwise(plain)
+
+
+def counted_tokens(count: Callable[[list[str]], list[int]]) -> Callable[[Column], Column]:
+    """A token counter as an expression, from a function of a batch of texts; null counts none."""
+
+    @F.pandas_udf("long")
+    def counted(s: pd.Series) -> pd.Series:
+        return pd.Series(count([t or "" for t in s]), dtype="int64")
+
+    return counted
 
 
 def estimated_tokens(text: Column) -> Column:
@@ -44,9 +60,13 @@ def utc_date(ts_ms: Column) -> Column:
     return F.date_format(F.timestamp_millis(ts_ms), "yyyy-MM-dd")
 
 
+#: The words for the two sides of a transcript.
+AGENT, CUSTOMER = "spa", "cli"
+
+
 def rendered(msg_id: Column, from_me: Column, text: Column) -> Column:
     """A transcript line."""
-    return F.concat(F.lit("["), msg_id.cast("string"), F.lit("] "), F.when(from_me, "spa").otherwise("cli"), F.lit(": "), text)
+    return F.concat(F.lit("["), msg_id.cast("string"), F.lit("] "), F.when(from_me, AGENT).otherwise(CUSTOMER), F.lit(": "), text)
 
 
 def set_hash(values: Column, digits: int = 16) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,23 +18,21 @@ from ..storage import saved
 from .ordered import with_parent_step
 from .templates import top_values
 
-#: Dimensions of an embedded text.
-DIMS = 384
+#: Dimensions of an embedded text, and vectors of a block that is compared at once.
+DIMS, BLOCK = 384, 2048
 
 
 def medoids(vectors: DataFrame, group: str, key: str, vector: str) -> DataFrame:
     """The member of each group with the least sum of cosine distances, the first on ties.
 
-    The sum of cosines with all members is the product with the sum of unit vectors: one sum
-    for each group, no pairs.
+    The sum of cosines with all members is the product with the sum of unit vectors: one sum of
+    vectors for each group, made map-side first, and no pairs.
     """
     norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     unit = vectors.withColumn("_n", F.when(norm == 0, 1.0).otherwise(norm)).withColumn("_u", F.transform(vector, lambda x: x.cast("double") / F.col("_n")))
-    parts = unit.select(group, F.posexplode("_u").alias("_d", "_x")).groupBy(group, "_d").agg(F.sum("_x").alias("_x"))
-    total = parts.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("_d", "_x"))), lambda s: s["_x"]).alias("_t"))
-    sizes = vectors.groupBy(group).agg(F.count(F.lit(1)).alias("size"))
+    total = unit.groupBy(group).agg(Summarizer.sum(array_to_vector("_u")).alias("_s"), F.count(F.lit(1)).alias("size")).select(group, "size", vector_to_array("_s").alias("_t"))
     cost = unit.join(total, group).withColumn("_c", F.round(-F.aggregate(F.zip_with("_u", "_t", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x), 9))
-    return cost.groupBy(group).agg(F.min_by(key, F.struct("_c", key)).alias("medoid")).join(sizes, group)
+    return cost.groupBy(group).agg(F.min_by(key, F.struct("_c", key)).alias("medoid"), F.max("size").alias("size"))
 
 
 def _hierarchy(x: np.ndarray, least: int) -> np.ndarray:
@@ -214,19 +214,27 @@ def step_counts(messages: DataFrame) -> DataFrame:
     return out.filter((F.col("parent_step") != domain.UNKNOWN) & (F.col("on_script_count") + F.col("off_script_count") + F.col("intents") + F.col("objections") > 0))
 
 
-def nearest_distance(vectors: DataFrame, group: str, key: str, vector: str) -> DataFrame:
-    """Core distance for one neighbour: the least cosine distance to another member of the bucket."""
+def nearest_distance(vectors: DataFrame, group: str, key: str, vector: str, block: int = BLOCK) -> DataFrame:
+    """Core distance for one neighbour: the least cosine distance to another member of the bucket.
+
+    A bucket is compared block by block, so a large one is many tasks of bounded size.
+    """
     kind = dict(vectors.dtypes)
+    sizes = vectors.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_k"))
+    dealt = vectors.select(group, key, vector).join(sizes, group).withColumn("_b", F.pmod(F.xxhash64(key), F.col("_k")).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    dealt = dealt.select(group, key, vector, "_b", F.least("_b", "_o").alias("_x"), F.greatest("_b", "_o").alias("_y"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key, kind="stable")
         x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vector]])
-        u = x / np.where(np.linalg.norm(x, axis=1) == 0, 1, np.linalg.norm(x, axis=1))[:, None]
-        out = np.full(len(u), np.nan)
-        for lo in range(0, len(u), 1024) if len(u) > 1 else []:
-            d = 1 - u[lo : lo + 1024] @ u.T
-            d[np.arange(len(d)), np.arange(lo, lo + len(d))] = np.inf
-            out[lo : lo + 1024] = d.min(axis=1)
-        return pd.DataFrame({group: pdf[group], key: pdf[key], "core": np.round(out, 6)})
-
-    return vectors.select(group, key, vector).groupBy(group).applyInPandas(run, f"{group} {kind[group]}, {key} {kind[key]}, core double")
+        size = np.linalg.norm(x, axis=1)
+        u = x / np.where(size == 0, 1, size)[:, None]
+        d = 1 - u @ u.T
+        np.fill_diagonal(d, np.inf)
+        if pdf["_x"].iloc[0] != pdf["_y"].iloc[0]:
+            own = pdf["_b"].to_numpy()
+            d[own[:, None] == own[None, :]] = np.inf
+        return pd.DataFrame({group: pdf[group], key: pdf[key], "core": d.min(axis=1)})
+
+    parts = dealt.groupBy(group, "_x", "_y").applyInPandas(run, f"{group} {kind[group]}, {key} {kind[key]}, core double")
+    near = F.min(F.when(F.col("core") < float("inf"), F.col("core")))
+    return parts.groupBy(group, key).agg(F.round(near, 6).alias("core"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import domain
 from ..functions.text import estimated_tokens, mentions_any, rendered, utc_date
 from .ordered import first_after, last_after, merged, windows_of, with_gaps
+from .relational import numbered_within
 
 
 def _objection() -> Column:
@@ -32,17 +33,17 @@ def paired(turnarounds: DataFrame, lost: DataFrame) -> DataFrame:
     gets places 2k and 2k+1 while there are such, the last and first at an odd end, then the
     first two for good.
     """
-    pool = lost.withColumn("_k", F.row_number().over(Window.partitionBy("objection_type").orderBy("date", "conv_order")) - 1).select("objection_type", F.col("_k").alias("_slot"), F.col("chat_id").alias("_lost"))
+    pool = numbered_within(lost.select("objection_type", "date", "conv_order", "chat_id"), "objection_type", [F.col("date"), F.col("conv_order")], "_slot").select("objection_type", "_slot", F.col("chat_id").alias("_lost"))
     sizes = pool.groupBy("objection_type").agg(F.count(F.lit(1)).alias("_p"))
-    k = F.row_number().over(Window.partitionBy("objection_type").orderBy("conv_order")) - 1
-    rows = turnarounds.withColumn("_k", k).join(sizes, "objection_type", "left").withColumn("_p", F.coalesce("_p", F.lit(0)))
+    slim = turnarounds.select("chat_id", "objection_type", "conv_order")
+    rows = numbered_within(slim, "objection_type", [F.col("conv_order")], "_k").join(sizes, "objection_type", "left").withColumn("_p", F.coalesce("_p", F.lit(0)))
     i = F.col("_k") * 2
     slots = (
-        F.when(F.col("_p") == 0, F.array().cast("array<int>"))
-        .when(F.col("_p") == 1, F.array(F.lit(0)))
+        F.when(F.col("_p") == 0, F.array().cast("array<bigint>"))
+        .when(F.col("_p") == 1, F.array(F.lit(0).cast("long")))
         .when(i + 1 < F.col("_p"), F.array(i, i + 1))
-        .when(i == F.col("_p") - 1, F.array((F.col("_p") - 1).cast("int"), F.lit(0)))
-        .otherwise(F.array(F.lit(0), F.lit(1)))
+        .when(i == F.col("_p") - 1, F.array(F.col("_p") - 1, F.lit(0).cast("long")))
+        .otherwise(F.array(F.lit(0).cast("long"), F.lit(1).cast("long")))
     )
     wanted = rows.select("chat_id", "objection_type", "conv_order", F.posexplode_outer(slots).alias("_at", "_slot"))
     found = wanted.join(pool, ["objection_type", "_slot"], "left")

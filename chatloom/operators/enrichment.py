@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any, Protocol
 
 import pandas as pd
@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import domain
+from ..functions.formats import json_object
+from ..functions.prompts import question
+from ..functions.text import AGENT, CUSTOMER
 from ..storage import saved
 
 
@@ -91,6 +94,28 @@ class Patient:
         raise AssertionError
 
 
+class Asking:
+    """A provider over any function from instructions and a question to a text.
+
+    The text has to hold a JSON object with a list ``items`` of records that have all ``fields``;
+    anything else is a ``ProviderError``, and may be asked again.
+    """
+
+    def __init__(self, name: str, ask: Callable[[str, str], str], prompt: str, fields: tuple[str, ...], context: dict[str, Any] | None = None) -> None:
+        self.name, self.ask, self.prompt, self.fields, self.context = name, ask, prompt, fields, context or {}
+
+    def complete(self, items: list[dict[str, Any]]) -> list[dict[str, Any]]:
+        text = self.ask(self.prompt, question({**self.context, "ITEMS": items}))
+        try:
+            found = json.loads(json_object(text))["items"]
+        except (ValueError, KeyError, TypeError) as e:
+            raise ProviderError(f"no items in {text[:200]!r}") from e
+        lacking = [r for r in found if not isinstance(r, dict) or any(f not in r for f in self.fields)] if isinstance(found, list) else [found]
+        if lacking:
+            raise ProviderError(f"not a record: {str(lacking[0])[:200]}")
+        return found
+
+
 def cost(tokens_in: Column, tokens_out: Column, price_in: Column, price_out: Column) -> Column:
     """Price of a call in dollars from prices of a million tokens; unknown prices cost nothing."""
     return F.coalesce((tokens_in * price_in + tokens_out * price_out) / F.lit(1e6), F.lit(0.0))
@@ -293,10 +318,10 @@ class ScriptProvider(KeywordProvider):
     def _conversion(self, item: dict[str, Any]) -> dict[str, Any]:
         parts = map(self._line, item["transcript"].splitlines())
         lines = [(int(p[0]), p[1], p[2]) for p in parts if p]
-        objection = next(((i, k) for i, who, text in lines if who == "cli" and (k := self.labels(text)[1])), (None, None))
+        objection = next(((i, k) for i, who, text in lines if who == CUSTOMER and (k := self.labels(text)[1])), (None, None))
         after = [line for line in lines if objection[0] is not None and line[0] > objection[0]]
-        reply = next((i for i, who, _ in after if who == "spa"), None)
-        booked = any(who == "cli" and any(p in text.lower() for p in domain.CONFIRMATIONS) for _, who, text in (after or lines))
+        reply = next((i for i, who, _ in after if who == AGENT), None)
+        booked = any(who == CUSTOMER and any(p in text.lower() for p in domain.CONFIRMATIONS) for _, who, text in (after or lines))
         outcome = "booked" if booked else "lost" if objection[0] is not None else "ambiguous"
         return {
             "chat_id": item["chat_id"],
@@ -313,7 +338,7 @@ class ScriptProvider(KeywordProvider):
     def _line(line: str) -> tuple[str, str, str] | None:
         head, _, text = line.partition(": ")
         number, _, who = head.partition("] ")
-        return (number[1:], who, text) if number[:1] == "[" and number[1:].isdecimal() and who in ("spa", "cli") else None
+        return (number[1:], who, text) if number[:1] == "[" and number[1:].isdecimal() and who in (AGENT, CUSTOMER) else None
 
 
 def merged_labels(messages: DataFrame, template_map: DataFrame, template_labels: DataFrame, customer_labels: DataFrame) -> DataFrame:

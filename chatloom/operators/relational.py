@@ -67,3 +67,10 @@ def numbered(rows: DataFrame, order: list, name: str = "idx") -> DataFrame:
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_s"))  # one row a partition
     return parts.join(F.broadcast(starts), "_p").withColumn(name, F.col("_s") + F.col("_i")).drop("_p", "_i", "_s")
+
+
+def numbered_within(rows: DataFrame, group: str, order: list, name: str) -> DataFrame:
+    """0-based row numbers inside each ``group``, without a task that holds a group."""
+    every = numbered(rows, [F.col(group), *order], "_idx")
+    first = every.groupBy(group).agg(F.min("_idx").alias("_first"))
+    return every.join(first, group).withColumn(name, F.col("_idx") - F.col("_first")).drop("_idx", "_first")

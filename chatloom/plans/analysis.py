@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .. import domain
 from ..functions import prompts
 from ..functions import text as tx
-from ..functions.formats import json_cell
+from ..functions.formats import chosen_numbers, json_cell, without_fence
 from ..operators import clusters, conversion, enrichment, ordered, relational, reporting, templates
 from ..sources import files, sqlite
 from .runner import Runner, Stage
@@ -305,6 +305,29 @@ class Analysis:
         return Runner(Path(self.settings.folder), stages, self.settings.fingerprint(), tries)
 
 
+def prepare(spark: SparkSession, settings: Settings, labels: str, day: str | None, labels_file: Path, config: Path) -> list[str]:
+    """Write the files of labels to leave out and of the first day, and forget the first stage.
+
+    ``labels`` are numbers from the catalogue of labels, as ``1, 3``; their names are returned.
+    """
+    known = [r["label_name"] for r in sqlite.label_catalogue(spark, str(settings.db)).collect()]  # names that people gave
+    names = [known[i - 1] for i in chosen_numbers(labels, len(known))]
+    files.replace_text(labels_file, "".join(f"{n}\n" for n in names))
+    files.write_configured_date(config, files.user_date(day))
+    runner = Analysis(spark, settings).runner()
+    runner.invalidate(runner.stages[0])
+    return names
+
+
+def draft_script(text: str, write: Callable[[str], str], path: Path) -> dict[str, Any]:
+    """A script written by ``write`` from a text for people, kept if it has all steps and objection types."""
+    part = path.with_name(f"{path.name}.draft")
+    files.replace_text(part, without_fence(write(text)) + "\n")
+    script = files.load_script(part)
+    part.replace(path)
+    return script
+
+
 def _plain_replies(script: dict[str, Any]) -> dict[str, Any]:
     """Offline: each objection type's name as a reply to write."""
     names = {o["id"]: o.get("name_pt") or o["id"] for o in script.get("objection_taxonomy") or []}

@@ -5,6 +5,7 @@ import json
 import sqlite3
 import sys
 
+import numpy as np
 import pytest
 import yaml
 from pyspark import cloudpickle
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 
 from chatloom import domain
 from chatloom.functions import formats, prompts
-from chatloom.operators import conversion, enrichment, ordered, relational
+from chatloom.functions import text as tx
+from chatloom.operators import clusters, conversion, enrichment, ordered, relational
+from chatloom.plans import analysis
 from chatloom.plans.analysis import RECORDS, Analysis, Settings
 from chatloom.sources import files
 from chatloom.sources import sqlite as source
@@ -169,6 +172,55 @@ def test_chain_rests_spent_providers():
     assert spent.calls == 1 and chain.fallbacks
 
 
+def test_asking():
+    def ask(prompt, question):
+        return {"none": "sorry", "odd": '{"items": [{"a": 1}]}'}.get(prompt, f'Here: ```json\n{{"items": [{{"a": 1, "b": {len(question)}}}]}}\n```')
+
+    assert enrichment.Asking("x", ask, "good", ("a", "b"), {"STEPS": "s"}).complete([{"a": 1}]) == [{"a": 1, "b": len('STEPS:\ns\n\nITEMS:\n[{"a": 1}]')}]
+    for prompt in ("none", "odd"):
+        with pytest.raises(enrichment.ProviderError):
+            enrichment.Asking("x", ask, prompt, ("a", "b")).complete([{"a": 1}])
+
+
+def test_prepare_and_draft(spark, made):
+    a = settings(made)
+    Analysis(spark, a).runner().run(last=1)
+    names = analysis.prepare(spark, a, "2,1", "16.11.2023", made / "labels.txt", made / "c.yaml")
+    assert names == [" Staff ", "VIP"] and files.line_list(made / "labels.txt") == ["Staff", "VIP"] and files.configured_date(made / "c.yaml") == "2023-11-16"
+    assert not (made / "out/data/messages").exists()
+    text = (made / "script.yaml").read_text()
+    assert len(analysis.draft_script("a script", lambda t: f"```yaml\n{text}```", made / "new.yaml")["steps"]) == 9
+    with pytest.raises(ValueError):
+        analysis.draft_script("a script", lambda t: "steps: []", made / "bad.yaml")
+    assert not (made / "bad.yaml").exists()
+
+
+def test_numbers_within_groups(spark):
+    rows = spark.createDataFrame([(i % 3, i * 7 % 50, i) for i in range(50)], "g int, k long, id long")
+    got = relational.numbered_within(rows, "g", [F.col("k")], "n").collect()
+    for g in range(3):
+        mine = sorted((r for r in got if r.g == g), key=lambda r: r.k)
+        assert [r.n for r in mine] == list(range(len(mine)))
+
+
+def test_nearest_distance_by_blocks(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (60, 4))
+    rows = spark.createDataFrame([(int(i % 2), i, [float(v) for v in x[i]]) for i in range(60)] + [(7, 99, [1.0, 0.0, 0.0, 0.0])], "g int, id long, v array<double>")
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    for block in (7, 2048):
+        got = {r.id: r.core for r in clusters.nearest_distance(rows, "g", "id", "v", block).collect()}
+        assert got[99] is None
+        for i in range(60):
+            assert got[i] == pytest.approx(min(1 - u[i] @ u[j] for j in range(60) if j != i and j % 2 == i % 2), abs=1e-6)
+
+
+def test_fold_and_count(spark):
+    df = spark.createDataFrame([("\x1c Plain\tTEXT \x0b",), (" Ébène ﬁn\u00a0",), (None,), ("😊",)], "t string")
+    assert [r[0] for r in df.select(tx.ascii_fold(F.col("t"))).collect()] == ["plain\ttext", "ebene fin", None, ""]
+    assert [r[0] for r in df.select(tx.counted_tokens(lambda ts: [len(t.split()) for t in ts])(F.col("t"))).collect()] == [2, 2, 0, 1]
+
+
 def test_budget_and_stubs(spark, made):
     a = Analysis(spark, settings(made, budget=0.5), providers={"score": Counting(made / "log", price=1.0)})
     a.load()
