@@ -13,7 +13,8 @@ from chatloom.llm import common, mixing, neardup, packing, pii, quality
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     machine = quality.learned(docs, common.table(spark, sf_dir, "labels"))
-    return quality.scored(docs, machine).filter("quality_score >= 0.5").select(*docs.columns)
+    docs, back = common.set_aside(docs, ("quality_score",))
+    return back(quality.scored(docs, machine).filter("quality_score >= 0.5").select(*docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,10 +28,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Identifiers and the terms that reveal them are generalised or removed."""
+    docs, back = common.set_aside(docs, ("pii_base", "pii_spans"))
     out = pii.sanitised(docs).withColumn("text", pii.masked(F.col("text"), F.col("pii_spans")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size("pii_spans") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return back(out.select(*docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
