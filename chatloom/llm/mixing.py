@@ -17,7 +17,8 @@ Scale: token counts are summed for each source and block first; places come from
 Cases: a null source is a source of its own; a null text has no words and counts one token,
 its end; rows that share a ``doc_id`` are told apart by their text, and identical ones take
 neighbouring places; one source alone keeps its weight of 1; an empty table gives an empty
-result; other columns are ignored by ``mix`` and kept by ``mixed_documents``.
+result; a budget of so many tokens that no weights keep to the repetition limit is refused; other
+columns are ignored by ``mix`` and kept by ``mixed_documents``.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, saved, table
+from .common import SPACES, saved, set_aside, table
 
 #: Entropy to reach, as a share of the way from the natural mix's to that of equal weights.
 ENTROPY_SHARE = 0.5
@@ -96,19 +97,21 @@ def exponent(sources: DataFrame, budget: int, entropy_share: float = ENTROPY_SHA
     return round(max(best, least), 9)
 
 
-def mix(docs: DataFrame, budget: int | None = None, entropy_share: float = ENTROPY_SHARE, most_epochs: float = MOST_EPOCHS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, budget: int | None = None, entropy_share: float = ENTROPY_SHARE, most_epochs: float = MOST_EPOCHS, seed: int = SEED, row: str | None = None) -> DataFrame:
     """A row for each time a document is taken.
 
     ``row, doc_id, source, tokens, epoch, weight, source_budget, place`` (fraction of the mix)
-    and ``stretch``, with ``slot`` the order inside a stretch. ``row`` is ``docs._row`` if given.
+    and ``stretch``, with ``slot`` the order inside a stretch. ``row`` is the column of that name, if one is named.
     """
-    given = F.col("_row") if "_row" in docs.columns else F.lit(None).cast("long")
+    given = F.col(row) if row else F.lit(None).cast("long")
     slim = docs.select(given.alias("row"), "doc_id", F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_n"), tokens(F.col("text")).alias("tokens"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_h"))
     slim = saved(slim, "mix-tokens")
     sources = saved(slim.groupBy("_s", "_n").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")), "mix-sources")
     whole = sources.agg(F.sum("tokens").alias("t"), F.sum("docs").alias("d"), F.max("docs").alias("m")).first()
     total, n_docs = whole["t"] or 0, whole["d"] or 0
     budget = total if budget is None else budget
+    if budget > most_epochs * total:
+        raise ValueError(f"a budget of {budget} tokens reads {total} tokens more than {most_epochs} times")
     a = exponent(sources.withColumnRenamed("_s", "source"), budget, entropy_share, most_epochs) if total else 1.0
     power = F.pow(F.col("tokens") / F.lit(float(max(total, 1))), F.lit(a))
     norm = sources.agg(F.sum(power)).first()[0] or 1.0
@@ -136,9 +139,10 @@ def mix(docs: DataFrame, budget: int | None = None, entropy_share: float = ENTRO
 def mixed_documents(docs: DataFrame, **settings: object) -> DataFrame:
     """The documents of the mix with all their columns, a row for each time one is taken."""
     # Row numbers hold only once they are written.
+    docs, back = set_aside(docs, ("_row",))
     numbered = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-documents")
-    taken = mix(numbered, **settings).select(F.col("row").alias("_row"))
-    return numbered.join(taken, "_row").drop("_row")
+    taken = mix(numbered, row="_row", **settings).select(F.col("row").alias("_row"))
+    return back(numbered.join(taken, "_row").drop("_row"))
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
