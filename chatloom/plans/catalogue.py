@@ -310,6 +310,17 @@ def fuzzy_pairs(spark: SparkSession, d: str) -> DataFrame:
     return templates.fuzzy_links(rows).select("a", "b", F.round("score", 4).alias("score"))
 
 
+@query(r"""with v as (select norm, min(doc_id) as id from (select doc_id, trim(lower(regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g')), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') as norm from documents where n_chars <= 1500) where norm <> '' group by norm),
+l as (select *, length(array_to_string(w, ' ')) as n from (select id, list_sort(list_distinct(list_filter(string_split_regex(norm, '\s+'), lambda x: x <> ''))) as w from v) where len(w) > 0),
+p as (select a.id as a, b.id as b, a.n as la, b.n as lb, least(len(a.w), len(b.w)) as k, list_sort(list_intersect(a.w, b.w)) as i from l a join l b on a.id < b.id),
+s as (select a, b, case when len(i) = k then 100.0 else greatest(200.0 * c / (c + la), 200.0 * c / (c + lb)) end as score from (select *, length(array_to_string(i, ' ')) as c from p) where len(i) > 0)
+select a, b, round(score, 4)::double as score from s where score >= 87.5""")
+def fuzzy_links_by_words(spark: SparkSession, d: str) -> DataFrame:
+    """The links that word containment and length ratios give; those by letters alone are beyond SQL."""
+    rows = _fuzzy_input(spark, d).filter("norm <> ''").groupBy("norm").agg(F.min("load_idx").alias("id"))
+    return templates.links_by_words(saved(templates.worded(rows), "fuzzy-words"), 87.5).select("a", "b", F.round("score", 4).alias("score"))
+
+
 _UNIT = "u as (select vec_id, label, list_transform(embedding, lambda x: x::double / nullif(sqrt(list_sum(list_transform(embedding, lambda y: y::double * y::double))), 0)) as v from embeddings)"
 
 
