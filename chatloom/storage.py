@@ -22,7 +22,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def saved(df: DataFrame, tag: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as a table in the shared folder and read it back."""
+    """Cut the lineage: write ``df`` as a table in the shared folder and read it back.
+
+    A lost executor then costs a re-read of this table, never a re-run of what made it.
+    """
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,6 +2,7 @@
 
 import csv
 import json
+import pathlib
 import sqlite3
 import sys
 
@@ -11,7 +12,7 @@ import yaml
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from chatloom import domain
+from chatloom import domain, storage
 from chatloom.functions import formats, prompts
 from chatloom.functions import text as tx
 from chatloom.operators import clusters, conversion, enrichment, ordered, relational
@@ -323,3 +324,11 @@ def test_restart(spark, made):
     (made / "out/notes.csv").write_text("stays")
     r.restart()
     assert not (made / "out/data/messages").exists() and (made / "out/notes.csv").exists()
+
+
+def test_saved_and_discarded(spark):
+    kept = storage.saved(spark.range(5), "test-kept")
+    folder = pathlib.Path(storage.shared_dir(spark).removeprefix("file:"))
+    assert kept.count() == 5 and folder.exists()
+    storage.discard(spark)
+    assert not folder.exists()
