@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import saved
+from .ordered import tertiles
+
 
 def coverage(rows: DataFrame, covered: Column, name: str) -> DataFrame:
     return rows.agg(F.round(F.avg(covered.cast("int")), 6).alias(name), F.count(F.lit(1)).alias("n"))
@@ -21,3 +24,10 @@ def accuracy(truth: DataFrame, predicted: DataFrame, key: str, unsure: str = "am
 def sample(rows: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
     """A repeatable sample of ``k`` rows."""
     return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(k)
+
+
+def stratified_sample(chats: DataFrame, size: str, key: str, counts: tuple[int, int, int] = (6, 8, 6), seed: int = 42) -> DataFrame:
+    """A repeatable sample of so many short, middling and long chats, with their ``stratum``."""
+    rows = saved(tertiles(chats, size, key), "strata")
+    parts = [sample(rows.filter(F.col("stratum") == i), key, k, seed) for i, k in enumerate(counts)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from chatloom import domain, storage
 from chatloom.functions import formats, prompts
 from chatloom.functions import text as tx
-from chatloom.operators import clusters, conversion, enrichment, ordered, relational
+from chatloom.operators import clusters, conversion, enrichment, evaluation, ordered, relational
 from chatloom.plans import analysis
 from chatloom.plans.analysis import RECORDS, Analysis, Settings
 from chatloom.sources import files
@@ -326,6 +326,15 @@ def test_restart(spark, made):
     assert not (made / "out/data/messages").exists() and (made / "out/notes.csv").exists()
 
 
+def test_stratified_sample(spark):
+    chats = spark.createDataFrame([(i, i * i % 97) for i in range(40)], "chat_id long, n long")
+    got = evaluation.stratified_sample(chats, "n", "chat_id").collect()
+    assert got == evaluation.stratified_sample(chats.repartition(3), "n", "chat_id").collect() and len({r.chat_id for r in got}) == 20
+    order = sorted((i * i % 97, i) for i in range(40))
+    assert [sum(r.stratum == s for r in got) for s in range(3)] == [6, 8, 6]
+    assert all(r.stratum == (0 if (at := order.index((r.n, r.chat_id))) < 13 else 1 if at < 26 else 2) for r in got)
+
+
 def test_saved_and_discarded(spark):
     kept = storage.saved(spark.range(5), "test-kept")
     folder = pathlib.Path(storage.shared_dir(spark).removeprefix("file:"))
