@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..storage import saved, shared_dir, table
+
+__all__ = ["saved", "shared_dir", "table"]
+
 #: ASCII white space that separates words everywhere in this subpackage (fixed values).
 SPACES = r"[\x20\x09-\x0D]+"
 U64 = np.uint64
@@ -17,33 +21,6 @@ FEW_GROUPS = 50_000
 DEFAULT_BATCH = "67108864b"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a session on one machine that names none gets a default."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "/tmp/checkpoints/chatloom"
-    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
-
-
-def saved(df: DataFrame, tag: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as a table in the shared folder and read it back.
-
-    A lost executor then costs a re-read of this table, never a re-run of what made it.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
     """Arrow batches of this session hold at most ``most`` bytes; ten thousand long texts would not fit a worker."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -51,6 +28,22 @@ def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
         spark.conf.set(name, most)
 
 
+def set_aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with columns of these names renamed, and what names them back.
+
+    Names are told apart without regard to case, as Spark does.
+    """
+    taken, other = {c.lower() for c in docs.columns}, {}
+    for name in docs.columns:
+        if name.lower() in {n.lower() for n in names}:
+            new = f"{name}_own"
+            while new.lower() in taken:
+                new += "_"
+            taken.add(new.lower())
+            other[name] = new
+    return docs.withColumnsRenamed(other), lambda out: out.withColumnsRenamed({new: name for name, new in other.items()})
+
+
 def least_hashed(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
     """Up to ``most`` rows of each ``group``, those with the least hash of their ``key``.
 

@@ -22,15 +22,17 @@ Everything is DataFrame expressions. Positions are code points, ends exclusive.
 
 Cases: a null text is the empty text; rows that share a ``doc_id`` are kept apart; a null
 ``doc_id`` stays null; identical rows get identical spans; an empty table gives an empty
-result; other columns pass through ``sanitised`` untouched.
+result; other columns pass through ``sanitised`` untouched, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import saved, set_aside, table
 
 # The kinds and their patterns. Repetitions that nothing can follow are
 # possessive, and a run is tried from its start only: the same matches, in linear time.
@@ -46,30 +48,80 @@ KINDS = ("email", "ip", "card", "phone")
 TERM = r"\p{L}{4,}"
 #: Disclosure thresholds: p(e | t), I(t; e) in bits, and S in bits (a chance of one in 256).
 MIN_P, MIN_BITS, MIN_SURE = 0.5, 6.0, 8.0
+#: Code points of a chunk of a text that is rewritten.
+CHUNK = 1024
 #: Most words of 64 bits in a bit map: more values than fit make it let more rows pass, never fewer.
 WORDS = 1 << 20
 
 _SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _running(values: Column, both: Callable[[Column, Column], Column]) -> Column:
+    """Running sums or maxima of an array, by doubling steps: n log n, where growing an array is quadratic."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(2)))).cast("int") - 1)
+
+    def twice(acc: Column, k: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(acc, lambda x, i: F.when(i >= back, both(x, F.get(acc, i - back))).otherwise(x))
+
+    return F.aggregate(rounds, values, twice)
+
+
+def _ends(values: Column, pieces: Column) -> Column:
+    """Where the matches ``values`` end, from the pieces between them."""
+    sizes = F.transform(values, lambda v, i: F.char_length(v) + F.char_length(F.get(pieces, i)))
+    return _running(sizes, lambda x, y: x + y)
+
+
 def _spans(text: Column, pattern: str, kind: str) -> Column:
     """Leftmost non-overlapping matches with their places, from the pieces between them."""
-    empty = F.array().cast(f"array<{_SPAN}>")
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("v"), F.split(text, pattern, -1).alias("p"))
+
+    def placed(m: Column) -> Column:
+        def with_ends(ends: Column) -> Column:
+            return F.transform(m["v"], lambda v, i: F.struct(F.lit(kind).alias("kind"), (F.get(ends, i) - F.char_length(v)).alias("start"), F.get(ends, i).alias("end"), v.alias("value")))
+
+        return F.when(F.size(m["v"]) == 0, F.array().cast(f"array<{_SPAN}>")).otherwise(_bound(_ends(m["v"], m["p"]), with_ends))
 
-    def place(pair: Column) -> Column:
-        values, pieces = pair["v"], pair["p"]
-        start = F.struct(empty.alias("out"), F.lit(0).cast("int").alias("at"))
+    return _bound(found, placed)
 
-        def step(acc: Column, i: Column) -> Column:
-            value = F.get(values, i)
-            lo = acc["at"] + F.char_length(F.get(pieces, i))
-            hi = lo + F.char_length(value)
-            return F.struct(F.concat(acc["out"], F.array(F.struct(F.lit(kind).alias("kind"), lo.alias("start"), hi.alias("end"), value.alias("value")))).alias("out"), hi.alias("at"))
 
-        return F.when(F.size(values) == 0, empty).otherwise(F.aggregate(F.sequence(F.lit(0), F.size(values) - 1), start, step, lambda acc: acc["out"]))
+def _cut(chunks: Column, lo: Column, hi: Column) -> Column:
+    """Code points ``lo`` to ``hi`` of a text given as chunks of ``CHUNK``: a place in a long text costs no scan from its start."""
 
-    return F.get(F.transform(F.array(F.struct(found.alias("v"), F.split(text, pattern, -1).alias("p"))), place), 0)
+    def part(k: Column) -> Column:
+        at = F.greatest(lo - k * CHUNK, F.lit(0))
+        return F.substring(F.get(chunks, k), at + 1, F.least(hi - k * CHUNK, F.lit(CHUNK)) - at)
+
+    between = F.sequence(F.floor(lo / CHUNK).cast("int"), F.floor((hi - 1) / CHUNK).cast("int"))
+    return F.when(hi <= lo, F.lit("")).otherwise(F.array_join(F.transform(between, part), ""))
+
+
+def _rewritten(text: Column, spans: Column, mark: Callable[[Column, Column, Column], Column]) -> Column:
+    """The text with each span replaced by ``mark(span, its text, the end of all before it)``.
+
+    Spans go by start, the longest first; what overlaps one before it is not in the text any more.
+    """
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("rev"), s["kind"].alias("kind"))))
+    parts = F.struct(ordered.alias("s"), F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)).alias("c"))
+
+    def run(p: Column) -> Column:
+        def pieces(tops: Column) -> Column:
+            def piece(s: Column, i: Column) -> Column:
+                before = F.coalesce(F.get(tops, i - 1), F.lit(0))
+                word = _cut(p["c"], s["start"], -s["rev"])
+                return F.concat(_cut(p["c"], before, s["start"]), mark(s, word, before))
+
+            return F.concat(F.array_join(F.transform(p["s"], piece), ""), _cut(p["c"], F.element_at(tops, -1), F.char_length(text)))
+
+        return _bound(_running(F.transform(p["s"], lambda s: -s["rev"]), lambda x, y: F.greatest(x, y)), pieces)
+
+    return F.when(text.isNull() | (F.size(spans) == 0), text).otherwise(_bound(parts, run))
 
 
 def _luhn(digits: Column) -> Column:
@@ -109,16 +161,7 @@ def _entity(s: Column) -> Column:
 
 def _free(text: Column, base: Column) -> Column:
     """The text with blanks for the code points of its identifiers."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(acc: Column, s: Column) -> Column:
-        piece = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        blanks = F.repeat(F.lit(" "), s["end"] - F.greatest(s["start"], acc["at"]))
-        return F.struct(F.concat(acc["out"], piece, blanks).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
-
-    ordered = F.array_sort(F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    done = F.aggregate(ordered, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    return F.when(F.size(base) == 0, text).otherwise(done)
+    return _rewritten(text, base, lambda s, word, before: F.repeat(F.lit(" "), -s["rev"] - F.greatest(s["start"], before)))
 
 
 def _terms(free: Column) -> Column:
@@ -126,32 +169,38 @@ def _terms(free: Column) -> Column:
 
 
 def _places(free: Column, wanted: Column) -> Column:
-    """Spans of the terms whose numbers in the text are in ``wanted``, which is sorted."""
-    empty = F.array().cast(f"array<{_SPAN}>")
+    """Spans of the terms whose numbers in the text are in ``wanted``."""
+    found = F.struct(F.regexp_extract_all(free, F.lit(TERM), F.lit(0)).alias("v"), F.split(free, TERM, -1).alias("p"), wanted.alias("w"))
+
+    def placed(t: Column) -> Column:
+        def with_ends(ends: Column) -> Column:
+            def span(i: Column) -> Column:
+                return F.struct(F.lit("term").alias("kind"), (F.get(ends, i) - F.char_length(F.get(t["v"], i))).alias("start"), F.get(ends, i).alias("end"), F.lit(None).cast("string").alias("value"))
 
-    def place(t: Column) -> Column:
-        start = F.struct(empty.alias("out"), F.lit(0).alias("at"), F.lit(0).alias("k"))
+            return F.transform(t["w"], span)
 
-        def step(acc: Column, i: Column) -> Column:
-            lo = acc["at"] + F.char_length(F.get(t["p"], i))
-            hi = lo + F.char_length(F.get(t["v"], i))
-            hit = F.get(t["w"], acc["k"]) == i
-            span = F.struct(F.lit("term").alias("kind"), lo.alias("start"), hi.alias("end"), F.lit(None).cast("string").alias("value"))
-            return F.struct(F.when(hit, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"), hi.alias("at"), F.when(hit, acc["k"] + 1).otherwise(acc["k"]).alias("k"))
+        return _bound(_ends(t["v"], t["p"]), with_ends)
 
-        return F.aggregate(F.sequence(F.lit(0), F.array_max(t["w"])), start, step, lambda acc: acc["out"])
+    return _bound(found, placed)
 
-    values = F.regexp_extract_all(free, F.lit(TERM), F.lit(0))
-    return F.get(F.transform(F.array(F.struct(values.alias("v"), F.split(free, TERM, -1).alias("p"), wanted.alias("w"))), place), 0)
 
+class _Marks:
+    """A bit map of the values of ``wanted.column``, to tell rows apart before they are shuffled."""
 
-def _marked(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
-    """``rows`` whose ``column`` may be in ``wanted``: a bit map drops most others before a shuffle."""
-    words = 1 << min(WORDS.bit_length() - 1, max(10, wanted.count().bit_length()))
-    spot = F.xxhash64(column)
-    word, bit = F.shiftright(spot, 6).bitwiseAND(F.lit(words - 1)), spot.bitwiseAND(F.lit(63)).cast("int")
-    maps = wanted.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
-    return rows.join(F.broadcast(maps), (word == F.col("_word")) & (F.getbit("_bits", bit) == 1), "left_semi")
+    def __init__(self, wanted: DataFrame, column: str) -> None:
+        self.words = 1 << min(WORDS.bit_length() - 1, max(10, wanted.count().bit_length()))
+        word, bit = self._spot(column)
+        self.maps = saved(wanted.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits")), "pii-marks")
+
+    def _spot(self, column: str) -> tuple[Column, Column]:
+        spot = F.xxhash64(column)
+        return F.shiftright(spot, 6).bitwiseAND(F.lit(self.words - 1)), spot.bitwiseAND(F.lit(63)).cast("int")
+
+    def rows(self, rows: DataFrame, column: str, there: bool = True) -> DataFrame:
+        """The rows that may be wanted, or those that are certainly not."""
+        word, bit = self._spot(column)
+        # At most WORDS rows, whatever the input.
+        return rows.join(F.broadcast(self.maps), (word == F.col("_word")) & (F.getbit("_bits", bit) == 1), "left_semi" if there else "left_anti")
 
 
 def _discloses(n_docs: int) -> Column:
@@ -165,8 +214,11 @@ def _discloses(n_docs: int) -> Column:
 def disclosed(rows: DataFrame, n_docs: int) -> DataFrame:
     """``term``: those that are over the thresholds with some entity.
 
-    ``rows``: all documents, with ``row``, ``text_key``, ``free`` text and ``entities``. Pairs
-    are counted per text first, so copies and a hot entity shrink before the shuffle.
+    ``rows``: all documents, with ``row``, ``text_key``, ``free`` text and ``entities``. Entities
+    that stand in the same documents have the same counts with every term, so they are counted as
+    one class: a document of very many identifiers makes few pairs. Classes too rare for a term's
+    least share, or too common for the least information, are left out before pairs are made.
+    Pairs are counted per text first, so copies shrink before the shuffle.
     """
     private = F.size("entities") > 0
     # All terms are counted, map-side first. No entity can have a larger share of a term's
@@ -176,19 +228,23 @@ def disclosed(rows: DataFrame, n_docs: int) -> DataFrame:
     counts = saved(counts.filter((F.col("n_p") > 0) & (F.col("n_p") / F.col("n_t") >= MIN_P)).select("term", "n_t"), "pii-counts")
     known = rows.filter(private)
     entities = known.select("row", F.explode("entities").alias("entity"))
+    held = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), F.bit_xor(F.xxhash64("row")).alias("s"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("t"))
+    classes = entities.join(held.select("entity", "n_e", F.xxhash64("s", "t").alias("class")), "entity").filter(F.col("n_e") * 2**MIN_BITS <= n_docs).select("row", "class", "n_e").distinct()
     told = known.select("row", "text_key", F.explode(F.array_distinct(_terms(F.col("free")))).alias("term"))
-    told = _marked(told, "term", counts).join(counts, "term")
-    by_text = told.join(entities, "row").groupBy("entity", "term", "text_key").agg(F.count(F.lit(1)).alias("n"), F.first("n_t").alias("n_t"))
-    pairs = by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts"), F.first("n_t").alias("n_t"))
-    pairs = pairs.filter(F.col("n_te") / F.col("n_t") >= MIN_P).join(entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")), "entity")
-    return saved(pairs.filter(_discloses(n_docs)).select("term").distinct(), "pii-terms")
+    told = _Marks(counts, "term").rows(told, "term").join(counts, "term")
+    pairs = told.join(classes, "row").filter(F.col("n_e") >= F.col("n_t") * MIN_P)
+    by_text = pairs.groupBy("class", "n_e", "term", "text_key").agg(F.count(F.lit(1)).alias("n"), F.first("n_t").alias("n_t"))
+    found = by_text.groupBy("class", "n_e", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts"), F.first("n_t").alias("n_t"))
+    return saved(found.filter(_discloses(n_docs)).select("term").distinct(), "pii-terms")
 
 
 def sanitised(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The columns of ``docs`` (or those to ``keep``) and ``pii_base``, ``pii_spans`` (arrays of spans).
 
     ``pii_spans`` holds the base spans and a span of kind ``term`` for each place of a disclosed term.
+    Columns of these two names in ``docs`` are replaced.
     """
+    docs, back = set_aside(docs.drop("pii_base", "pii_spans"), ("_pii_row", "_pii_at"))
     known = docs.columns if keep is None else keep
     text = F.coalesce("text", F.lit(""))
     rows = docs.withColumn("_pii_row", F.monotonically_increasing_id()).withColumn("pii_base", base_spans(text))
@@ -198,32 +254,25 @@ def sanitised(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     entities = F.array_distinct(F.transform("pii_base", _entity)).alias("entities")
     terms = disclosed(rows.select(F.col("_pii_row").alias("row"), F.xxhash64(text).alias("text_key"), free, entities), rows.count())
     tokens = rows.select("_pii_row", F.posexplode(_terms(free)).alias("at", "term"))
-    hits = _marked(tokens, "term", terms).join(terms, "term", "left_semi")
-    hits = saved(hits.groupBy("_pii_row").agg(F.array_sort(F.collect_list("at")).alias("wanted")), "pii-hits")  # of one document
-    found = _marked(rows.select("_pii_row", "text", "pii_base"), "_pii_row", hits.select("_pii_row")).join(hits, "_pii_row")
-    extra = found.select("_pii_row", _places(free, F.col("wanted")).alias("_pii_extra"))
-    out = rows.join(extra, "_pii_row", "left")
-    spans = F.when(F.col("_pii_extra").isNull(), F.col("pii_base")).otherwise(F.concat("pii_base", "_pii_extra"))
-    return out.withColumn("pii_spans", spans).select(*known, "pii_base", "pii_spans")
+    hits = _Marks(terms, "term").rows(tokens, "term").join(terms, "term", "left_semi")
+    hits = saved(hits.groupBy("_pii_row").agg(F.array_sort(F.collect_list("at")).alias("_pii_at")), "pii-hits")  # of one document
+    marks = _Marks(hits, "_pii_row")
+    # Only texts that hold terms are shuffled, by the same join at any size.
+    found = marks.rows(rows, "_pii_row").join(hits.hint("merge"), "_pii_row", "left")
+    spans = F.when(F.col("_pii_at").isNull(), F.col("pii_base")).otherwise(F.concat("pii_base", _places(free, F.col("_pii_at"))))
+    plain = marks.rows(rows, "_pii_row", there=False).withColumn("pii_spans", F.col("pii_base"))
+    return back(found.withColumn("pii_spans", spans).select(*known, "pii_base", "pii_spans").unionByName(plain.select(*known, "pii_base", "pii_spans")))
 
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with its spans generalised or removed; overlapping spans make one mark."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("rev"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
-    def step(acc: Column, s: Column) -> Column:
-        end = -s["rev"]
-        piece = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        word = F.substring(text, s["start"] + 1, end - s["start"])
+    def mark(s: Column, word: Column, before: Column) -> Column:
         shape = F.regexp_replace(F.regexp_replace(word, r"\p{Lu}", "X"), r"\p{Ll}", "x")
-        mark = F.when(s["kind"] != "term", F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).when(word.rlike(r"\p{Lu}"), shape).otherwise(F.lit(""))
-        fresh = F.struct(F.concat(acc["out"], piece, mark).alias("out"), end.alias("at"))
-        inside = F.struct(acc["out"].alias("out"), F.greatest(acc["at"], end).alias("at"))
-        return F.when(s["start"] >= acc["at"], fresh).otherwise(inside)
+        shown = F.when(s["kind"] != "term", F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).when(word.rlike(r"\p{Lu}"), shape).otherwise(F.lit(""))
+        return F.when(s["start"] >= before, shown).otherwise(F.lit(""))
 
-    done = F.aggregate(ordered, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    return F.when(text.isNull() | (F.size(spans) == 0), text).otherwise(done)
+    return _rewritten(text, spans, mark)
 
 
 def _joined(spans: Column) -> Column:
