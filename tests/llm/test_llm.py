@@ -80,9 +80,11 @@ def test_fingerprints(docs, empty, rows):
 def test_fingerprints_of_short_texts(spark):
     texts = [f"a{i} b c d e" for i in range(40)]
     df = spark.createDataFrame([(t, f"{t} f g h") for t in texts], "text string, longer string")
-    a, b = fingerprints.sketch(F.col("text")), fingerprints.sketch(F.col("longer"))
-    got = df.select(fingerprints.fingerprint(a).alias("f"), fingerprints.containment(a, b).alias("c")).collect()
-    assert len({r.f for r in got} - {""}) == 40 and all(r.c == 1 for r in got)
+    a, b = ([fingerprints.sketch(F.col(c), one_in=n) for n in (1, 2)] for c in ("text", "longer"))
+    got = df.select(*[fingerprints.fingerprint(x).alias(f"f{n}") for n, x in enumerate(a)], *[fingerprints.containment(x, y).alias(f"c{n}") for n, (x, y) in enumerate(zip(a, b, strict=True))]).collect()
+    # No text with words is blank at any fraction; the whole range gives exact likeness, half of it finds most.
+    assert len({r.f0 for r in got} - {""}) == len({r.f1 for r in got} - {""}) == 40 and all(r.c0 == 1 for r in got)
+    assert sum(r.c1 == 1 for r in got) >= 15 and {r.c1 for r in got} <= {0.0, 1.0}
 
 
 def test_pii(spark, empty):
@@ -231,11 +233,25 @@ def test_mixing(spark, empty):
 def test_pipeline(spark, tmp_path, rows):
     import corpus_pipeline
 
-    good = [(i, t, "en", f"s{i % 3}", len(t or "")) for i, t, *_ in rows if i is not None]
-    bad = [(5000 + i, " ".join(["NO!!"] * 30 + [f"Q{i}##"] * 9), "en", "s0", 10) for i in range(40)]
-    spark.createDataFrame(good + bad, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    good = [(i, t, "en", f"s{i % 3}", len(t or ""), i, f"own{i}", i) for i, t, *_ in rows if i is not None]
+    bad = [(5000 + i, " ".join(["NO!!"] * 30 + [f"Q{i}##"] * 9), "en", "s0", 10, 0, "", 0) for i in range(40)]
+    # Extra columns whose names the stages use themselves.
+    spark.createDataFrame(good + bad, "doc_id long, text string, lang string, source string, n_chars long, _row long, pii_base string, Quality_Score long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(r[0], int(r[0] < 5000), 0) for r in good + bad], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     kept = {r.doc_id for r in out}
     assert kept and all(i < 5000 for i in kept) and [n for n, _ in corpus_pipeline.STAGES] == ["quality", "neardup", "pii", "mix", "pack"]
     assert not kept & {r[0] for r in good if r[1] == next(x[1] for x in good if x[0] == 0) and r[0] != 0}
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = packing.saved(stage(spark, docs, str(tmp_path)), "test-stage")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "_row", "pii_base", "Quality_Score"]
+        assert docs.filter("_row <> doc_id or pii_base <> concat('own', doc_id) or Quality_Score <> doc_id").isEmpty() and not docs.isEmpty()
+
+
+def test_pipeline_without_labels(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, "a few words here", None, None, None), (1, "other words of this id", None, None, None)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 2
