@@ -21,6 +21,7 @@ from ..functions import text as tx
 from ..functions.formats import chosen_numbers, json_cell, without_fence
 from ..operators import clusters, conversion, enrichment, ordered, relational, reporting, templates
 from ..sources import files, sqlite
+from ..storage import saved
 from .runner import Runner, Stage
 
 #: Characters of a template that are scored, and templates or messages of a call.
@@ -114,14 +115,14 @@ class Analysis:
         """
         path = self.settings.data / task
         done = self.table(task) if path.exists() else self.spark.createDataFrame([], RECORDS[task])
-        done = relational.saved(done if stub is None else done.filter(~F.coalesce(stub, F.lit(False))), f"{task}-done")
+        done = saved(done if stub is None else done.filter(~F.coalesce(stub, F.lit(False))), f"{task}-done")
         left = relational.numbered(enrichment.pending(items, done, key), order).select("idx", *items.columns)
-        left = relational.saved(left, f"{task}-left")
+        left = saved(left, f"{task}-left")
         provider = self.provider(task)
         spent = self._document("usage.json").get("cost", 0.0)
         enrichment.guard(spent, float(getattr(provider, "price", 0.0)) * -(-left.count() // size), self.settings.budget)
         calls = enrichment.enrich_cached(left, provider, key, size, str(self.settings.data / "cache"), version=json.dumps(self.settings.fingerprint()), skip_errors=skip_errors)
-        found = relational.saved(enrichment.strict(enrichment.records(calls, RECORDS[task]), rules), f"{task}-found")
+        found = saved(enrichment.strict(enrichment.records(calls, RECORDS[task]), rules), f"{task}-found")
         out = self._keep(done.unionByName(found), task)
         use = {r["bucket"]: r.asDict() for r in enrichment.usage(calls).collect()}  # a row for each provider
         known = self._document("usage.json")
@@ -142,7 +143,7 @@ class Analysis:
         barred = relational.excluded_keys(links, labels.filter("type = 0").select("label_id", "label_name"), out_of, "jid_row_id", "label_id")
         rows = relational.without(rows, barred, "jid_row_id")
         m = rows.select(F.col("chat_row_id").alias("chat_id"), F.col("_id").alias("msg_id"), F.col("timestamp").alias("ts_ms"), (F.col("from_me") != 0).alias("from_me"), tx.clean_text(F.col("text_data")).alias("text"), F.col("text_data").alias("text_raw"), "phone")
-        m = relational.saved(relational.sized(m), "analysis-messages")
+        m = saved(relational.sized(m), "analysis-messages")
         if s.phones is None:
             chosen = relational.long_chats(m, domain.MIN_MESSAGES, s.chat_limit)
             kept = m.join(chosen.select("chat_id"), "chat_id", "left_semi")
@@ -154,7 +155,7 @@ class Analysis:
         names = links.join(labels.filter("type = 0").select("label_id", "label_name"), "label_id").join(jid.select(F.col("_id").alias("jid_row_id"), F.col("user").alias("phone")), "jid_row_id").join(phones, "phone", "left_semi")
         self._keep(relational.labels_per_key(names, "phone", "label_name"), "chat_labels")
         excluded = chat.filter("group_type = 0").join(barred, "jid_row_id", "left_semi").agg(F.count_distinct("_id").alias("n")).first()["n"]
-        files.write_jsonl_file(self.conversations(), s.data / "conversations.jsonl", ["chat_id"])
+        files.write_jsonl(self.conversations(), str(s.data / "conversations.jsonl"), ["chat_id"])
         summary = {"excluded_labels": list(s.excluded_labels), "excluded_chats_count": excluded, "kept_chats_count": kept.select("chat_id").distinct().count(), "from_date": s.from_date}
         files.write_json(s.data / "stage1_summary.json", summary)
         present = labels.filter("type = 0").select(F.trim(F.coalesce("label_name", F.lit(""))).alias("name")).distinct()
@@ -183,7 +184,7 @@ class Analysis:
     def dedupe(self, _: Any = None) -> dict[str, Any]:
         """Templates of agents' messages, and each message's template."""
         said = self.table("messages").filter("from_me").withColumn("norm", tx.ascii_fold(F.col("text")))
-        said = relational.saved(relational.numbered(said, [F.col("chat_id"), F.col("ts_ms"), F.col("msg_id")], "load_idx"), "analysis-agent")
+        said = saved(relational.numbered(said, [F.col("chat_id"), F.col("ts_ms"), F.col("msg_id")], "load_idx"), "analysis-agent")
         out, of = templates.fuzzy_templates(said.select("load_idx", "msg_id", "ts_ms", "text", "norm"))
         self._keep(of, "template_map")
         return {"templates": self._keep(out, "templates").count()}
@@ -214,7 +215,7 @@ class Analysis:
 
     def convert(self, _: Any = None) -> dict[str, Any]:
         """What became of each chat, turnarounds and lost deals."""
-        m = relational.saved(ordered.positioned(self.table("messages")), "analysis-positions")
+        m = saved(ordered.positioned(self.table("messages")), "analysis-positions")
         objections = self.table("labelled").filter("objection_type is not null and not from_me").select("chat_id", "msg_id").join(m.select("chat_id", "msg_id", "pos"), ["chat_id", "msg_id"]).select("chat_id", "pos")
         texts = conversion.transcripts(m, objections, tokens=self.tokens)
         rules = enrichment.conversion_rules()

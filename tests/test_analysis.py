@@ -85,7 +85,7 @@ def test_end_to_end(spark, made):
     m = a.table("messages")
     assert {r.chat_id for r in m.select("chat_id").distinct().collect()} == {1, 2} and m.filter("text like '%http%' or text like '%  %'").isEmpty()
     assert a.table("messages_short").count() == 5
-    lines = [json.loads(x) for x in (made / "out/data/conversations.jsonl").read_text().splitlines()]
+    lines = [json.loads(x) for part in sorted((made / "out/data/conversations.jsonl").glob("part-*")) for x in part.read_text().splitlines()]
     assert [c["chat_id"] for c in lines] == [1, 2] and len(lines[0]["messages"]) == 25 and lines[0]["phone"] == "5511000000001"
     assert [x["msg_id"] for x in lines[0]["messages"]] == sorted(x["msg_id"] for x in lines[0]["messages"])
     found = {r.chat_id: r for r in a.table("conversions").collect()}
@@ -302,6 +302,8 @@ def test_more_files(spark, tmp_path):
     assert files.read_jsonl(spark, str(tmp_path / "no.jsonl"), "a long", missing_ok=True).count() == 0
     files.write_jsonl(spark.createDataFrame([(1, None)], "a long, b string"), str(tmp_path / "j"))
     assert files.read_jsonl(spark, str(tmp_path / "j"), "a long, b string").first() == (1, None)
+    files.write_jsonl_file(spark.range(20).select((F.col("id") * 7 % 20).alias("a")), tmp_path / "one.jsonl", ["a"])
+    assert [json.loads(x)["a"] for x in (tmp_path / "one.jsonl").read_text().splitlines()] == list(range(20))
     files.write_json(tmp_path / "m.json", {"7": 1, "8": 2})
     assert {tuple(r) for r in files.read_json_map(spark, tmp_path / "m.json", "msg_id", "template_id").collect()} == {(7, 1), (8, 2)}
     for _ in range(2):
