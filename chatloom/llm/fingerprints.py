@@ -1,16 +1,17 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A sketch keeps every shingle hash below a fixed fraction of the hash range; the operator keeps
-the whole range, so that short texts lose nothing and likeness is exact. Which hashes it
-keeps never depends on a document's length, so the sketch of a union is the union of the
-sketches, and containment can be estimated between a page and a book. The fingerprint is the
+A sketch keeps every shingle hash below a fixed fraction of the hash range, and of a text that has
+none there its least hash alone, so that no text with words is blank. Which hashes it keeps never
+depends on a document's length, so sketches merge: the sketch of a union is made from the union of
+the sketches, and containment can be estimated between a page and a book. The fingerprint is the
 sorted hashes in hex, joined by commas.
 
-Shingles are five consecutive words; a text of one to four words is one shingle. Likeness is
-the share of the smaller sketch that the other one holds (1 for equal texts).
+Shingles are five consecutive words; a text of one to four words is one shingle. Likeness is a
+function of the two fingerprints alone: the share of the smaller sketch that the other one holds,
+1 for equal ones.
 
-Cases: a null or blank text has an empty fingerprint; an empty sketch is like nothing but an
-equal text; equal texts have equal fingerprints; rows that share a ``doc_id`` follow each
+Cases: a null or blank text has an empty fingerprint, which is like another empty one (1) and
+nothing else (0); equal texts have equal fingerprints; rows that share a ``doc_id`` follow each
 other by text; a null ``doc_id`` sorts first; the only row of a table is its own successor;
 an empty table gives an empty result; other columns are ignored.
 """
@@ -23,20 +24,27 @@ from pyspark.sql import functions as F
 from .common import SPACES, range_bounds, range_bucket, table
 
 #: Words of a shingle, and the share of the hash range that a sketch keeps (one in ``ONE_IN``).
-SHINGLE, ONE_IN = 5, 1
+SHINGLE, ONE_IN = 5, 2
 #: Documents of a range: what one task sorts at once.
 ROWS_PER_RANGE = 2_000
 
 
+def _least(hashes: Column, one_in: int) -> Column:
+    """Of hashes in order, those below the threshold, or the least one."""
+    most = -(2**63) + 2**64 // one_in - 1
+    low = F.filter(hashes, lambda h: h <= most)
+    return F.when(F.size(low) == 0, F.slice(hashes, 1, 1)).otherwise(low) if one_in > 1 else hashes
+
+
 def sketch(text: Column, shingle: int = SHINGLE, one_in: int = ONE_IN) -> Column:
     """Sorted distinct shingle hashes below the threshold, as ``array<bigint>``."""
     words = F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
-    most = -(2**63) + 2**64 // one_in - 1
 
     def of(w: Column) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(w) - shingle, F.lit(0)))
         hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(shingle)]))
-        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h <= most))))
+        kept = F.get(F.transform(F.array(F.array_sort(F.array_distinct(hashes))), lambda h: _least(h, one_in)), 0)
+        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(kept)
 
     # transform over a one-element array binds the words once.
     return F.get(F.transform(F.array(words), of), 0)
@@ -47,14 +55,14 @@ def fingerprint(sketched: Column) -> Column:
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Share (estimated, where sketches keep a part) of the smaller document's shingles that are in the other one."""
+    """Share, estimated from the sketches, of the smaller document's shingles that are in the other one."""
     least = F.least(F.size(a), F.size(b))
-    return F.when(least == 0, 0.0).otherwise(F.size(F.array_intersect(a, b)) / least)
+    return F.when(F.size(a) + F.size(b) == 0, 1.0).when(least == 0, 0.0).otherwise(F.size(F.array_intersect(a, b)) / least)
 
 
-def merged(sketches: Column) -> Column:
-    """Aggregate: the sketch of a union of documents is the union of their sketches."""
-    return F.array_sort(F.array_distinct(F.flatten(F.collect_list(sketches))))
+def merged(sketches: Column, one_in: int = ONE_IN) -> Column:
+    """Aggregate: the sketch of a union of documents, from their sketches."""
+    return _least(F.array_sort(F.array_distinct(F.flatten(F.collect_list(sketches)))), one_in)
 
 
 def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
@@ -93,15 +101,12 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     edited = F.concat(F.left("text", n - half), F.left("next_text", half))
     rows = rows.withColumn("edited", edited).withColumn("edited_sketch", sketch(F.col("edited")))
 
-    def likeness(a: str, b: str, same: Column) -> Column:
-        return F.when(same, 1.0).otherwise(containment(F.col(a), F.col(b)))
-
     return rows.select(
         "doc_id",
         n.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint(F.col("sketch")).alias("fingerprint"),
         fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch", F.col("text") == F.col("edited")).alias("near_edited"),
-        likeness("sketch", "next_sketch", F.col("text") == F.col("next_text")).alias("near_next"),
+        containment(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        containment(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
     )
