@@ -14,8 +14,9 @@ driver (at most ``2 * SAMPLE`` sparse rows of ``WORDS`` columns). Scoring reads
 
 Cases: null and empty texts score as a text without words; rows without a label are scored,
 not learned from; rows that share a ``doc_id`` share its label and score by their own text; a
-null ``doc_id`` is scored and never learned from; without labels of both classes every score
-is the share of label 1 (0.5 if there is none); other columns are ignored.
+``doc_id`` with labels of both kinds is not learned from; a null ``doc_id`` is scored and never
+learned from; without labels of both classes every score is the share of label 1 (0.5 if there
+is none); ``scored`` keeps other columns and replaces one named ``quality_score``.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Words, slices, table
+from .common import U64, Words, bounded_batches, least_hashed, slices, table
 
 #: Columns of hashed words, factors of an interaction, labelled rows of each class to learn from.
 WORDS, FACTORS, SAMPLE = 1 << 13, 6, 1200
@@ -141,7 +142,7 @@ def fit(sample: list, seed: int = SEED) -> Machine:
     w = np.zeros(STATS + WORDS)
     v = rng.normal(0, 0.05, (STATS + WORDS, FACTORS))
     mean, scale = np.zeros(STATS), np.ones(STATS)
-    if not 0 < p < 1:
+    if not len(labels) or not 0 < p < 1:
         v[:] = 0
         return Machine(float(np.clip(np.log(max(p, 1e-9) / max(1 - p, 1e-9)), -20, 20)), w, v, mean, scale)
     stats = np.array([r["stats"] for r in sample], dtype=np.float64)
@@ -166,16 +167,16 @@ def fit(sample: list, seed: int = SEED) -> Machine:
             d = g * (x[:, None] * once - va * (x * x)[:, None]) + DECAY * va
             gv[at] += d * d
             v[at] = va - RATE * d / np.sqrt(gv[at])
-    # Classes were weighted alike; the intercept goes back to their true shares.
+    # Classes were weighted alike; half of the sample's log odds goes back to the intercept.
     return Machine(w0 + float(np.log(p / (1 - p))) * 0.5, w, v, mean, scale)
 
 
 def learned(docs: DataFrame, labels: DataFrame) -> Machine:
     """Fit on labelled rows outside the held-out third."""
-    known = labels.select("doc_id", F.col("quality").alias("label")).filter("doc_id is not null and label in (0, 1)").filter(~held_out(F.col("doc_id"), 3, 1)).dropDuplicates(["doc_id"])
-    place = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # At most 2 * SAMPLE rows.
-    chosen = known.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= SAMPLE).drop("_place")
+    bounded_batches(docs.sparkSession)
+    known = labels.select("doc_id", F.col("quality").alias("label")).filter("doc_id is not null and label in (0, 1)").filter(~held_out(F.col("doc_id"), 3, 1))
+    sure = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_high")).filter("label = _high").drop("_high")
+    chosen = least_hashed(sure, "label", "doc_id", SAMPLE)  # at most 2 * SAMPLE rows
     picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     inputs = picked.mapInPandas(_rows, "doc_id long, label int, columns array<int>, values array<float>, stats array<float>")
     return fit(sorted(inputs.collect(), key=lambda r: (r["doc_id"], len(r["columns"]), r["stats"][0])))
