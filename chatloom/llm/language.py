@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, mixed, slices, table
+from .common import U64, bounded_batches, least_hashed, mixed, slices, table
 from .quality import held_out
 
 FEATURES, GRAMS, SAMPLE, SCALE = 1 << 15, 3, 400, 20.0
@@ -153,11 +153,10 @@ def fit(sample: list) -> Model:
 
 def learned(docs: DataFrame) -> Model:
     """Fit on rows with a language outside the held-out fourth."""
+    bounded_batches(docs.sparkSession)
     known = docs.filter("doc_id is not null and lang is not null and text is not null").filter(~held_out(F.col("doc_id"), 4, 2))
     ids = known.select("doc_id", "lang").distinct()
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # At most SAMPLE rows a language; the limit is pushed below the shuffle.
-    chosen = ids.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= SAMPLE).drop("_place")
+    chosen = least_hashed(ids, "lang", "doc_id", SAMPLE)  # at most SAMPLE rows a language
     picked = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
     return fit(picked.mapInPandas(_counts, "doc_id long, lang string, columns array<int>, counts array<int>").collect())
 
