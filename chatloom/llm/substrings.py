@@ -20,6 +20,7 @@ very long text is worked on whole; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Words, mixed, slices, table
+from .common import U64, Words, bounded_batches, mixed, slices, table
 
 WINDOW, GRAM = 20, 4
 #: Bytes of text hashed together, of packed strings a task holds, and of those in a bucket.
@@ -107,6 +108,7 @@ def _packed(hot: np.ndarray, buckets: int) -> object:
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[bytes, tuple] = {}
         repeats: list[tuple] = []
+        ties: list[tuple[bytes, tuple]] = []
         held = 0
         for batch in batches:
             texts, docs, keys = batch["text"].tolist(), batch["doc"].tolist(), batch["text_key"].tolist()
@@ -130,16 +132,19 @@ def _packed(hot: np.ndarray, buckets: int) -> object:
                     elif (mine[0], s) > (other[0], other[2]):
                         repeats.append(mine)
                         held += 60
+                    elif mine[1] != other[1]:  # another text of the same id: which is a repeat, only the bucket knows
+                        ties.append((words, mine))
+                        held += e - a + 60
                 if held > HELD:
-                    yield flush(seen, repeats)
-                    seen, repeats, held = {}, [], 0
+                    yield flush(seen, repeats, ties)
+                    seen, repeats, ties, held = {}, [], [], 0
         if seen or repeats:
-            yield flush(seen, repeats)
+            yield flush(seen, repeats, ties)
 
-    def flush(seen: dict[bytes, tuple], repeats: list[tuple]) -> pd.DataFrame:
+    def flush(seen: dict[bytes, tuple], repeats: list[tuple], ties: list[tuple[bytes, tuple]]) -> pd.DataFrame:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         by: dict[int, list] = {}
-        for words, place in seen.items():
+        for words, place in itertools.chain(seen.items(), ties):
             by.setdefault(place[4], []).append((words, place))
         for items in by.values():  # like strings side by side
             items.sort()
@@ -183,20 +188,29 @@ def _count(pdf: pd.DataFrame) -> pd.DataFrame:
     place, repeat = np.concatenate(places), np.concatenate(repeats)
     if strings:
         w = Words(strings)
+        del strings, places
         n = len(w.h) - WINDOW + 1
-        at = np.flatnonzero(w.doc[:n] == w.doc[WINDOW - 1 :])
+        # Numbers of words fit 32 bits in a bucket; arrays go as soon as they are used.
+        at = np.flatnonzero(w.doc[:n] == w.doc[WINDOW - 1 :]).astype(np.int32)
         hashed = _sums(w.h, WINDOW)[at]
-        owner = w.doc[at]
-        doc, start = place["doc"][owner], place["start"][owner] + (at - w.first[owner])
+        owner = w.doc[at].astype(np.int32)
+        w.h = w.doc = w.bytes = None
+        doc, start = place["doc"][owner], (place["start"][owner] + (at - w.first[owner])).astype(np.int32)
         order = np.lexsort((start, doc, hashed))
-        hashed, doc, start, at, owner = hashed[order], doc[order], start[order], at[order], owner[order]
+        hashed, doc, start = hashed[order], doc[order], start[order]
+        at, owner = at[order], owner[order]
         leads = np.concatenate(([True], hashed[1:] != hashed[:-1]))
-        leader = np.flatnonzero(leads)[np.cumsum(leads) - 1]
+        del order, hashed
+        leader = np.flatnonzero(leads).astype(np.int32)[np.cumsum(leads, dtype=np.int32) - 1]
         # A place repeated under one doc_id is no repeat of itself.
         later = np.flatnonzero((doc != doc[leader]) | (start != start[leader]))
         raw, lo, hi = w.raw, w.lo[at], w.hi[at + WINDOW - 1]
-        same = [raw[a:b] == raw[c:d] for a, b, c, d in zip(lo[later].tolist(), hi[later].tolist(), lo[leader[later]].tolist(), hi[leader[later]].tolist(), strict=True)]
-        if not all(same):  # two different windows share a hash: tell them apart by their words
+
+        def same(part: np.ndarray) -> bool:
+            to = leader[part]
+            return all(raw[a:b] == raw[c:d] for a, b, c, d in zip(lo[part].tolist(), hi[part].tolist(), lo[to].tolist(), hi[to].tolist(), strict=True))
+
+        if not all(same(later[k : k + (1 << 16)]) for k in range(0, len(later), 1 << 16)):  # two different windows share a hash: tell them apart by their words
             keep, firsts = [], {}
             for i in range(len(at)):
                 mine = firsts.setdefault(raw[lo[i] : hi[i]], (doc[i], start[i]))
@@ -270,6 +284,7 @@ def _removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text`` of every row."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(int(LAST))).alias("doc"), F.hash("text").alias("text_key"), "text")
     ranges = repeated_ranges(rows.drop("doc_id"))
     by_text = ranges.groupBy("doc", "text_key").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))  # of one text
