@@ -58,6 +58,12 @@ def least_hashed(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
     return low.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= most).drop("_place", "_n")
 
 
+def bounded_rows(rows: DataFrame, group: str, most: int) -> DataFrame:
+    """Up to ``most`` rows ``doc_id, text`` of each ``group``, whatever number of rows share an id; equal rows count once."""
+    once = saved(rows.withColumn("_h", F.xxhash64("doc_id", "text")).dropDuplicates([group, "_h"]), "picked")
+    return once.join(F.broadcast(least_hashed(once.select(group, "_h"), group, "_h", most)), [group, "_h"]).drop("_h")
+
+
 def range_bounds(ids: DataFrame, column: str, rows_per_bucket: int, most: int = 20_000) -> list[int]:
     """Upper bounds that cut ``column`` into ranges of about ``rows_per_bucket`` rows; at most ``most`` of them."""
     n = ids.agg(F.count(column)).first()[0]

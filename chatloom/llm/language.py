@@ -27,17 +27,19 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, bounded_batches, least_hashed, mixed, slices, table
+from .common import U64, bounded_batches, bounded_rows, least_hashed, mixed, slices, table
 from .quality import held_out
 
 FEATURES, GRAMS, SAMPLE, SCALE = 1 << 15, 3, 400, 20.0
+#: Languages that are learned, the most frequent ones; each adds FEATURES weights to the model.
+LANGS = 256
 #: Follow-the-regularised-leader: rate, smoothing, L1 and L2 penalties, passes.
 ALPHA, BETA, L1, L2, EPOCHS, SEED = 0.5, 1.0, 0.02, 0.05, 4, 11
 #: One sampled row in this many calibrates instead of training.
 CALIBRATES = 5
 UNKNOWN = "und"
 CHUNK = 1 << 19
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")
 
 
 def _grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -70,6 +72,12 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[lo:hi], "lang": batch["lang"].to_numpy()[lo:hi], "columns": [(keys[a:b] % FEATURES).astype(np.int32) for a, b in zip(at, at[1:], strict=False)], "counts": [n[a:b].astype(np.int32) for a, b in zip(at, at[1:], strict=False)]})
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether any character is a letter; numerals such as fractions are none."""
+    first = _WORDLIKE.search(text or "")
+    return first is not None and (first[0].isalpha() or any(map(str.isalpha, text)))
+
+
 class Model:
     """``table`` folds weights and inverse document frequencies: a score is a mean over n-grams."""
 
@@ -86,7 +94,7 @@ class Model:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
         p = _softmax(self.logits(texts) / self.temperature)
         best = p.argmax(axis=1)
-        known = np.array([t is not None and _LETTER.search(t) is not None for t in texts], dtype=bool)
+        known = np.array([has_letter(t) for t in texts], dtype=bool)
         return [self.langs[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)], np.where(known, p[np.arange(len(texts)), best], 0.0)
 
 
@@ -152,12 +160,13 @@ def fit(sample: list) -> Model:
 
 
 def learned(docs: DataFrame) -> Model:
-    """Fit on rows with a language outside the held-out fourth."""
+    """Fit on up to ``SAMPLE`` rows of each of the ``LANGS`` most frequent languages, outside the held-out fourth."""
     bounded_batches(docs.sparkSession)
-    known = docs.filter("doc_id is not null and lang is not null and text is not null").filter(~held_out(F.col("doc_id"), 4, 2))
-    ids = known.select("doc_id", "lang").distinct()
-    chosen = least_hashed(ids, "lang", "doc_id", SAMPLE)  # at most SAMPLE rows a language
-    picked = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    known = docs.filter("doc_id is not null and lang is not null and text is not null").filter(~held_out(F.col("doc_id"), 4, 2)).select("doc_id", "lang", "text")
+    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()]
+    known = known.filter(F.col("lang").isin(langs)) if langs else known.limit(0)
+    chosen = least_hashed(known.select("doc_id", "lang").distinct(), "lang", "doc_id", SAMPLE)  # SAMPLE * LANGS ids at most
+    picked = bounded_rows(known.join(F.broadcast(chosen), ["doc_id", "lang"]), "lang", SAMPLE)
     return fit(picked.mapInPandas(_counts, "doc_id long, lang string, columns array<int>, counts array<int>").collect())
 
 

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Words, bounded_batches, least_hashed, slices, table
+from .common import U64, Words, bounded_batches, bounded_rows, least_hashed, slices, table
 
 #: Columns of hashed words, factors of an interaction, labelled rows of each class to learn from.
 WORDS, FACTORS, SAMPLE = 1 << 13, 6, 1200
@@ -176,8 +176,8 @@ def learned(docs: DataFrame, labels: DataFrame) -> Machine:
     bounded_batches(docs.sparkSession)
     known = labels.select("doc_id", F.col("quality").alias("label")).filter("doc_id is not null and label in (0, 1)").filter(~held_out(F.col("doc_id"), 3, 1))
     sure = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_high")).filter("label = _high").drop("_high")
-    chosen = least_hashed(sure, "label", "doc_id", SAMPLE)  # at most 2 * SAMPLE rows
-    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    chosen = least_hashed(sure, "label", "doc_id", SAMPLE)  # at most 2 * SAMPLE ids
+    picked = bounded_rows(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "label", SAMPLE)
     inputs = picked.mapInPandas(_rows, "doc_id long, label int, columns array<int>, values array<float>, stats array<float>")
     return fit(sorted(inputs.collect(), key=lambda r: (r["doc_id"], len(r["columns"]), r["stats"][0])))
 

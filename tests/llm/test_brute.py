@@ -234,11 +234,25 @@ def test_op4(spark, folder, rows):
         assert set(found) == {q for q, hits in want.items() if hits}
         for q, hits in found.items():
             assert [s for _, s in hits] == pytest.approx([s for _, s in want[q]], abs=2e-5)
-            assert [i for i, _ in hits] == [i for i, _ in want[q]] or sorted(i for i, _ in hits) == sorted(i for i, _ in want[q])
+            assert [i for i, _ in hits] == [i for i, _ in want[q]]
     twice = spark.createDataFrame([(1, "aaka baka"), (1, "aaka baka"), (1, "razu sazu"), (None, "aaka")], "query_id long, text string")
     assert {r["count"] for r in search.top_documents(df, twice, 3).groupBy("query_id", "query_key").count().collect()} == {3}
 
 
+def test_op4_ranks_copies_by_id_in_all_shards(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice([f"c{i}" for i in range(200)], rng.integers(20, 60))) for _ in range(40)]
+    docs = [(i * 20, t) for i, t in enumerate(texts * 6)] + [(20 * i + 7, " ".join(rng.choice([f"c{i}" for i in range(200)], 30))) for i in range(600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    asked = df.filter("doc_id < 800 and doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    want = bm25(docs, [d for d in docs if d[0] < 800 and d[0] % 20 == 0], search.TOP)
+    for shard_docs in (10_000, 90):
+        got = collections.defaultdict(list)
+        for r in search.top_documents(df, asked, shard_docs=shard_docs).orderBy("query_id", "rank").collect():
+            got[r.query_id].append(r.doc_id)
+        assert len(got) == 40 and all(ids[:6] == [q + 800 * k for k in range(6)] and ids == [i for i, _ in want[q]] for q, ids in got.items())
+
+
 def test_op4_skips_blocks():
     rng = np.random.default_rng(1)
     texts = [" ".join(rng.choice([f"c{i}" for i in range(30)], 20)) + (" rare twin" if i % 500 == 7 else "") for i in range(4000)]
@@ -248,6 +262,25 @@ def test_op4_skips_blocks():
     assert len(doc) == 5 and all("rare" in texts[d] for d in doc) and index.skipped > 0.5 * index.blocks
 
 
+def test_samples_are_bounded_rows_of_one_id(spark, monkeypatch):
+    """20,000 texts of one id, each twice, bring no more rows to the driver than a sample holds."""
+    brought, one = [], next(i for i in range(99) if zlib.crc32(str(i).encode()) % 4 != 2 and zlib.crc32(str(i).encode()) % 3 != 1)
+    for module in (language, quality):
+        monkeypatch.setattr(module, "fit", lambda rows: brought.append(len(rows)))
+    many = spark.range(40_000).select(F.lit(one).cast("long").alias("doc_id"), F.concat(F.lit("word "), (F.col("id") % 20_000).cast("string")).alias("text"), F.lit("aa").alias("lang"))
+    language.learned(many)
+    quality.learned(many, spark.createDataFrame([(one, 1)], "doc_id long, quality int"))
+    assert brought == [language.SAMPLE, quality.SAMPLE]
+
+
+def test_languages_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGS", 3)
+    rows = [(i, f"{'abcdefgh'[i % 8] * 3} text", f"l{min(i % 8, 5)}") for i in range(400)]
+    used = collections.Counter(r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2)
+    most = sorted(used, key=lambda g: (-used[g], g))[:3]
+    assert language.learned(spark.createDataFrame(rows, "doc_id long, text string, lang string")).langs == sorted(most)
+
+
 def test_op8(spark, folder, rows):
     got = {r.doc_id: r for r in queries.QUERIES["op8_language"](spark, folder).collect()}
     assert all(got[r[0]].held_out == (zlib.crc32(str(r[0]).encode()) % 4 == 2) for r in rows)
@@ -255,6 +288,8 @@ def test_op8(spark, folder, rows):
     right = [got[r[0]].lang_pred == r[2] for r in rows if r[0] < 160 and got[r[0]].held_out]
     assert len(right) > 20 and all(right)
 
+    assert [language.has_letter(t) for t in ("½ 12", "²", "Ⅷ 3", "_", None, "", "² é", "字", "½x")] == [False] * 6 + [True] * 3
+
     # The learner, one coordinate at a time.
     rng = np.random.default_rng(2)
     sample = [{"doc_id": i, "lang": "ab"[i % 2], "columns": np.sort(rng.choice(30, 6, replace=False)) + (20 if i % 2 else 0), "counts": rng.integers(1, 4, 6)} for i in range(80)]
