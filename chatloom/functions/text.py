@@ -52,8 +52,27 @@ def counted_tokens(count: Callable[[list[str]], list[int]]) -> Callable[[Column]
     return counted
 
 
+def tokens_of(chars: Column) -> Column:
+    """The estimate for a text of so many characters."""
+    return F.greatest(F.lit(1), F.floor(chars / 4)).cast("long")
+
+
 def estimated_tokens(text: Column) -> Column:
-    return F.greatest(F.lit(1), F.floor(F.char_length(text) / 4)).cast("long")
+    return tokens_of(F.char_length(text))
+
+
+def vocabulary_tokens(path: str) -> Callable[[Column], Column]:
+    """Tokens by a vocabulary file of a public tokenizer, which all executors can read."""
+    held: list = []
+
+    def count(texts: list[str]) -> list[int]:
+        if not held:
+            import tokenizers
+
+            held.append(tokenizers.Tokenizer.from_file(path))
+        return [len(e.ids) for e in held[0].encode_batch(texts, add_special_tokens=False)]
+
+    return counted_tokens(count)
 
 
 def utc_date(ts_ms: Column) -> Column:

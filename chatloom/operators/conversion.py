@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import domain
-from ..functions.text import estimated_tokens, mentions_any, rendered, utc_date
+from ..functions.text import estimated_tokens, mentions_any, rendered, tokens_of, utc_date
+from ..storage import saved
 from .ordered import first_after, last_after, merged, windows_of, with_gaps
 from .relational import numbered_within
 
@@ -59,36 +60,68 @@ def located(detections: DataFrame, messages: DataFrame) -> DataFrame:
     return out.withColumn("winning_reply_excerpt", F.substring(F.coalesce("winning_reply_excerpt", "_reply"), 1, domain.EXCERPT_CHARS)).drop("_reply")
 
 
-def shrunk_radius(chats: DataFrame, objections: DataFrame, messages: DataFrame, budget: int = domain.TOKEN_BUDGET, most: int = domain.RADIUS, tokens: Callable[[Column], Column] = estimated_tokens) -> DataFrame:
-    """``chat_id, radius``: the widest windows around objections whose transcript fits the budget, at least 0.
+def _line() -> Column:
+    return rendered(F.col("msg_id"), F.col("from_me"), F.coalesce("text", F.lit("")))
 
-    All radii are tried at once: windows carry theirs, and a window costs the difference of two
-    running sums. ``tokens`` counts the tokens of a line.
-    """
-    lengths = messages.select("chat_id", "pos", tokens(rendered(F.col("msg_id"), F.col("from_me"), F.col("text"))).alias("tokens"))
-    sums = lengths.select("chat_id", (F.col("pos") + 1).alias("at"), F.sum("tokens").over(Window.partitionBy("chat_id").orderBy("pos")).alias("upto"))
-    tried = chats.select("chat_id", "n", F.explode(F.sequence(F.lit(0), F.lit(most))).alias("radius"))
-    spans = merged(windows_of(tried, objections, radius="radius"))
-    edges = spans.select("chat_id", "radius", F.explode(F.array(F.struct(F.col("a").alias("at"), F.lit(-1).alias("sign")), F.struct(F.col("b").alias("at"), F.lit(1).alias("sign")))).alias("e"))
-    cost = edges.select("chat_id", "radius", F.col("e.at").alias("at"), F.col("e.sign").alias("sign")).join(sums, ["chat_id", "at"], "left")
-    spent = cost.groupBy("chat_id", "radius").agg(F.sum(F.col("sign") * F.coalesce("upto", F.lit(0))).alias("t"))
-    return spent.groupBy("chat_id").agg(F.coalesce(F.max(F.when(F.col("t") <= budget, F.col("radius"))), F.lit(0)).alias("radius"))
+
+def _gap_line() -> Column:
+    """Fixed value: how messages that are left out read."""
+    return F.concat(F.lit("[... "), F.col("gap").cast("string"), F.lit(" mensagens ...]"))
 
 
-def transcripts(messages: DataFrame, objections: DataFrame, budget: int = domain.TOKEN_BUDGET, tokens: Callable[[Column], Column] = estimated_tokens) -> DataFrame:
-    """``chat_id, transcript`` of ``messages`` with ``pos``: the lines of the merged windows, gaps between them told.
+def shrunk_radius(chats: DataFrame, objections: DataFrame, messages: DataFrame, budget: int = domain.TOKEN_BUDGET, most: int = domain.RADIUS) -> DataFrame:
+    """``chat_id, radius``: the widest windows around objections whose written transcript fits the budget, at least 0.
 
-    A transcript holds at most the budget unless the head, the tail and the objections alone exceed it.
+    The estimate of a text's tokens needs its characters alone, and these add up: lines, lines that
+    tell a gap, and the ends of lines. All radii are tried at once: windows carry theirs, and a
+    window costs the difference of two running sums.
+    """
+    lengths = messages.select("chat_id", "pos", (F.char_length(_line()) + 1).alias("chars"))
+    sums = lengths.select("chat_id", (F.col("pos") + 1).alias("at"), F.sum("chars").over(Window.partitionBy("chat_id").orderBy("pos")).alias("upto"))
+    tried = chats.select("chat_id", "n", F.explode(F.sequence(F.lit(0), F.lit(most))).alias("radius"))
+    spans = with_gaps(merged(windows_of(tried, objections, radius="radius")))
+    told = F.when(F.col("gap") > 0, F.char_length(_gap_line()) + 1).otherwise(0)
+    ends = F.array(F.struct(F.col("a").alias("at"), F.lit(-1).alias("sign"), told.alias("told")), F.struct(F.col("b").alias("at"), F.lit(1).alias("sign"), F.lit(0).alias("told")))
+    edges = spans.select("chat_id", "radius", F.explode(ends).alias("e")).select("chat_id", "radius", "e.*")
+    chars = edges.join(sums, ["chat_id", "at"], "left").groupBy("chat_id", "radius").agg((F.sum(F.col("sign") * F.coalesce("upto", F.lit(0)) + F.col("told")) - 1).alias("chars"))
+    fits = tokens_of(F.col("chars")) <= budget
+    return chars.groupBy("chat_id").agg(F.coalesce(F.max(F.when(fits, F.col("radius"))), F.lit(0)).alias("radius"))
+
+
+def written(messages: DataFrame, objections: DataFrame, radius: DataFrame) -> DataFrame:
+    """``chat_id, radius, transcript`` of the chats of ``radius(chat_id, n, radius)``."""
+    spans = with_gaps(merged(windows_of(radius, objections, radius="radius")))
+    places = spans.select("chat_id", "radius", "gap", F.posexplode(F.sequence("a", F.col("b") - 1)).alias("_k", "pos"))
+    told = F.when((F.col("_k") == 0) & (F.col("gap") > 0), F.concat(_gap_line(), F.lit("\n"), _line())).otherwise(_line())
+    said = messages.select("chat_id", "pos", "msg_id", "from_me", "text")
+    lines = said.join(places, ["chat_id", "pos"]).select("chat_id", "radius", F.struct("pos", told.alias("line")).alias("s"))
+    return lines.groupBy("chat_id", "radius").agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["line"]), "\n").alias("transcript"))
+
+
+def transcripts(messages: DataFrame, objections: DataFrame, budget: int = domain.TOKEN_BUDGET, tokens: Callable[[Column], Column] | None = None, most: int = domain.RADIUS) -> DataFrame:
+    """``chat_id, radius, transcript, tokens`` of ``messages`` with ``pos``: the lines of the merged windows, gaps between them told.
+
+    The radius is the widest at which the whole written text holds at most the budget; only at
+    radius 0 may the head, the tail and the objections alone exceed it. ``tokens`` counts the tokens
+    of a text. Without it they are estimated, and the radius is known before anything is written.
+    A counter is asked about whole texts, as parts of a text may have fewer or more tokens than it has:
+    all chats are written at the full radius, and those that don't fit again, each time one step
+    narrower, until they do.
     """
     sizes = messages.groupBy("chat_id").agg(F.count(F.lit(1)).alias("n"))
-    radius = shrunk_radius(sizes, objections, messages, budget, tokens=tokens)
-    spans = with_gaps(merged(windows_of(sizes.join(radius, "chat_id"), objections, radius="radius")).drop("radius"))
-    places = spans.select("chat_id", "gap", F.posexplode(F.sequence("a", F.col("b") - 1)).alias("k", "pos"))
-    line = rendered(F.col("msg_id"), F.col("from_me"), F.col("text"))
-    # Fixed value: how a gap reads.
-    told = F.when((F.col("k") == 0) & (F.col("gap") > 0), F.concat(F.lit("[... "), F.col("gap").cast("string"), F.lit(" mensagens ...]\n"), line)).otherwise(line)
-    lines = messages.join(places, ["chat_id", "pos"]).select("chat_id", F.struct("pos", told.alias("line")).alias("s"))
-    return lines.groupBy("chat_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["line"]), "\n").alias("transcript"))
+    if tokens is None:
+        out = written(messages, objections, sizes.join(shrunk_radius(sizes, objections, messages, budget, most), "chat_id"))
+        return out.withColumn("tokens", estimated_tokens(F.col("transcript")))
+    left, done = sizes, None
+    for radius in range(most, -1, -1):
+        tried = saved(written(messages, objections, left.withColumn("radius", F.lit(radius))).withColumn("tokens", tokens(F.col("transcript"))), f"transcripts-{radius}")
+        fits = tried if radius == 0 else tried.filter(F.col("tokens") <= budget)
+        done = fits if done is None else done.unionByName(fits)
+        over = tried.filter(F.col("tokens") > budget).select("chat_id")
+        if radius == 0 or over.isEmpty():
+            break
+        left = sizes.join(over, "chat_id")
+    return done
 
 
 def deals(conversions: DataFrame, messages: DataFrame) -> tuple[DataFrame, DataFrame]:

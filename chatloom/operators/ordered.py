@@ -83,8 +83,9 @@ def merged(intervals: DataFrame) -> DataFrame:
 
 
 def with_gaps(islands: DataFrame) -> DataFrame:
-    """Add ``gap``: messages left out between an interval and the one before it."""
-    return islands.withColumn("gap", F.coalesce(F.col("a") - F.lag("b").over(Window.partitionBy("chat_id").orderBy("a")), F.lit(0)).cast("long"))
+    """Add ``gap``: messages left out between an interval and the one before it (of equal other columns)."""
+    keys = [c for c in islands.columns if c not in ("a", "b")]
+    return islands.withColumn("gap", F.coalesce(F.col("a") - F.lag("b").over(Window.partitionBy(*keys).orderBy("a")), F.lit(0)).cast("long"))
 
 
 def first_after(messages: DataFrame, marks: DataFrame, wanted: Column) -> DataFrame:

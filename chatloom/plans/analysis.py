@@ -86,7 +86,7 @@ class Analysis:
     settings: Settings
     providers: dict[str, enrichment.Provider] = field(default_factory=dict)
     embedder: Callable[[DataFrame, str], DataFrame] = clusters.embedded
-    tokens: Callable[[Column], Column] = tx.estimated_tokens
+    tokens: Callable[[Column], Column] | None = None
     expand: Callable[[dict[str, Any]], dict[str, Any]] | None = None
     write: Callable[[str], str] | None = None
 
@@ -217,7 +217,7 @@ class Analysis:
         """What became of each chat, turnarounds and lost deals."""
         m = saved(ordered.positioned(self.table("messages")), "analysis-positions")
         objections = self.table("labelled").filter("objection_type is not null and not from_me").select("chat_id", "msg_id").join(m.select("chat_id", "msg_id", "pos"), ["chat_id", "msg_id"]).select("chat_id", "pos")
-        texts = conversion.transcripts(m, objections, tokens=self.tokens)
+        texts = conversion.transcripts(m, objections, tokens=self.tokens).select("chat_id", "transcript")
         rules = enrichment.conversion_rules()
         found = self._asked("conversion", texts, [F.col("chat_id")], "chat_id", 1, rules, F.col("conversion_evidence") == domain.STUB_EVIDENCE)
         found = found.withColumn("objection_msg_id", F.when(F.col("first_objection_type").isNotNull(), F.col("objection_msg_id")))

@@ -196,17 +196,29 @@ def window_gaps(spark: SparkSession, d: str) -> DataFrame:
     return ordered.with_gaps(_windows(spark, d))
 
 
-@query(f"""with {EVENT_SQL}, z as (select chat_id, count(*) as n from m group by chat_id), r as (select unnest(range(0, 11)) as radius),
+#: The text of every transcript at every radius, written out.
+_WRITTEN = EVENT_SQL + """, z as (select chat_id, count(*) as n from m group by chat_id), r as (select unnest(range(0, 11)) as radius),
 o as (select chat_id, pos from m where objection_type is not null),
 w as (select z.chat_id, radius, 0 as a, least(15, n) as b from z, r union all select z.chat_id, radius, greatest(n - 15, 0), n from z, r union all select o.chat_id, radius, greatest(pos - radius, 0), least(pos + radius + 1, n) from o join z on z.chat_id = o.chat_id, r),
-x as (select distinct w.chat_id, radius, msg_id, greatest(1, length('[' || msg_id || '] spa: ' || text) // 4) as t from w join m on m.chat_id = w.chat_id and pos >= a and pos < b)
-select chat_id, coalesce(max(radius) filter (where t <= 260), 0)::integer as radius from (select chat_id, radius, sum(t) as t from x group by chat_id, radius) group by chat_id""")
+x as (select distinct w.chat_id, radius, pos, '[' || msg_id || '] ' || case when from_me then 'spa' else 'cli' end || ': ' || text as line from w join m on m.chat_id = w.chat_id and pos >= a and pos < b),
+y as (select *, pos - lag(pos) over (partition by chat_id, radius order by pos) - 1 as gap from x),
+t as (select chat_id, radius, string_agg(case when gap > 0 then '[... ' || gap || ' mensagens ...]' || chr(10) || line else line end, chr(10) order by pos) as transcript from y group by chat_id, radius),
+best as (select chat_id, coalesce(max(radius) filter (where greatest(1, length(transcript) // 4) <= 260), 0)::integer as radius from t group by chat_id)"""
+
+
+@query(f"with {_WRITTEN} select * from best")
 def transcript_radius(spark: SparkSession, d: str) -> DataFrame:
     m = ordered.positioned(event_messages(spark, d))
     sizes = m.groupBy("chat_id").agg(F.count(F.lit(1)).alias("n"))
     return conversion.shrunk_radius(sizes, m.filter("objection_type is not null").select("chat_id", "pos"), m, budget=260)
 
 
+@query(f"with {_WRITTEN} select t.*, greatest(1, length(transcript) // 4)::bigint as tokens from t join best on best.chat_id = t.chat_id and best.radius = t.radius")
+def transcripts_in_budget(spark: SparkSession, d: str) -> DataFrame:
+    m = ordered.positioned(event_messages(spark, d))
+    return conversion.transcripts(m, m.filter("objection_type is not null").select("chat_id", "pos"), budget=260)
+
+
 @query(f"with {_ISLANDS} select m.chat_id, msg_id, '[' || msg_id || '] ' || case when from_me then 'spa' else 'cli' end || ': ' || text as line from m join isl on isl.chat_id = m.chat_id and pos >= a and pos < b")
 def transcript_slice(spark: SparkSession, d: str) -> DataFrame:
     m = ordered.positioned(event_messages(spark, d))

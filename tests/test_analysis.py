@@ -247,10 +247,50 @@ def test_transcripts(spark):
     marks = spark.createDataFrame([(1, 50)], "chat_id long, pos long")
     text = conversion.transcripts(m, marks).first().transcript.splitlines()
     assert text[0] == "[0] cli: m0" and text[15] == "[... 25 mensagens ...]" and text[16] == "[40] cli: m40" and text[37] == "[... 24 mensagens ...]" and len(text) == 53
-    small = conversion.transcripts(m, marks, budget=70).first().transcript.splitlines()
-    assert [x for x in small if "mensagens" in x] == ["[... 35 mensagens ...]", "[... 34 mensagens ...]"] and "[50] cli: m50" in small
-    per_line = conversion.transcripts(m, marks, budget=41, tokens=lambda _: F.lit(1)).first().transcript.splitlines()
-    assert len(per_line) == 41 + 2
+    small = conversion.transcripts(m, marks, budget=120).first()
+    lines = small.transcript.splitlines()
+    assert small.radius == 0 and [x for x in lines if "mensagens" in x] == ["[... 35 mensagens ...]", "[... 34 mensagens ...]"] and "[50] cli: m50" in lines
+
+
+def plain_transcript(texts, marks, radius, head=15, tail=15):
+    n = len(texts)
+    shown = sorted({p for lo, hi in [(0, head), (n - tail, n), *((m - radius, m + radius + 1) for m in marks)] for p in range(max(lo, 0), min(hi, n))})
+    out = []
+    for k, p in enumerate(shown):
+        if k and p > shown[k - 1] + 1:
+            out.append(f"[... {p - shown[k - 1] - 1} mensagens ...]")
+        out.append(f"[{p}] {'spa' if p % 2 else 'cli'}: {texts[p] or ''}")
+    return "\n".join(out)
+
+
+def uneven(texts):
+    """Tokens that don't add up: line ends cost more in a long text."""
+    return [len(t) // 4 + t.count("\n") * (1 + (len(t) > 1200)) for t in texts]
+
+
+@pytest.mark.parametrize("budget", [60, 250, 400, 900, 4000])
+def test_whole_transcripts_keep_to_the_budget(spark, budget):
+    rng = np.random.default_rng(budget)
+    chats = {c: ["m" * int(x) for x in rng.integers(0, 9, n)] for c, n in enumerate((400, 400, 37, 3))}
+    chats[3][1] = None
+    marks = {c: sorted(rng.choice(len(t), min(10, len(t)), replace=False).tolist()) for c, t in chats.items()}
+    m = spark.createDataFrame([(c, i, i, i % 2 == 1, x, i) for c, t in chats.items() for i, x in enumerate(t)], "chat_id long, msg_id long, ts_ms long, from_me boolean, text string, pos long")
+    at = spark.createDataFrame([(c, p) for c, ps in marks.items() for p in ps], "chat_id long, pos long")
+    for tokens, count in ((None, lambda t: max(1, len(t) // 4)), (tx.counted_tokens(uneven), lambda t: uneven([t])[0])):
+        got = {r.chat_id: r for r in conversion.transcripts(m, at, budget, tokens).collect()}
+        assert set(got) == set(chats)
+        for c, texts in chats.items():
+            every = [plain_transcript(texts, marks[c], r) for r in range(domain.RADIUS + 1)]
+            radius = next((r for r in range(domain.RADIUS, -1, -1) if count(every[r]) <= budget), 0)
+            assert (got[c].radius, got[c].transcript, got[c].tokens) == (radius, every[radius], count(every[radius]))
+            assert got[c].tokens <= budget or got[c].radius == 0
+
+
+def test_tokens_by_vocabulary(spark):
+    public = pytest.importorskip("public_tokenizers")
+    df = spark.createDataFrame([("hello hello",), ("",), (None,)], "t string")
+    got = [r[0] for r in df.select(tx.vocabulary_tokens(public.path("byte_bpe_50k.json"))(F.col("t"))).collect()]
+    assert got[0] >= 2 and got[1:] == [0, 0]
 
 
 def test_numbers_are_gapless_on_large_tables(spark):
