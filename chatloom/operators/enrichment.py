@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Any, Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import domain
 from ..functions.formats import json_object
 from ..functions.prompts import question
-from ..functions.text import AGENT, CUSTOMER
-from ..storage import saved
+from ..functions.text import AGENT, CUSTOMER, tokens_of
+from ..storage import delete, exists, qualified, saved
 
 
 class Provider(Protocol):
@@ -56,6 +59,8 @@ class Chain:
         self.providers, self.tries = providers, tries
         self.resting: dict[int, float] = {}
         self.fallbacks: list[str] = []
+        #: The provider of the latest answer: usage is counted by it.
+        self.answered: str | None = None
 
     def complete(self, items: list[dict[str, Any]]) -> list[dict[str, Any]]:
         last: Exception | None = None
@@ -64,7 +69,9 @@ class Chain:
                 continue
             for _ in range(self.tries):
                 try:
-                    return provider.complete(items)
+                    out = provider.complete(items)
+                    self.answered = provider.name
+                    return out
                 except QuotaError as e:
                     last = e
                     self.resting[i] = e.until or time.time() + self.REST
@@ -143,43 +150,115 @@ def packed(items: DataFrame, size: int, number: str = "idx") -> DataFrame:
 
 
 CALL = "batch long, cache_key string, bucket string, calls int, tokens_in long, tokens_out long, error string, records array<string>"
+NAMES = [f.split()[0] for f in CALL.split(", ")]
 
 
-def called(batches: DataFrame, provider: Provider, key: str, skip_errors: bool = False) -> DataFrame:
+class Journal:
+    """Answered calls, a file each, in a folder that all executors write to.
+
+    A file is written beside its place and renamed, so it is there whole or not at all. A task that
+    is run again, or a later run, finds what was answered before it asks.
+    """
+
+    def __init__(self, url: str) -> None:
+        self.url = url
+
+    @staticmethod
+    def beside(spark: SparkSession, path: str) -> Journal | None:
+        """The journal of the table at ``path``; None where only Spark reaches the file system, and a wave is the least that is kept."""
+        url = qualified(spark, f"{path}-journal")
+        journal = Journal("file://" + url.removeprefix("file:").removeprefix("//") if url.startswith("file:") else url)
+        try:
+            journal._folder()
+        except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+            return None
+        return journal
+
+    def _folder(self) -> tuple[fs.FileSystem, str]:
+        return fs.FileSystem.from_uri(self.url)
+
+    def find(self, key: str) -> list | None:
+        files, root = self._folder()
+        try:
+            with files.open_input_stream(f"{root}/{key[:2]}/{key}.json") as f:
+                return json.loads(f.read())
+        except FileNotFoundError:
+            return None
+
+    def keep(self, key: str, row: list) -> None:
+        files, root = self._folder()
+        files.create_dir(f"{root}/{key[:2]}")
+        part = f"{root}/{key[:2]}/{key}-{uuid.uuid4().hex}.part"
+        with files.open_output_stream(part) as f:
+            f.write(json.dumps(row, ensure_ascii=False).encode())
+        files.move(part, f"{root}/{key[:2]}/{key}.json")
+
+
+def called(batches: DataFrame, provider: Provider, key: str, journal: Journal | None = None) -> DataFrame:
     """A row for each batch, asked once, with the records for its own keys (JSON) and the usage.
 
     Unknown keys are dropped, the last of repeated ones stays. A batch that the provider can't
-    answer ends the run, or with ``skip_errors`` keeps its error and no records.
+    answer keeps its error and no records, so that the other answers of the wave are stored. With a
+    ``journal`` an answer is kept as soon as it is there, by the batch's ``cache_key``.
     """
 
+    def answer(batch: int, cached: str | None, text: str) -> list:
+        if journal is not None and (known := journal.find(cached)) is not None:
+            return [batch, *known]
+        asked = json.loads(text)
+        keys = {i[key] for i in asked}
+        why, latest = None, {}
+        try:
+            latest = {r[key]: r for r in provider.complete(asked) if r.get(key) in keys}
+        except ProviderError as e:
+            why = str(e)
+        found = [json.dumps(r, ensure_ascii=False) for r in latest.values()]
+        row = [cached, getattr(provider, "answered", None) or provider.name, 1, max(1, len(text) // 4), sum(len(a) for a in found) // 4, why, found]
+        if journal is not None and why is None:
+            journal.keep(cached, row)
+        return [batch, *row]
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            rows = []
-            for batch, cached, text in zip(pdf["batch"], pdf["cache_key"], pdf["items"], strict=True):
-                asked = json.loads(text)
-                known = {i[key] for i in asked}
-                why, latest = None, {}
-                try:
-                    latest = {r[key]: r for r in provider.complete(asked) if r.get(key) in known}
-                except ProviderError as e:
-                    if not skip_errors:
-                        raise
-                    why = str(e)
-                answer = [json.dumps(r, ensure_ascii=False) for r in latest.values()]
-                rows.append((batch, cached, provider.name, 1, max(1, len(text) // 4), sum(len(a) for a in answer) // 4, why, answer))
-            yield pd.DataFrame(rows, columns=[f.split()[0] for f in CALL.split(", ")])
+            yield pd.DataFrame([answer(*r) for r in zip(pdf["batch"], pdf["cache_key"], pdf["items"], strict=True)], columns=NAMES)
 
     # A call costs money: its answer is stored before anything reads it twice.
     return saved(batches.select("batch", "cache_key", "items").mapInPandas(run, CALL), "calls")
 
 
+def refuse_errors(calls: DataFrame) -> DataFrame:
+    """The calls, unless one has an error; then that is raised, after all answers are stored."""
+    if (broken := calls.filter("error is not null").orderBy("batch").select("batch", "error").first()) is not None:
+        raise ProviderError(f"batch {broken['batch']}: {broken['error']}")
+    return calls
+
+
 def records(calls: DataFrame, schema: str) -> DataFrame:
     return calls.select(F.explode("records").alias("r")).select(F.from_json("r", schema).alias("r")).select("r.*")
 
 
-def usage(calls: DataFrame) -> DataFrame:
-    """Calls and tokens by bucket: each provider's, and those the cache answered."""
-    return calls.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("calls", "tokens_in", "tokens_out")], F.count("error").alias("errors"))
+def prices(provider: Provider) -> dict[str, tuple[float, float, float]]:
+    """By bucket: dollars of a call, of a million tokens asked and of a million answered."""
+    if isinstance(provider, Chain):
+        return {k: v for p in provider.providers for k, v in prices(p).items()}
+    if isinstance(provider, Patient):
+        return prices(provider.provider)
+    return {provider.name: tuple(float(getattr(provider, n, 0.0)) for n in ("price", "price_in", "price_out"))}
+
+
+def usage(calls: DataFrame, of: dict[str, tuple[float, float, float]] | None = None) -> DataFrame:
+    """Calls, tokens, errors and cost by bucket: each provider that answered, and the cache."""
+    rows = calls.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("calls", "tokens_in", "tokens_out")], F.count("error").alias("errors"))
+    each = F.lit(0.0)
+    for name, (call, asked, answered) in (of or {}).items():
+        each = F.when(F.col("bucket") == name, F.col("calls") * call + cost(F.col("tokens_in"), F.col("tokens_out"), F.lit(asked), F.lit(answered))).otherwise(each)
+    return rows.withColumn("cost", each)
+
+
+def projected(batches: DataFrame, provider: Provider) -> float:
+    """What asking for ``batches`` costs at most before answers: calls and tokens asked, at the dearest of the provider's prices."""
+    n, tokens = batches.agg(F.count(F.lit(1)), F.coalesce(F.sum(tokens_of(F.char_length("items"))), F.lit(0))).first()
+    return max((n * call + tokens * asked / 1e6 for call, asked, _ in prices(provider).values()), default=0.0)
 
 
 def enrich(items: DataFrame, provider: Provider, key: str, schema: str, size: int, number: str = "idx") -> DataFrame:
@@ -188,30 +267,31 @@ def enrich(items: DataFrame, provider: Provider, key: str, schema: str, size: in
     Batches are consecutive; a batch never crosses tasks.
     """
     batches = packed(items, size, number).withColumn("cache_key", F.lit(None).cast("string"))
-    return records(called(batches, provider, key), schema)
+    return records(refuse_errors(called(batches, provider, key)), schema)
 
 
-def enrich_cached(items: DataFrame, provider: Provider, key: str, size: int, cache: str, version: str = "", number: str = "idx", skip_errors: bool = False) -> DataFrame:
+def enrich_cached(items: DataFrame, provider: Provider, key: str, size: int, cache: str, version: str = "", number: str = "idx", skip_errors: bool = False, spend: Callable[[float], None] = lambda _: None) -> DataFrame:
     """The calls for ``items``; batches that the table at ``cache`` has are not asked again.
 
-    A batch's key hashes its items, the provider's name and prompt, and ``version``. Answers
-    without error are added to the cache.
+    A batch's key hashes its items, the provider's name and prompt, and ``version``. Answers are
+    kept one by one in a journal beside the cache while a wave runs, and the wave's answers without
+    error go to the cache, even if others have errors; only then are errors raised, unless they are
+    to be skipped. ``spend`` gets what is to be asked at the providers' prices and may refuse.
     """
     spark = items.sparkSession
     name = "\n".join([provider.name, getattr(provider, "prompt", ""), version])
     batches = saved(packed(items, size, number).withColumn("cache_key", cache_key(name, F.col("items"))), "batches")
-    try:
-        known = spark.read.schema(CALL).parquet(cache).dropDuplicates(["cache_key"])
-        known.isEmpty()
-    except Exception as e:  # noqa: BLE001  only a table that isn't there yet is no error
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        known = spark.createDataFrame([], CALL)
-    hits = batches.select("batch", "cache_key").join(known.drop("batch"), "cache_key").withColumns({"bucket": F.lit("cache"), "tokens_in": F.lit(0).cast("long"), "tokens_out": F.lit(0).cast("long")})
-    hits = saved(hits.select(*[f.split()[0] for f in CALL.split(", ")]), "cached")
-    fresh = called(batches.join(known, "cache_key", "left_anti"), provider, key, skip_errors)
-    fresh.filter("error is null").write.mode("append").parquet(cache)
-    return hits.unionByName(fresh)
+    known = spark.read.schema(CALL).parquet(cache).dropDuplicates(["cache_key"]) if exists(spark, cache) else spark.createDataFrame([], CALL)
+    hits = batches.select("batch", "cache_key").join(known.drop("batch"), "cache_key").withColumns({"bucket": F.lit("cache"), "calls": F.lit(1), "tokens_in": F.lit(0).cast("long"), "tokens_out": F.lit(0).cast("long")})
+    hits = saved(hits.select(*NAMES), "cached")
+    fresh = saved(batches.join(known, "cache_key", "left_anti"), "to-ask")
+    spend(projected(fresh, provider))
+    journal = Journal.beside(spark, cache)
+    calls = called(fresh, provider, key, journal)
+    calls.filter("error is null").write.mode("append").parquet(cache)
+    if journal is not None:
+        delete(spark, f"{cache}-journal")
+    return hits.unionByName(calls if skip_errors else refuse_errors(calls))
 
 
 def unanswered(items: DataFrame, found: DataFrame, key: str) -> DataFrame:

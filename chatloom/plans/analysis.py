@@ -109,26 +109,32 @@ class Analysis:
         return self.providers.get(task) or enrichment.ScriptProvider(self.script(), task)
 
     def _asked(self, task: str, items: DataFrame, order: list, key: str, size: int, rules: dict, stub: Column | None = None, skip_errors: bool = False) -> DataFrame:
-        """All records of ``task`` so far: what is stored and no stub stays, the rest is asked for.
+        """All records of ``task`` for ``items``: those known that are no stub stay, the rest is asked for.
 
-        What is asked is cached by its content, so a run that broke off asks for nothing twice.
+        Records are known by the content of their item and outlive a stage's outputs. What is asked is
+        kept call by call, so a run that broke off, at whatever call, asks for nothing twice.
         """
-        path = self.settings.data / task
-        done = self.table(task) if path.exists() else self.spark.createDataFrame([], RECORDS[task])
+        content = F.sha2(F.to_json(F.struct(*[c for c in items.columns if c != key])), 256)
+        items = saved(items.withColumn("item", content), f"{task}-items")
+        store, fields = self.settings.data / "records" / task, RECORDS[task] + ", item string"
+        known = saved(self.spark.read.schema(fields).parquet(str(store)) if store.exists() else self.spark.createDataFrame([], fields), f"{task}-known")
+        done = known.join(items.select(key, "item"), [key, "item"], "left_semi")
         done = saved(done if stub is None else done.filter(~F.coalesce(stub, F.lit(False))), f"{task}-done")
-        left = relational.numbered(enrichment.pending(items, done, key), order).select("idx", *items.columns)
+        left = relational.numbered(enrichment.pending(items, done, key), order).select("idx", *[c for c in items.columns if c != "item"])
         left = saved(left, f"{task}-left")
         provider = self.provider(task)
-        spent = self._document("usage.json").get("cost", 0.0)
-        enrichment.guard(spent, float(getattr(provider, "price", 0.0)) * -(-left.count() // size), self.settings.budget)
-        calls = enrichment.enrich_cached(left, provider, key, size, str(self.settings.data / "cache"), version=json.dumps(self.settings.fingerprint()), skip_errors=skip_errors)
-        found = saved(enrichment.strict(enrichment.records(calls, RECORDS[task]), rules), f"{task}-found")
-        out = self._keep(done.unionByName(found), task)
-        use = {r["bucket"]: r.asDict() for r in enrichment.usage(calls).collect()}  # a row for each provider
-        known = self._document("usage.json")
-        known.setdefault("stages", {})[task] = use
-        known["cost"] = known.get("cost", 0.0) + float(getattr(provider, "price", 0.0)) * sum(u["calls"] for b, u in use.items() if b != "cache")
-        files.write_json(self.settings.data / "usage.json", known)
+        usage = self._document("usage.json")
+        calls = enrichment.enrich_cached(
+            left, provider, key, size, str(self.settings.data / "cache"), version=json.dumps(self.settings.fingerprint()), skip_errors=skip_errors, spend=lambda dollars: enrichment.guard(usage.get("cost", 0.0), dollars, self.settings.budget)
+        )
+        found = enrichment.strict(enrichment.records(calls, RECORDS[task]), rules).join(items.select(key, "item"), key)
+        found = saved(found, f"{task}-found")
+        self._keep(enrichment.pending(known, found, key).unionByName(found), f"records/{task}")
+        out = self._keep(done.unionByName(found).drop("item"), task)
+        use = {r["bucket"]: r.asDict() for r in enrichment.usage(calls, enrichment.prices(provider)).collect()}  # a row for each provider
+        usage.setdefault("stages", {})[task] = use
+        usage["cost"] = usage.get("cost", 0.0) + sum(u["cost"] for u in use.values())
+        files.write_json(self.settings.data / "usage.json", usage)
         return out
 
     # Stages.

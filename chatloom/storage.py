@@ -31,7 +31,27 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str) -> tuple:
+    """A path of any file system that Spark reaches, and that file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    where, files = _place(spark, path)
+    return files.makeQualified(where).toString()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, files = _place(spark, path)
+    return files.exists(where)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where, files = _place(spark, path)
+    files.delete(where, True)
+
+
 def discard(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application, once its results are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, shared_dir(spark))

@@ -222,6 +222,80 @@ def test_fold_and_count(spark):
     assert [r[0] for r in df.select(tx.counted_tokens(lambda ts: [len(t.split()) for t in ts])(F.col("t"))).collect()] == [2, 2, 0, 1]
 
 
+class Breaking:
+    """Answers with the keys; breaks at the item 30 while ``broken``, by an error of its own or of another kind."""
+
+    def __init__(self, log, kind, broken=True):
+        self.log, self.kind, self.broken, self.name = log, kind, broken, "breaking"
+
+    def complete(self, items):
+        with open(self.log, "a") as f:
+            f.write(f"{items[0]['template_id']}\n")
+        if self.broken and any(i["template_id"] == 30 for i in items):
+            raise (enrichment.ProviderError if self.kind == "own" else ZeroDivisionError)("broken")
+        return [{"template_id": i["template_id"], "warmth": 1, "clarity": 1, "script_adherence": 1, "polarity": "neu", "critique": ""} for i in items]
+
+
+@pytest.mark.parametrize("kind", ["own", "other"])
+def test_answers_survive_a_broken_wave(spark, tmp_path, kind):
+    """Four batches in one task; the third breaks the run; the first two are asked for once in all."""
+    log, cache = tmp_path / "log", str(tmp_path / "cache")
+    items = spark.createDataFrame([(i, i, f"t{i}") for i in range(40)], "idx long, template_id long, text string").coalesce(1)
+    with pytest.raises(Exception, match="broken|division"):
+        enrichment.enrich_cached(items, Breaking(log, kind), "template_id", 10, cache)
+    first = log.read_text().split()
+    calls = enrichment.enrich_cached(items, Breaking(log, kind, broken=False), "template_id", 10, cache)
+    assert enrichment.records(calls, RECORDS["score"]).count() == 40
+    asked = log.read_text().split()
+    assert len(asked) == len(set(asked) | {"30"}) + 1 and asked.count("30") == 2 and len(first) >= 1
+    assert not pathlib.Path(f"{cache}-journal").exists()
+    enrichment.enrich_cached(items, Breaking(log, kind), "template_id", 10, cache)
+    assert log.read_text().split() == asked
+
+
+def test_journal_keeps_whole_files(spark, tmp_path):
+    journal = enrichment.Journal.beside(spark, str(tmp_path / "c"))
+    assert journal.find("ab12") is None
+    journal.keep("ab12", ["ab12", "é", 1])
+    journal.keep("ab12", ["ab12", "é", 2])
+    assert journal.find("ab12") == ["ab12", "é", 2] and [x.name for x in (tmp_path / "c-journal" / "ab").iterdir()] == ["ab12.json"]
+
+
+def test_prices_by_tokens_and_provider(spark):
+    class Primary:
+        name, price_in, price_out = "primary", 1000.0, 2000.0
+
+        def complete(self, items):
+            raise enrichment.ProviderError("no")
+
+    class Second(Primary):
+        name, price, price_in, price_out = "second", 0.5, 100.0, 0.0
+
+        def complete(self, items):
+            return [{"msg_id": i["msg_id"], "text": "x" * 40} for i in items]
+
+    chain = enrichment.Chain([Primary(), Second()], tries=1)
+    items = spark.createDataFrame([(i, i, "y" * 200) for i in range(4)], "idx long, msg_id long, text string")
+    batches = enrichment.packed(items, 2).withColumn("cache_key", F.lit("k"))
+    calls = enrichment.called(batches, chain, "msg_id")
+    use = enrichment.usage(calls, enrichment.prices(chain)).collect()
+    assert [(r.bucket, r.calls) for r in use] == [("second", 2)]
+    assert use[0].cost == pytest.approx(2 * 0.5 + use[0].tokens_in * 100 / 1e6)
+    assert enrichment.projected(batches, chain) == pytest.approx(max(1000 * use[0].tokens_in / 1e6, 1.0 + 100 * use[0].tokens_in / 1e6))
+
+
+def test_a_forced_stage_asks_for_nothing_known(spark, made):
+    a = Analysis(spark, settings(made), providers={"score": Counting(made / "log")})
+    for stage in (a.load, a.dedupe, a.score):
+        stage()
+    asked = (made / "log").read_text()
+    runner = a.runner()
+    runner.invalidate(runner.stages[4])
+    assert not (a.settings.data / "score").exists()
+    storage.delete(spark, str(a.settings.data / "cache"))
+    assert a.score()["scored"] == a.table("templates").count() and (made / "log").read_text() == asked
+
+
 def test_budget_and_stubs(spark, made):
     a = Analysis(spark, settings(made, budget=0.5), providers={"score": Counting(made / "log", price=1.0)})
     a.load()
@@ -230,7 +304,10 @@ def test_budget_and_stubs(spark, made):
         a.score()
     b = Analysis(spark, settings(made), providers={"score": Counting(made / "log")})
     n = b.table("templates").count()
-    b._keep(spark.createDataFrame([(0, 3, 3, 3, "neu", domain.STUB_CRITIQUE)], RECORDS["score"]), "score")
+    b.score()
+    stub = storage.saved(b.table("records/score").withColumn("critique", F.when(F.col("template_id") == 0, domain.STUB_CRITIQUE).otherwise(F.col("critique"))).withColumn("warmth", F.lit(3)), "stub")
+    b._keep(stub, "records/score")
+    storage.delete(spark, str(b.settings.data / "cache"))
     assert b.score() == {"scored": n} and b.table("score").filter("template_id = 0").first().warmth == 4
 
 
