@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Callable
 
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 from .. import domain
 from ..functions.text import stripped
 from ..storage import saved
+from .graph import components
 from .ordered import with_parent_step
+from .relational import numbered
 from .templates import top_values
 
 #: Dimensions of an embedded text, and vectors of a block that is compared at once.
@@ -35,101 +38,177 @@ def medoids(vectors: DataFrame, group: str, key: str, vector: str) -> DataFrame:
     return cost.groupBy(group).agg(F.min_by(key, F.struct("_c", key)).alias("medoid"), F.max("size").alias("size"))
 
 
-def _hierarchy(x: np.ndarray, least: int) -> np.ndarray:
-    """Density clusters by excess of mass (Campello et al. 2013), -1 for noise."""
-    n = len(x)
-    if n < least:
-        return np.full(n, -1)
-    norm = np.linalg.norm(x, axis=1)
-    u = x / np.where(norm == 0, 1, norm)[:, None]
-    # Prim's tree over mutual reachability, a row of distances at a time.
-    core = np.array([np.partition(np.delete(1 - u @ u[i], i), 0)[0] for i in range(n)])
-    best, parent, inside = np.full(n, np.inf), np.zeros(n, dtype=int), np.zeros(n, dtype=bool)
-    edges, at = [], 0
-    inside[0] = True
-    for _ in range(n - 1):
-        d = np.maximum(np.maximum(1 - u @ u[at], core), core[at])
-        closer = ~inside & (d < best)
-        best[closer], parent[closer] = d[closer], at
-        nxt = int(np.where(inside, np.inf, best).argmin())
-        edges.append((best[nxt], parent[nxt], nxt))
-        inside[nxt], at = True, nxt
-    edges.sort()
-    root = list(range(n))
+def _distances(vectors: pd.Series) -> np.ndarray:
+    """Cosine distances of all pairs. Nine digits: what is equal is equal in whatever block it is met."""
+    x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    size = np.linalg.norm(x, axis=1)
+    u = x / np.where(size == 0, 1, size)[:, None]
+    return np.round(np.maximum(1 - u @ u.T, 0), 9)
+
+
+def _tree(d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A least spanning tree of a matrix of distances (Prim): two ends and the distance of each edge."""
+    n = len(d)
+    best, parent, outside = d[0].copy(), np.zeros(n, dtype=int), np.ones(n, dtype=bool)
+    outside[0] = False
+    new = np.zeros(n - 1, dtype=int)
+    for k in range(n - 1):
+        at = int(np.where(outside, best, np.inf).argmin())
+        new[k], outside[at] = at, False
+        closer = outside & (d[at] < best)
+        best[closer], parent[closer] = d[at][closer], at
+    return new, parent[new], best[new]
+
+
+def _blocks(rows: DataFrame, group: str, key: str, block: int) -> DataFrame:
+    """``rows`` dealt to pairs of blocks ``_x <= _y`` of their group, so that every two rows of a group meet.
+
+    Groups of one block meet in it; of more, only different blocks meet, which holds the pairs inside a block too.
+    """
+    sizes = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_k")).withColumnRenamed(group, "_of")
+    placed = rows.join(sizes, F.col(group).eqNullSafe(F.col("_of"))).withColumn("_b", F.pmod(F.xxhash64(key), F.col("_k")).cast("int"))
+    other = F.filter(F.sequence(F.lit(0), F.col("_k") - 1), lambda o: (o != F.col("_b")) | (F.col("_k") == 1))
+    met = placed.withColumn("_o", F.explode(other))
+    return met.select(*rows.columns, F.least("_b", "_o").alias("_x"), F.greatest("_b", "_o").alias("_y"), (F.col("_k") > 1).alias("_many"))
+
+
+def least_tree(edges: DataFrame) -> DataFrame:
+    """The edges of a least spanning forest of ``edges(a, b, w)``, by Boruvka rounds.
+
+    In a round every component takes its least edge outwards (ties by its ends, so no cycle arises),
+    components that took the same edges become one, and edges inside one are dropped. So the
+    components at least halve; each round is a stored table.
+    """
+    left = saved(edges.select("a", "b", "w", F.col("a").alias("ca"), F.col("b").alias("cb")), "tree-edges")
+    taken: list[DataFrame] = []
+    while not left.isEmpty():
+        ends = left.select(F.col("ca").alias("c"), "w", "a", "b", "ca", "cb").union(left.select("cb", "w", "a", "b", "ca", "cb"))
+        least = ends.groupBy("c").agg(F.min(F.struct("w", "a", "b", "ca", "cb")).alias("e"))
+        chosen = saved(least.select("e.*").distinct(), "tree-taken")
+        taken.append(chosen.select("a", "b", "w"))
+        now = components(chosen.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        for c in ("ca", "cb"):
+            left = left.join(now.select(F.col("id").alias(c), F.col("component").alias("_now")), c, "left").withColumn(c, F.coalesce("_now", c)).drop("_now")
+        left = saved(left.filter("ca <> cb"), "tree-edges")
+    return functools.reduce(DataFrame.union, taken) if taken else edges.select("a", "b", "w")
+
+
+def spanning_tree(vectors: DataFrame, group: str, key: str, vector: str, block: int = BLOCK) -> DataFrame:
+    """``group, a, b, w``: a least spanning tree of each group by cosine distance, over the numbers ``key``.
+
+    A group is dealt to pairs of blocks, and each pair keeps its own least tree. What these drop
+    closes a cycle of edges no longer than it, so the union of the small trees spans each group at
+    every distance as all pairs do, and holds a least tree of it: that is found by rounds over
+    edges. Groups of one block have theirs at once.
+    """
+    met = _blocks(vectors.filter(F.col(vector).isNotNull()).select(group, key, vector), group, key, block // 2)
+    kind = dict(vectors.dtypes)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids = pdf[key].to_numpy()
+        one, other, w = _tree(_distances(pdf[vector]))
+        a, b = np.minimum(ids[one], ids[other]), np.maximum(ids[one], ids[other])
+        return pd.DataFrame({group: pd.Series([pdf[group].iloc[0]] * len(w), dtype=pdf[group].dtype), "a": a, "b": b, "w": w, "many": bool(pdf["_many"].iloc[0])})
+
+    found = saved(met.groupBy(group, "_x", "_y").applyInPandas(run, f"{group} {kind[group]}, a long, b long, w double, many boolean"), "tree-parts")
+    large = found.filter("many").drop("many").distinct()
+    of = large.groupBy("a", "b").agg(F.first(group).alias(group))
+    merged = least_tree(large.select("a", "b", "w")).join(of, ["a", "b"])
+    return found.filter("not many").drop("many").unionByName(merged)
+
+
+def _condensed(one: np.ndarray, other: np.ndarray, w: np.ndarray, n: int, least: int) -> np.ndarray:
+    """Density clusters by excess of mass (Campello et al. 2013) from a tree over 0 to n - 1, -1 for noise.
+
+    Merges at equal distance are one, so the result doesn't hang on which of several least trees it is.
+    """
+    root = np.arange(n)
 
     def find(i: int) -> int:
         while root[i] != i:
             root[i] = root[root[i]]
             i = root[i]
-        return i
+        return int(i)
 
     node, size, kids, height = list(range(n)), [1] * n, {}, {}
-    for d, a, b in edges:
-        ra, rb = find(a), find(b)
-        new = len(size)
-        size.append(size[node[ra]] + size[node[rb]])
-        kids[new], height[new] = (node[ra], node[rb]), max(float(d), 1e-12)
-        root[ra] = rb
-        node[rb] = new
-    # Condense: a split counts when both sides are large enough.
+    order = np.argsort(w, kind="stable")
+    cuts = np.flatnonzero(np.diff(w[order])) + 1
+    for level in np.split(order, cuts) if len(order) else []:
+        parts: dict[int, list[int]] = {}
+        for e in level.tolist():
+            ra, rb = find(one[e]), find(other[e])
+            if ra != rb:
+                root[ra] = rb
+                parts[rb] = parts.pop(rb, [node[rb]]) + parts.pop(ra, [node[ra]])
+        for r, joined in parts.items():
+            kids[len(size)], height[len(size)] = joined, max(float(w[level[0]]), 1e-12)
+            node[r] = len(size)
+            size.append(sum(size[c] for c in joined))
     top = len(size) - 1
-    birth, stable, children, members = {top: 0.0}, {top: 0.0}, {top: []}, {top: []}
-
-    def leaves(i: int) -> list[int]:
-        out, todo = [], [i]
-        while todo:
-            j = todo.pop()
-            if j < n:
-                out.append(j)
-            else:
-                todo += kids[j]
-        return out
-
+    # Condense: a split counts when two sides or more are large enough.
+    birth, stable, below = {top: 0.0}, {top: 0.0}, {top: []}
     todo = [(top, top)]
     while todo:
         i, cluster = todo.pop()
         if i < n:
             continue
-        lam = 1 / height[i]
-        big = [c for c in kids[i] if size[c] >= least]
-        if len(big) == 2:
+        lam, big = 1 / height[i], [c for c in kids[i] if size[c] >= least]
+        if len(big) >= 2:
             stable[cluster] += (lam - birth[cluster]) * size[i]
             for c in big:
-                birth[c], stable[c], children[c], members[c] = lam, 0.0, [], leaves(c)
-                children[cluster].append(c)
+                birth[c], stable[c], below[c] = lam, 0.0, []
+                below[cluster].append(c)
                 todo.append((c, c))
         else:
-            gone = sum(size[c] for c in kids[i] if size[c] < least)
-            stable[cluster] += (lam - birth[cluster]) * gone
+            stable[cluster] += (lam - birth[cluster]) * sum(size[c] for c in kids[i] if size[c] < least)
             todo += [(c, cluster) for c in big]
-    chosen: set[int] = set()
-    for c in sorted(birth):  # children have smaller numbers than their parents
-        below = sum(stable[k] for k in children[c])
-        if c != top and (not children[c] or stable[c] >= below):
-            drop = list(children[c])
-            while drop:
-                k = drop.pop()
-                chosen.discard(k)
-                drop += children[k]
-            chosen.add(c)
+    whole = set()
+    for c in sorted(birth):  # what is below has smaller numbers
+        under = sum(stable[k] for k in below[c])
+        if c != top and (not below[c] or stable[c] >= under):
+            whole.add(c)
+        else:
+            stable[c] = under
+    chosen, todo = [], list(below[top])
+    while todo:
+        c = todo.pop()
+        if c in whole:
+            chosen.append(c)
         else:
-            stable[c] = max(stable[c], below) if c != top else below
+            todo += below[c]
     out = np.full(n, -1)
-    for number, c in enumerate(sorted(chosen, key=lambda c: min(members[c]))):
-        out[members[c]] = number
-    return out
+    for c in chosen:
+        todo = [c]
+        while todo:
+            j = todo.pop()
+            if j < n:
+                out[j] = c
+            else:
+                todo += kids[j]
+    # Clusters are numbered by their first member.
+    names, first = np.unique(out[out >= 0], return_index=True)
+    rank = dict(zip(names[np.argsort(first)].tolist(), range(len(names)), strict=True))
+    return np.array([rank.get(c, -1) for c in out.tolist()], dtype=int)
 
 
-def density_clusters(vectors: DataFrame, group: str, key: str, vector: str, least: int = domain.MIN_CLUSTER) -> DataFrame:
-    """``group, key, cluster`` with noise -1, each bucket on its own."""
-    kind = dict(vectors.dtypes)
+def density_clusters(vectors: DataFrame, group: str, key: str, vector: str, least: int = domain.MIN_CLUSTER, block: int = BLOCK) -> DataFrame:
+    """``group, key, cluster`` with noise -1, each bucket on its own; clusters are numbered by their first member.
+
+    With one neighbour, the core distance of a member is never more than its distance to any other,
+    so mutual reachability is the distance itself. Distances of a bucket are many tasks, and its
+    tree is rounds over edges; a task then condenses a bucket's tree, three numbers a member. Null
+    vectors are noise.
+    """
+    rows = saved(numbered(vectors.select(group, key, vector), [F.col(group), F.col(key)], "_v"), "density-rows")
+    tree = spanning_tree(rows, group, "_v", vector, block)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key, kind="stable")
-        pdf["cluster"] = _hierarchy(np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vector]]), least)
-        return pdf[[group, key, "cluster"]]
+        ids, at = np.unique(pdf[["a", "b"]].to_numpy(), return_inverse=True)
+        at = at.reshape(-1, 2)
+        return pd.DataFrame({"_v": ids, "_c": _condensed(at[:, 0], at[:, 1], pdf["w"].to_numpy(), len(ids), least)})
 
-    return vectors.select(group, key, vector).groupBy(group).applyInPandas(run, f"{group} {kind[group]}, {key} {kind[key]}, cluster int")
+    found = tree.groupBy(group).applyInPandas(run, "_v long, _c int")
+    return rows.join(found, "_v", "left").select(group, key, F.coalesce("_c", F.lit(-1)).alias("cluster"))
 
 
 def embedded(texts: DataFrame, key: str, dims: int = DIMS) -> DataFrame:

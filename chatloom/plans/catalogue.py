@@ -346,6 +346,20 @@ def core_distance(spark: SparkSession, d: str) -> DataFrame:
     return clusters.nearest_distance(table(spark, d, "embeddings"), "label", "vec_id", "embedding")
 
 
+@query(f"""with recursive {_UNIT}, n as (select *, row_number() over (partition by label order by vec_id) as i from u),
+d as (select a.label, a.i, list(greatest(1 - list_dot_product(a.v, b.v), 0) order by b.i) as ds from n a join n b on a.label = b.label group by all),
+prim(label, edges, weight, best) as (
+  select label, 0, 0.0::double, list_transform(ds, lambda x, k: case when k > 1 then x end) from d where i = 1
+  union all
+  select p.label, edges + 1, weight + list_min(best), list_transform(best, lambda x, k: case when x is not null and k <> j then least(x, ds[k]) end)
+  from (select *, list_position(best, list_min(best)) as j from prim where list_min(best) is not null) p join d on d.label = p.label and d.i = p.j)
+select label, max(edges)::bigint as edges, round(max(weight), 5) as weight from prim group by label having max(edges) > 0""")
+def density_tree(spark: SparkSession, d: str) -> DataFrame:
+    """The least spanning tree of each bucket, block by block."""
+    tree = clusters.spanning_tree(table(spark, d, "embeddings"), "label", "vec_id", "embedding", block=64)
+    return tree.groupBy("label").agg(F.count(F.lit(1)).alias("edges"), F.round(F.sum("w"), 5).alias("weight"))
+
+
 @query()
 def hdbscan_per_bucket(spark: SparkSession, d: str) -> DataFrame:
     return clusters.density_clusters(table(spark, d, "embeddings"), "label", "vec_id", "embedding")
