@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import domain
@@ -12,6 +12,7 @@ from ..functions.text import estimated_tokens, mentions_any, rendered, tokens_of
 from ..storage import saved
 from .ordered import first_after, last_after, merged, windows_of, with_gaps
 from .relational import numbered_within
+from .scans import running
 
 
 def _objection() -> Column:
@@ -77,7 +78,7 @@ def shrunk_radius(chats: DataFrame, objections: DataFrame, messages: DataFrame,
     window costs the difference of two running sums.
     """
     lengths = messages.select("chat_id", "pos", (F.char_length(_line()) + 1).alias("chars"))
-    sums = lengths.select("chat_id", (F.col("pos") + 1).alias("at"), F.sum("chars").over(Window.partitionBy("chat_id").orderBy("pos")).alias("upto"))
+    sums = running(lengths, "chat_id", ["pos"], sums={"upto": F.col("chars")}).select("chat_id", (F.col("pos") + 1).alias("at"), "upto")
     tried = chats.select("chat_id", "n", F.explode(F.sequence(F.lit(0), F.lit(most))).alias("radius"))
     spans = with_gaps(merged(windows_of(tried, objections, radius="radius")))
     told = F.when(F.col("gap") > 0, F.char_length(_gap_line()) + 1).otherwise(0)

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from .. import domain
 from ..functions.formats import chat_line
 from ..functions.text import stripped
+from .scans import running, segmented
 
 
-def in_chat() -> Window:
-    return Window.partitionBy("chat_id").orderBy("ts_ms", "msg_id")
+#: How messages of a chat follow each other; a null time comes first.
+ORDER = ["ts_ms", "msg_id"]
 
 
 def positioned(messages: DataFrame) -> DataFrame:
-    """Add ``pos``: the 0-based place in the chat; a null time comes first."""
-    return messages.withColumn("pos", (F.row_number().over(in_chat()) - 1).cast("long"))
+    """Add ``pos``: the 0-based place in the chat."""
+    return running(messages, "chat_id", ORDER, sums={"pos": F.lit(1)}).withColumn("pos", (F.col("pos") - 1).cast("long"))
 
 
 def nested(messages: DataFrame) -> DataFrame:
@@ -33,25 +34,31 @@ def written_out(messages: DataFrame) -> DataFrame:
 def with_parent_step(messages: DataFrame) -> DataFrame:
     """As-of join, backward: the last non-empty step an agent was at, else unknown."""
     step = F.when(F.col("from_me") & (F.col("step_id") != ""), F.col("step_id"))
-    seen = F.last(step, ignorenulls=True).over(in_chat().rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return messages.withColumn("parent_step", F.coalesce(seen, F.lit(domain.UNKNOWN)))
+    return running(messages, "chat_id", ORDER, lasts={"parent_step": step}).withColumn("parent_step", F.coalesce("parent_step", F.lit(domain.UNKNOWN)))
 
 
 def with_hints(messages: DataFrame, keep: int = domain.HINT_MESSAGES, chars: int = domain.HINT_CHARS) -> DataFrame:
-    """Add ``hints``: the last ``keep`` agent texts before a message, oldest first.
+    """``chat_id, msg_id, hints`` of customers' messages: the last ``keep`` agent texts before each, oldest first.
 
-    Agent messages are numbered, and each message fetches the numbers just before it, so
-    nothing grows with the length of a chat.
+    In a segment a text is a few places back among those that are there; what is missing comes from
+    the last few of the segments before.
     """
     text = stripped(F.col("text"))
-    said = F.col("from_me") & (text != "")
-    rows = messages.withColumn("_n", F.sum(F.when(said, 1).otherwise(0)).over(in_chat().rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    rows = rows.withColumn("_before", F.col("_n") - F.when(said, 1).otherwise(0))
-    agent = rows.filter(said).select("chat_id", F.col("_n").alias("_k"), F.substring(text, 1, chars).alias("_t"))
-    asked = rows.filter("not from_me").withColumn("_k", F.explode(F.sequence(F.greatest(F.col("_before") - keep + 1, F.lit(1)), F.greatest(F.col("_before"), F.lit(1)))))
-    found = asked.join(agent, ["chat_id", "_k"], "left")
-    hints = found.groupBy("chat_id", "msg_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_t").isNotNull() & (F.col("_k") <= F.col("_before")), F.struct("_k", "_t")))), lambda s: s["_t"]), " | ").alias("hints"))
-    return hints
+    rows = messages.select("chat_id", *ORDER, "from_me", F.when(F.col("from_me") & (text != ""), F.substring(text, 1, chars)).alias("_t"))
+    rows, several = segmented(rows, "chat_id", ORDER)
+    back = [f"lag(_t, {k}) ignore nulls over (partition by chat_id, _seg order by {', '.join(ORDER)})" for k in range(keep, 0, -1)]
+    out = rows.withColumn("_last", F.expr(f"filter(array({', '.join(back)}), t -> t is not null)"))
+    if several:
+        own = F.concat("_last", F.array("_t"))
+        ends = out.groupBy("chat_id", "_seg").agg(F.max_by(own, F.when(F.col("_t").isNotNull(), F.struct(*ORDER))).alias("_end"))
+        before = Window.partitionBy("chat_id").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)  # a row a segment
+        ends = ends.select(F.col("chat_id").alias("_g"), F.col("_seg").alias("_s"), F.flatten(F.collect_list(_ending("_end", keep)).over(before)).alias("_before"))
+        out = out.join(ends, F.col("chat_id").eqNullSafe(F.col("_g")) & (F.col("_seg") == F.col("_s"))).withColumn("_last", F.concat(F.coalesce("_before", F.array().cast("array<string>")), "_last"))
+    return out.filter("not from_me").select("chat_id", "msg_id", F.array_join(_ending("_last", keep), " | ").alias("hints"))
+
+
+def _ending(name: str, n: int) -> Column:
+    return F.slice(name, F.greatest(F.size(name) - n + 1, F.lit(1)), F.lit(n))
 
 
 def batches(rows: DataFrame, size: int, number: str = "idx") -> DataFrame:
@@ -89,14 +96,23 @@ def with_gaps(islands: DataFrame) -> DataFrame:
 
 
 def first_after(messages: DataFrame, marks: DataFrame, wanted: Column) -> DataFrame:
-    """For each ``marks(chat_id, mark)`` the text of the first wanted message after the mark, or ''."""
-    found = messages.filter(wanted).join(marks, "chat_id").filter("pos > mark").groupBy("chat_id", "mark").agg(F.min_by("text", "pos").alias("text"))
-    return marks.join(found, ["chat_id", "mark"], "left").withColumn("text", F.coalesce("text", F.lit("")))
+    """For each ``marks(chat_id, mark)`` the text of the first wanted message after the mark, or ''.
+
+    Marks and wanted messages are one ordered table, passed once from its end: a mark takes what
+    was met last. So a mark costs a row, not a row for each message after it.
+    """
+    said = messages.filter(wanted).select("chat_id", (-F.col("pos")).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("mark"), F.struct("text").alias("_t"))
+    asked = marks.select("chat_id", (-F.col("mark")).alias("_at"), F.lit(0).alias("_kind"), F.col("mark").cast("long").alias("mark"), F.lit(None).cast("struct<text:string>").alias("_t"))
+    # A message at its mark's own place comes after the mark on the way back: it isn't taken.
+    met = running(said.unionByName(asked), "chat_id", ["_at", "_kind"], lasts={"_next": F.col("_t")})
+    return met.filter("_kind = 0").select("chat_id", "mark", F.coalesce("_next.text", F.lit("")).alias("text"))
 
 
 def last_after(messages: DataFrame, marks: DataFrame, wanted: Column) -> DataFrame:
-    found = messages.filter(wanted).join(marks, "chat_id").filter("pos > mark").groupBy("chat_id", "mark").agg(F.max_by("text", "pos").alias("text"))
-    return marks.join(found, ["chat_id", "mark"], "left").withColumn("text", F.coalesce("text", F.lit("")))
+    """For each ``marks(chat_id, mark)`` the text of the chat's last wanted message if it comes after the mark, or ''."""
+    last = messages.filter(wanted).groupBy("chat_id").agg(F.max("pos").alias("_pos"), F.max_by("text", "pos").alias("_text"))
+    found = marks.join(last, "chat_id", "left")
+    return found.select(*marks.columns, F.when(F.col("_pos") > F.col("mark"), F.coalesce("_text", F.lit(""))).otherwise("").alias("text"))
 
 
 def tertiles(chats: DataFrame, size: str, order: str) -> DataFrame:
