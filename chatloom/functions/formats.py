@@ -6,34 +6,25 @@ import json
 import re
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def without_fence(text: str) -> str:
     """The inside of a text that is one fenced code block; any other text stripped."""
-    lines = text.strip().splitlines()
-    if not lines or not lines[0].startswith("```"):
-        return text.strip()
-    last = len(lines) - 1 if len(lines) > 1 and lines[-1].strip().startswith("```") else len(lines)
-    return "\n".join(lines[1:last]).strip()
+    block = re.fullmatch(r"\s*```[^\n]*\n(?P<inside>.*?)(\n[ \t]*```[^\n]*)?\s*", text, re.DOTALL)
+    return (block["inside"] if block else text).strip()
 
 
 def json_object(text: str) -> str:
-    """The JSON object in an answer: from the first brace to the last, inside the first fence if there is one."""
-    fenced = re.search(r"```(?:json)?\s*(.*?)```", text, re.DOTALL)
-    body = (fenced[1] if fenced else text).strip()
-    first, last = body.find("{"), body.rfind("}")
-    return body[first : last + 1] if 0 <= first < last else body
-
-
-def json_object_column(text: Column) -> Column:
-    """``json_object`` as an expression."""
-    fenced = F.regexp_extract(text, r"(?s)```(?:json)?\s*(.*?)```", 1)
-    body = F.trim(F.when(text.rlike(r"(?s)```(?:json)?\s*.*?```"), fenced).otherwise(text))
-    inside = F.regexp_extract(body, r"(?s)\{.*\}", 0)
-    return F.when(inside != "", inside).otherwise(body)
+    """The first JSON object that can be read in an answer, whatever stands around it; without one, the text stripped."""
+    read = json.JSONDecoder().raw_decode
+    for brace in re.finditer(r"\{", text):
+        try:
+            return text[brace.start() : read(text, brace.start())[1]]
+        except ValueError:
+            continue
+    return text.strip()
 
 
 def json_cell(value: Any) -> str:
@@ -41,19 +32,6 @@ def json_cell(value: Any) -> str:
     return json.dumps(value, ensure_ascii=False)
 
 
-def json_cells(value: Column) -> Column:
-    """``json_cell`` of an array column; structs become lists of their fields (Arrow: Spark's JSON is compact)."""
-
-    @F.pandas_udf("string")
-    def cells(compact: pd.Series) -> pd.Series:
-        def plain(v: Any) -> Any:
-            return [list(x.values()) if isinstance(x, dict) else x for x in v]
-
-        return compact.map(lambda t: None if t is None else json_cell(plain(json.loads(t))))
-
-    return cells(F.to_json(value))
-
-
 def chosen_numbers(text: str, most: int) -> list[int]:
     """Numbers 1 to ``most`` of a comma list, each once, in order."""
     out: dict[int, None] = {}
@@ -64,11 +42,6 @@ def chosen_numbers(text: str, most: int) -> list[int]:
     return list(out)
 
 
-def day_first(iso: str) -> str:
-    """``yyyy-mm-dd`` as ``dd.mm.yyyy``."""
-    return ".".join(reversed(iso.split("-")))
-
-
 def chat_line(ts_ms: Column, from_me: Column, text: Column) -> Column:
     """A message of a chat written out for people, with its minute in UTC."""
     body = F.regexp_replace(F.replace(F.coalesce(text, F.lit("")), F.lit("\r"), F.lit("")), r"(?U)[\s\x1c-\x1f\x85]+$", "")

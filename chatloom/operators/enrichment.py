@@ -55,8 +55,8 @@ class Chain:
     #: Seconds that a spent provider rests when it doesn't say how long.
     REST = 3600.0
 
-    def __init__(self, providers: list[Provider], tries: int = 2) -> None:
-        self.providers, self.tries = providers, tries
+    def __init__(self, providers: list[Provider], tries: int = 2, prompt: str = "") -> None:
+        self.providers, self.tries, self.prompt = providers, tries, prompt
         self.resting: dict[int, float] = {}
         self.fallbacks: list[str] = []
         #: The provider of the latest answer: usage is counted by it.

@@ -27,8 +27,15 @@ def nested(messages: DataFrame) -> DataFrame:
 
 
 def written_out(messages: DataFrame) -> DataFrame:
-    """``chat_id, chat``: each chat as lines for people to read."""
-    return nested(messages).select("chat_id", F.array_join(F.transform("messages", lambda m: chat_line(m["ts_ms"], m["from_me"], m["text"])), "\n").alias("chat"))
+    """``chat_id, chat``: each chat for people to read, a head and its lines; the raw text of a message if it has one.
+
+    Fixed value: how the head reads.
+    """
+    said = F.coalesce(F.nullif("text_raw", F.lit("")), "text")
+    lines = messages.select("chat_id", *ORDER, "phone", chat_line(F.col("ts_ms"), F.col("from_me"), said).alias("line"))
+    chats = lines.groupBy("chat_id").agg(F.min_by("phone", F.struct(*ORDER)).alias("phone"), F.array_sort(F.collect_list(F.struct(*ORDER, "line"))).alias("m"))
+    head = F.concat(F.lit("chat_id="), F.col("chat_id").cast("string"), F.lit("  phone="), F.coalesce("phone", F.lit("")), F.lit("  msgs="), F.size("m").cast("string"))
+    return chats.select("chat_id", F.array_join(F.concat(F.array(head, F.lit("-" * 60)), F.transform("m", lambda m: m["line"])), "\n").alias("chat"))
 
 
 def with_parent_step(messages: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def deal_rows(deals: DataFrame, chat_labels: DataFrame, limit: int | None = None
 
 
 def repaired_headers(text: str, headers: list[str], stub: str = "(sem dados — stub)") -> str:
-    """Numbered second-level headers in their canonical wording; missing ones appended with a stub.
+    """Numbered second-level headers in their canonical wording, indented ones too; missing ones appended with a stub.
 
     The stub's wording is a fixed value.
     """
@@ -34,12 +34,12 @@ def repaired_headers(text: str, headers: list[str], stub: str = "(sem dados —
     seen: set[str] = set()
     lines = []
     for line in text.splitlines():
-        m = re.match(r"##\s*(\d+)\.", line)
+        m = re.match(r"\s*##\s*(\d+)\.", line)
         if m and m[1] in wanted:
             seen.add(m[1])
             line = wanted[m[1]]
         lines.append(line)
     for number, header in wanted.items():
         if number not in seen:
-            lines += ["", header, "", stub]
+            lines += ["", header, stub]
     return "\n".join(lines).rstrip() + "\n"

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from .. import domain
 from ..functions import prompts
 from ..functions import text as tx
-from ..functions.formats import chosen_numbers, json_cell, without_fence
-from ..operators import clusters, conversion, enrichment, ordered, relational, reporting, templates
+from ..functions.formats import chosen_numbers, json_cell, json_object, without_fence
+from ..operators import clusters, conversion, enrichment, evaluation, ordered, relational, reporting, templates
 from ..sources import files, sqlite
 from ..storage import saved
 from .runner import Runner, Stage
@@ -47,6 +47,8 @@ class Settings:
     chat_limit: int | None = None
     budget: float | None = None
     prompts: Path | None = None
+    data_folder: Path | None = None
+    output_folder: Path | None = None
 
     def __post_init__(self) -> None:
         if self.phones is not None and self.chat_limit is not None:
@@ -54,11 +56,11 @@ class Settings:
 
     @property
     def data(self) -> Path:
-        return Path(self.folder) / "data"
+        return Path(self.data_folder or Path(self.folder) / "data")
 
     @property
     def output(self) -> Path:
-        return Path(self.folder) / "output"
+        return Path(self.output_folder or Path(self.folder) / "output")
 
     def fingerprint(self) -> dict[str, Any]:
         inputs = [files.file_hash(self.db), files.file_hash(self.script), *self.excluded_labels, self.from_date or ""]
@@ -296,9 +298,32 @@ class Analysis:
             "off_script_clusters.csv": ((r["step_id"], r["medoid_text"], r["size"], json_cell(r["example_msg_ids"])) for r in found.filter(F.col("step_id") == domain.UNKNOWN).orderBy("rank").toLocalIterator()),
         }
 
+    def sample_for_truth(self, path: str, counts: tuple[int, int, int] = (6, 8, 6)) -> list[int]:
+        """Write chats of all sizes out for people to judge, a text file each; their ids."""
+        messages = self.table("messages")
+        sizes = messages.groupBy("chat_id").agg(F.count(F.lit(1)).alias("n"))
+        chosen = evaluation.stratified_sample(sizes, "n", "chat_id", counts).select("chat_id")
+        rows = ordered.written_out(messages.join(F.broadcast(chosen), "chat_id")).orderBy("chat_id").collect()  # a few chats
+        for r in rows:
+            files.replace_text(Path(path) / f"{r['chat_id']}.txt", r["chat"] + "\n")
+        return [r["chat_id"] for r in rows]
+
+    def judged(self, path: str, chat_id: int, outcome: str, notes: str = "") -> None:
+        """Add what a person found of a chat to a file of ground truth."""
+        if outcome not in domain.OUTCOMES:
+            raise ValueError(f"no outcome: {outcome}")
+        phone = self.table("messages").filter(F.col("chat_id") == chat_id).select("phone").first()
+        files.append_csv(path, ["chat_id", "phone", "outcome", "notes"], [(chat_id, phone["phone"] if phone else "", outcome, notes)])
+
+    def compared(self, path: str) -> dict[str, Any]:
+        """How often the outcomes found are those that people found; ambiguous ones count on neither side."""
+        truth = files.read_ground_truth(self.spark, path).select("chat_id", "outcome").dropDuplicates(["chat_id"])
+        found = self.table("conversions").select("chat_id", F.col("final_outcome").alias("outcome"))
+        return evaluation.accuracy(truth, found, "chat_id").first().asDict()
+
     def runner(self, tries: int = 1) -> Runner:
         """The stages with what each needs and leaves."""
-        d = "data/"
+        d, o = f"{self.settings.data.absolute()}/", f"{self.settings.output.absolute()}/"
         stages = [
             Stage(1, "load", self.load, [], [d + "messages", d + "chat_labels", d + "stage1_summary.json", d + "conversations.jsonl"]),
             Stage(2, "dedupe", self.dedupe, [d + "messages"], [d + "templates", d + "template_map"]),
@@ -307,11 +332,49 @@ class Analysis:
             Stage(5, "score", self.score, [d + "templates"], [d + "score"]),
             Stage(6, "convert", self.convert, [d + "messages", d + "labelled"], [d + "conversion", d + "conversions", d + "turnarounds", d + "lost_deals"]),
             Stage(7, "aggregate", self.aggregate, [d + "messages", d + "labelled"], [d + "per_step", d + "clusters"]),
-            Stage(8, "report", self.report, [d + "templates", d + "score", d + "conversions", d + "turnarounds", d + "lost_deals", d + "per_step", d + "clusters", d + "chat_labels"], ["output/report.md", *(f"output/{n}" for n in domain.CSV_COLUMNS)]),
+            Stage(8, "report", self.report, [d + "templates", d + "score", d + "conversions", d + "turnarounds", d + "lost_deals", d + "per_step", d + "clusters", d + "chat_labels"], [o + "report.md", *(o + n for n in domain.CSV_COLUMNS)]),
         ]
         return Runner(Path(self.settings.folder), stages, self.settings.fingerprint(), tries)
 
 
+#: What a model is told besides the items of each task.
+TOLD = {"template": ("STEPS",), "customer": ("STEPS", "OBJECTIONS"), "score": (), "conversion": ("OBJECTIONS",)}
+
+
+def asking(spark: SparkSession, settings: Settings, asks: list[Callable[[str, str], str]], **more: Any) -> Analysis:
+    """An analysis whose stages ask models: functions of instructions and a question to a text, the first first.
+
+    The instructions are files of ``settings.prompts``, one a task: ``template.md``, ``customer.md``,
+    ``score.md``, ``conversion.md``, ``extend.md`` and ``report.md``. Each function is asked again when
+    its answer can't be used, and is followed by the next. It may have prices (``price_in``,
+    ``price_out``, dollars of a million tokens; ``price``, dollars of a call).
+    """
+    script = files.load_script(settings.script)
+    blocks = {"STEPS": prompts.steps_block(script), "OBJECTIONS": prompts.objections_block(script)}
+
+    def provider(task: str) -> enrichment.Chain:
+        text = prompts.instructions(settings.prompts, f"{task}.md")
+        fields = tuple(f.split()[0] for f in RECORDS[task].split(", "))
+        made = []
+        for ask in asks:
+            one = enrichment.Asking(getattr(ask, "__name__", type(ask).__name__), ask, text, fields, {n: blocks[n] for n in TOLD[task]})
+            for n in ("price", "price_in", "price_out"):
+                setattr(one, n, float(getattr(ask, n, 0.0)))
+            made.append(one)
+        return enrichment.Chain(made, prompt=text)
+
+    def extended(known: dict[str, Any]) -> dict[str, Any]:
+        told, asked = prompts.instructions(settings.prompts, "extend.md"), prompts.question({"SCRIPT": {k: v for k, v in known.items() if k != "extensions"}})
+        for ask in asks:
+            try:
+                return files.checked_replies(json.loads(json_object(ask(told, asked))))
+            except (ValueError, KeyError, TypeError, enrichment.ProviderError):  # the next one is asked
+                continue
+        raise enrichment.ProviderError("no usable extensions of the script")
+
+    return Analysis(spark, settings, {t: provider(t) for t in TOLD}, expand=extended, write=lambda q: asks[0](prompts.instructions(settings.prompts, "report.md"), q), **more)
+
+
 def prepare(spark: SparkSession, settings: Settings, labels: str, day: str | None, labels_file: Path, config: Path) -> list[str]:
     """Write the files of labels to leave out and of the first day, and forget the first stage.
 

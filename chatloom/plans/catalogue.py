@@ -512,9 +512,12 @@ def customer_parents(spark: SparkSession, d: str) -> DataFrame:
     return ordered.with_parent_step(timed).filter("not from_me").select("chat_id", "msg_id", "parent_step")
 
 
-@query(f"with {CHAT_SQL} select chat_id, string_agg('[' || strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H:%M') || '] ' || case when from_me then 'ME  ' else 'THEM' end || ': ' || rtrim(replace(coalesce(text, ''), chr(13), '')), chr(10) order by ts_ms, msg_id) as chat from c group by chat_id")
+@query(f"""with {CHAT_SQL}, r as (select *, case msg_id % 3 when 0 then 'raw ' || text || ' ' when 1 then '' end as text_raw from c)
+select chat_id, 'chat_id=' || chat_id || '  phone=+' || chat_id || '  msgs=' || count(*) || chr(10) || repeat('-', 60) || chr(10) ||
+string_agg('[' || strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H:%M') || '] ' || case when from_me then 'ME  ' else 'THEM' end || ': ' || rtrim(replace(coalesce(nullif(text_raw, ''), text, ''), chr(13), '')), chr(10) order by ts_ms, msg_id) as chat from r group by chat_id""")
 def chats_written_out(spark: SparkSession, d: str) -> DataFrame:
-    return ordered.written_out(chat_messages(spark, d))
+    raw = F.when(F.col("msg_id") % 3 == 0, F.concat(F.lit("raw "), "text", F.lit(" "))).when(F.col("msg_id") % 3 == 1, "")
+    return ordered.written_out(chat_messages(spark, d).withColumns({"phone": F.concat(F.lit("+"), F.col("chat_id").cast("string")), "text_raw": raw}))
 
 
 @query(f"with {CHAT_SQL} select chat_id, count(*) as n_messages, string_agg(msg_id::varchar, ',' order by ts_ms, msg_id) as ids from c group by chat_id")

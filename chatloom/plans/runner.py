@@ -57,13 +57,14 @@ class Runner:
                 remove(self.folder / name)
         self.manifest(stage).unlink(missing_ok=True)
 
+    def chosen(self, first: int = 1, last: int | None = None, force: bool = False, only: int | None = None) -> list[Stage]:
+        """The stages that a run would do: those asked for that aren't done for these inputs."""
+        asked = [s for s in self.stages if (s.number == only if only is not None else first <= s.number <= (last or s.number))]
+        return [s for s in asked if force or not self.valid(s)]
+
     def run(self, first: int = 1, last: int | None = None, force: bool = False, only: int | None = None) -> dict[int, dict[str, Any]]:
         out = {}
-        for stage in self.stages:
-            if only is not None and stage.number != only or only is None and not first <= stage.number <= (last or stage.number):
-                continue
-            if not force and self.valid(stage):
-                continue
+        for stage in self.chosen(first, last, force, only):
             self.invalidate(stage)
             missing = [n for n in stage.needs if not (self.folder / n).exists()]
             if missing:
@@ -86,7 +87,3 @@ class Runner:
                 if name not in keep:
                     remove(self.folder / name)
             self.manifest(stage).unlink(missing_ok=True)
-
-    def lacking(self, *names: str) -> list[str]:
-        """Which files, in the folder or by full path, are not there."""
-        return [n for n in names if not (self.folder / n).exists()]

@@ -104,11 +104,6 @@ def write_configured_date(path: str | Path, day: str | None) -> None:
     write_yaml(path, {"from_date": day or ""})
 
 
-def script_steps(spark: SparkSession, script: dict[str, Any]) -> DataFrame:
-    rows = [(str(s["id"]), s.get("name", ""), s.get("canonical_texts") or [], s.get("expected_customer_intents") or [], [str(x) for x in s.get("transitions_to") or []]) for s in script["steps"]]
-    return spark.createDataFrame(rows, "id string, name string, canonical_texts array<string>, expected_customer_intents array<string>, transitions_to array<string>")
-
-
 def tolerant_json(path: str | Path) -> Any:
     """A JSON document, or an empty object where it is missing or broken."""
     try:
@@ -163,18 +158,6 @@ def write_jsonl(df: DataFrame, path: str, order: list[str] | None = None) -> Non
     df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_jsonl_file(df: DataFrame, path: str | Path, order: list[str]) -> None:
-    """One file of JSON lines in ``order``, for readers that need one; rows stream through the driver, a partition at a time."""
-    rows = df.orderBy(*order).select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    part = path.with_name(f"{path.name}.{os.getpid()}.part")
-    with part.open("w", encoding="utf-8", newline="") as f:
-        for row in rows.toLocalIterator():
-            f.write(row.value + "\n")
-    os.replace(part, path)
-
-
 def read_json_map(spark: SparkSession, path: str | Path, key: str, value: str, kind: str = "long") -> DataFrame:
     """A JSON object with whole numbers as keys (strings in the file) as rows ``key, value``."""
     found = tolerant_json(path)

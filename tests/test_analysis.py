@@ -379,15 +379,13 @@ def test_numbers_are_gapless_on_large_tables(spark):
 
 def test_formats(spark):
     assert formats.json_object('x ```json\n{"a": {"b": 1}}\n``` y') == '{"a": {"b": 1}}' == formats.json_object('so: {"a": {"b": 1}} done')
-    df = spark.createDataFrame([('x ```json\n{"a": 1}\n``` {}',), ("so {1} {2} x",), ("none",)], "t string")
-    assert [r[0] for r in df.select(formats.json_object_column(F.col("t"))).collect()] == ['{"a": 1}', "{1} {2}", "none"]
+    assert [formats.json_object(t) for t in ('see {this}: {"a": "}"} and {"b": 2}', " none ", "{1} {", '{"open": ')] == ['{"a": "}"}', "none", "{1} {", '{"open":']
+    assert [formats.without_fence(t) for t in ("```\na: 1", "```yaml\na: 1\n  b: 2\n  ```  \n", "x ``` y", "```")] == ["a: 1", "a: 1\n  b: 2", "x ``` y", "```"]
     assert formats.without_fence("```yaml\na: 1\n```\n") == "a: 1" == formats.without_fence(" a: 1 ")
-    assert formats.chosen_numbers("2, 1,,2", 3) == [2, 1] and formats.day_first("2026-04-20") == "20.04.2026"
+    assert formats.chosen_numbers("2, 1,,2", 3) == [2, 1]
     for bad in ("0", "4", "x"):
         with pytest.raises(ValueError):
             formats.chosen_numbers(bad, 3)
-    cells = spark.createDataFrame([([("é", 3), ("b", 1)],)], "v array<struct<value:string,n:long>>").select(formats.json_cells(F.col("v"))).first()[0]
-    assert cells == '[["é", 3], ["b", 1]]'
     line = spark.createDataFrame([(60_000, True, "a\r \n"), (0, False, None)], "t long, me boolean, x string").select(formats.chat_line(F.col("t"), F.col("me"), F.col("x"))).collect()
     assert [r[0] for r in line] == ["[1970-01-01 00:01] ME  : a", "[1970-01-01 00:00] THEM: "]
 
@@ -409,7 +407,6 @@ def test_more_files(spark, tmp_path):
     (tmp_path / "bad.yaml").write_text("steps: [{id: '1'}]")
     with pytest.raises(ValueError, match="3.5"):
         files.load_script(tmp_path / "bad.yaml")
-    assert files.script_steps(spark, files.load_script(tmp_path / "s.yaml")).count() == 9
     with pytest.raises(ValueError):
         files.checked_replies({"objection_replies": [{"objection_id": "price"}]})
     files.write_configured_date(tmp_path / "c.yaml", "2026-04-20")
@@ -419,8 +416,6 @@ def test_more_files(spark, tmp_path):
     assert files.read_jsonl(spark, str(tmp_path / "no.jsonl"), "a long", missing_ok=True).count() == 0
     files.write_jsonl(spark.createDataFrame([(1, None)], "a long, b string"), str(tmp_path / "j"))
     assert files.read_jsonl(spark, str(tmp_path / "j"), "a long, b string").first() == (1, None)
-    files.write_jsonl_file(spark.range(20).select((F.col("id") * 7 % 20).alias("a")), tmp_path / "one.jsonl", ["a"])
-    assert [json.loads(x)["a"] for x in (tmp_path / "one.jsonl").read_text().splitlines()] == list(range(20))
     files.write_json(tmp_path / "m.json", {"7": 1, "8": 2})
     assert {tuple(r) for r in files.read_json_map(spark, tmp_path / "m.json", "msg_id", "template_id").collect()} == {(7, 1), (8, 2)}
     for _ in range(2):
@@ -439,7 +434,7 @@ def test_restart(spark, made):
     a = Analysis(spark, settings(made))
     r = a.runner()
     r.run(last=2)
-    assert r.lacking("data/messages", "data/labelled") == ["data/labelled"]
+    assert [x.number for x in r.chosen()] == [3, 4, 5, 6, 7, 8] and [x.number for x in r.chosen(2, 3, force=True)] == [2, 3] and r.chosen(only=1) == []
     (made / "out/notes.csv").write_text("stays")
     r.restart()
     assert not (made / "out/data/messages").exists() and (made / "out/notes.csv").exists()
@@ -454,6 +449,55 @@ def test_stratified_sample(spark):
     assert all(r.stratum == (0 if (at := order.index((r.n, r.chat_id))) < 13 else 1 if at < 26 else 2) for r in got)
 
 
+class Model:
+    """Answers every task of the analysis from the question alone, with words around the answer."""
+
+    __name__ = "model"
+    price_in = 2.0
+
+    def __call__(self, instructions, question):
+        parts = dict(p.split(":\n", 1) for p in question.split("\n\n") if ":\n" in p)
+        if instructions == "do extend":
+            return "here: " + json.dumps({"objection_replies": [{"objection_id": i, "reply": "sim"} for i in domain.OBJECTION_IDS]}) + " done"
+        if instructions == "do report":
+            return f"  {domain.SECTIONS[0]}\ntext\n"
+        items = json.loads(parts["ITEMS"])
+        assert ("STEPS" in parts) == (instructions in ("do template", "do customer")) and ("OBJECTIONS" in parts) == (instructions in ("do customer", "do conversion"))
+        made = {
+            "do template": lambda i: {"template_id": i["template_id"], "step_id": "1", "matches_script": True, "deviation_note": None},
+            "do customer": lambda i: {"msg_id": i["msg_id"], "step_context": "off_script", "intent": "x", "objection_type": "price" if "caro" in i["text"] else None, "sentiment": "neu"},
+            "do score": lambda i: {"template_id": i["template_id"], "warmth": 5, "clarity": 5, "script_adherence": 5, "polarity": "pos", "critique": ""},
+            "do conversion": lambda i: {"chat_id": i["chat_id"], "conversion_score": 3, "conversion_evidence": "e", "objection_msg_id": None, "first_objection_type": None, "resolution_msg_id": None, "winning_reply_excerpt": None, "final_outcome": "booked"},
+        }[instructions]
+        return "```json\n" + json.dumps({"items": [made(i) for i in items]}) + "\n```"
+
+
+def refusing(instructions, question):
+    return "I can't"
+
+
+def test_models_answer_all_stages(spark, made):
+    for task in (*RECORDS, "extend", "report"):
+        files.replace_text(made / "prompts" / f"{task}.md", f"do {task}")
+    a = analysis.asking(spark, settings(made, prompts=made / "prompts", data_folder=made / "tables", output_folder=made / "shown"), [refusing, Model()])
+    a.runner().run()
+    assert a.table("labelled").filter("step_id = '1' and step_context = 'on_script'").count() > 0 and a.table("labelled").filter("objection_type = 'price'").count() > 0
+    assert {r.final_outcome for r in a.table("conversions").collect()} == {"booked"}
+    usage = files.tolerant_json(made / "tables" / "usage.json")
+    assert set(usage["stages"]) == set(RECORDS) and all(set(u) == {"model"} for u in usage["stages"].values())
+    assert usage["cost"] == pytest.approx(sum(u["model"]["tokens_in"] for u in usage["stages"].values()) * 2 / 1e6) and usage["cost"] > 0
+    text = (made / "shown" / "report.md").read_text()
+    assert [x for x in text.splitlines() if x.startswith("## ")] == list(domain.SECTIONS) and not (made / "out").joinpath("data").exists()
+    ids = a.sample_for_truth(str(made / "judge"), (1, 1, 1))
+    first = (made / "judge" / f"{ids[0]}.txt").read_text().splitlines()
+    assert first[0].startswith(f"chat_id={ids[0]}  phone=55") and first[1] == "-" * 60
+    for chat, outcome in zip(ids, ("booked", "lost"), strict=False):
+        a.judged(str(made / "truth.csv"), chat, outcome)
+    assert a.compared(str(made / "truth.csv")) == {"matches": 1, "compared": len(ids), "n": len(ids), "accuracy": round(1 / len(ids), 6)}
+    with pytest.raises(ValueError):
+        a.judged(str(made / "truth.csv"), 1, "odd")
+
+
 def test_saved_and_discarded(spark):
     kept = storage.saved(spark.range(5), "test-kept")
     folder = pathlib.Path(storage.shared_dir(spark).removeprefix("file:"))

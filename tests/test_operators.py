@@ -91,7 +91,8 @@ def test_enrich_and_checks(spark):
 
 
 def test_headers():
-    assert reporting.repaired_headers("## 2. foo\nx", ["## 1. A", "## 2. B"]) == "## 2. B\nx\n\n## 1. A\n\n(sem dados — stub)\n"
+    assert reporting.repaired_headers("## 2. foo\nx", ["## 1. A", "## 2. B"]) == "## 2. B\nx\n\n## 1. A\n(sem dados — stub)\n"
+    assert reporting.repaired_headers("  ##1. Viadas\n ## 2. B\n### 1. x", ["## 1. A", "## 2. B"]) == "## 1. A\n## 2. B\n### 1. x\n"
 
 
 def test_sqlite(spark, tmp_path):
