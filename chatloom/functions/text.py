@@ -37,6 +37,8 @@ def ascii_fold(text: Column) -> Column:
     def fold(s: pd.Series) -> pd.Series:
         return s.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode().lower().strip())
 
+    # Else a filter on the result is pushed under it, and every text is folded twice.
+    fold = fold.asNondeterministic()
     wide = text.rlike(r"[^\x00-\x7f]")
     plain = F.regexp_replace(F.lower(text), r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
     return F.when(wide, fold(F.when(wide, text))).otherwise(plain)

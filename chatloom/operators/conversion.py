@@ -35,10 +35,10 @@ def paired(turnarounds: DataFrame, lost: DataFrame) -> DataFrame:
     gets places 2k and 2k+1 while there are such, the last and first at an odd end, then the
     first two for good.
     """
-    pool = numbered_within(lost.select("objection_type", "date", "conv_order", "chat_id"), "objection_type", [F.col("date"), F.col("conv_order")], "_slot").select("objection_type", "_slot", F.col("chat_id").alias("_lost"))
+    pool = numbered_within(lost.select("objection_type", "date", "conv_order", "chat_id"), "objection_type", ["date", "conv_order"], "_slot").select("objection_type", "_slot", F.col("chat_id").alias("_lost"))
     sizes = pool.groupBy("objection_type").agg(F.count(F.lit(1)).alias("_p"))
     slim = turnarounds.select("chat_id", "objection_type", "conv_order")
-    rows = numbered_within(slim, "objection_type", [F.col("conv_order")], "_k").join(sizes, "objection_type", "left").withColumn("_p", F.coalesce("_p", F.lit(0)))
+    rows = numbered_within(slim, "objection_type", ["conv_order"], "_k").join(sizes, "objection_type", "left").withColumn("_p", F.coalesce("_p", F.lit(0)))
     i = F.col("_k") * 2
     slots = (
         F.when(F.col("_p") == 0, F.array().cast("array<bigint>"))
@@ -134,7 +134,7 @@ def deals(conversions: DataFrame, messages: DataFrame) -> tuple[DataFrame, DataF
     sizes = messages.groupBy("chat_id").agg(F.count(F.lit(1)).alias("n"), F.min_by("phone", "pos").alias("phone"))
     at = messages.select("chat_id", F.col("pos").alias("first_objection_idx"), "ts_ms", F.col("text").alias("customer_message"))
     rows = conversions.drop("phone", "n", "ts_ms").withColumn("first_objection_idx", F.col("first_objection_idx").cast("long")).join(sizes, "chat_id").join(at, ["chat_id", "first_objection_idx"])
-    rows = rows.withColumns({"date": utc_date(F.col("ts_ms")), "objection_type": F.col("first_objection_type")})
+    rows = saved(rows.withColumns({"date": utc_date(F.col("ts_ms")), "objection_type": F.col("first_objection_type")}), "deals")
     won, lost = rows.filter(is_turnaround()), rows.filter(is_lost_deal())
     reply = messages.select("chat_id", F.col("pos").alias("resolution_idx"), F.col("text").alias("winning_reply"), F.col("msg_id").alias("winning_reply_msg_id"))
     won = won.drop("winning_reply_excerpt").withColumn("resolution_idx", F.col("resolution_idx").cast("long")).join(reply, ["chat_id", "resolution_idx"])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import saved
+from .scans import running
 
 
 def base_scan(message: DataFrame, chat: DataFrame, jid: DataFrame, from_ms: int | None = None, phones: list[str] | None = None) -> DataFrame:
@@ -69,8 +70,6 @@ def numbered(rows: DataFrame, order: list, name: str = "idx") -> DataFrame:
     return parts.join(F.broadcast(starts), "_p").withColumn(name, F.col("_s") + F.col("_i")).drop("_p", "_i", "_s")
 
 
-def numbered_within(rows: DataFrame, group: str, order: list, name: str) -> DataFrame:
-    """0-based row numbers inside each ``group``, without a task that holds a group."""
-    every = numbered(rows, [F.col(group), *order], "_idx")
-    first = every.groupBy(group).agg(F.min("_idx").alias("_first"))
-    return every.join(first, group).withColumn(name, F.col("_idx") - F.col("_first")).drop("_idx", "_first")
+def numbered_within(rows: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """0-based row numbers inside each ``group``; a large group is numbered in segments."""
+    return running(rows, group, order, sums={name: F.lit(1)}).withColumn(name, (F.col(name) - 1).cast("long"))

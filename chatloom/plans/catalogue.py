@@ -258,7 +258,7 @@ s as (select *, case when p = 0 then [] when p = 1 then [0] when 2 * k + 1 < p t
 x as (select s.chat_id, s.objection_type, i, pool.chat_id as lost_id from s, unnest(range(1, greatest(len(slots), 1) + 1)) as u(i) left join pool on pool.objection_type = s.objection_type and pool.s = slots[i])
 select chat_id, objection_type, coalesce(string_agg(lost_id::varchar, ',' order by i), '') as paired from x group by all""")
 def turnaround_pairing(spark: SparkSession, d: str) -> DataFrame:
-    rows = event_conversions(spark, d).withColumn("date", tx.utc_date(F.col("ts_ms")))
+    rows = saved(event_conversions(spark, d).withColumn("date", tx.utc_date(F.col("ts_ms"))), "conversions")
     out = conversion.paired(rows.filter(conversion.is_turnaround()), rows.filter(conversion.is_lost_deal()))
     return out.select("chat_id", "objection_type", F.array_join(F.transform("paired_lost_deals", lambda x: x.cast("string")), ",").alias("paired"))
 
@@ -275,16 +275,16 @@ select row_number() over (order by instance_count desc, least) - 1 as template_i
 
 @query(_TEMPLATE)
 def exact_dup_templates(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").filter("text is not null").select(F.col("doc_id").alias("load_idx"), F.col("doc_id").alias("msg_id"), F.col("doc_id").alias("ts_ms"), "text", F.col("text").alias("key"))
+    rows = table(spark, d, "documents").filter("text is not null").select(F.col("doc_id").alias("load_idx"), F.col("doc_id").alias("msg_id"), F.col("doc_id").alias("ts_ms"), "text", F.sha2("text", 256).alias("key"))
     out = templates.template_rows(rows, "key")
     return out.select("template_id", "canonical_text", "instance_count", "first_seen_ts", "last_seen_ts", F.array_join(F.transform("example_msg_ids", lambda x: x.cast("string")), ",").alias("examples"))
 
 
 @query("with g as (select text, count(*) as n, min(doc_id) as least from documents where text is not null group by text), t as (select text, row_number() over (order by n desc, least) - 1 as template_id from g) select doc_id as msg_id, template_id from documents join t using (text)")
 def template_map(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").filter("text is not null").select(F.col("doc_id").alias("load_idx"), F.col("doc_id").alias("msg_id"), F.col("doc_id").alias("ts_ms"), "text")
-    out = templates.template_rows(rows.withColumn("key", F.col("text")), "key")
-    return rows.join(out.select(F.col("key").alias("text"), "template_id"), "text").select("msg_id", "template_id")
+    rows = table(spark, d, "documents").filter("text is not null")
+    rows = rows.select(F.col("doc_id").alias("load_idx"), F.col("doc_id").alias("msg_id"), F.col("doc_id").alias("ts_ms"), "text", F.sha2("text", 256).alias("key"))
+    return rows.select("key", "msg_id").join(templates.template_rows(rows, "key").select("key", "template_id"), "key").select("msg_id", "template_id")
 
 
 #: Stars of four documents: an edge rule that covers all of them and leaves many components.

@@ -198,7 +198,7 @@ def test_prepare_and_draft(spark, made):
 
 def test_numbers_within_groups(spark):
     rows = spark.createDataFrame([(i % 3, i * 7 % 50, i) for i in range(50)], "g int, k long, id long")
-    got = relational.numbered_within(rows, "g", [F.col("k")], "n").collect()
+    got = relational.numbered_within(rows, "g", ["k"], "n").collect()
     for g in range(3):
         mine = sorted((r for r in got if r.g == g), key=lambda r: r.k)
         assert [r.n for r in mine] == list(range(len(mine)))
