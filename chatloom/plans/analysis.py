@@ -7,7 +7,7 @@ and hand small documents to people as JSON, Markdown and CSV.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from .. import domain
 from ..functions import prompts
 from ..functions import text as tx
-from ..functions.formats import chosen_numbers, json_cell, json_object, without_fence
+from ..functions.formats import chosen_numbers, json_object, without_fence
 from ..operators import clusters, conversion, enrichment, evaluation, ordered, relational, reporting, templates
-from ..sources import files, sqlite
+from ..sources import csv_file, files, sqlite
 from ..storage import saved
 from .runner import Runner, Stage
 
@@ -267,35 +267,29 @@ class Analysis:
         question = prompts.question({"DATA": payload})
         text = (self.write or (lambda _: _plain_report(payload)))(question)
         files.replace_text(self.settings.output / "report.md", reporting.repaired_headers(text, list(domain.SECTIONS)))
-        written = {name: files.write_csv_rows(self.settings.output / name, list(domain.CSV_COLUMNS[name]), rows) for name, rows in self.csv_rows().items()}
+        written = {name: csv_file.write(rows, self.settings.output / name, domain.CSV_COLUMNS[name]) for name, rows in self.csv_tables().items()}
         return {"rows": written}
 
-    def csv_rows(self) -> dict[str, Iterator[tuple]]:
-        """The rows of each CSV, in order, streamed from the cluster."""
+    def csv_tables(self) -> dict[str, DataFrame]:
+        """The rows of each CSV, in order."""
         labels = self.table("chat_labels")
 
-        def deals(name: str) -> Iterator[tuple]:
+        def deals(name: str) -> DataFrame:
             rows = self.table(name).join(labels, "phone", "left").orderBy("conv_order")
-            return (tuple(r) for r in rows.select("phone", "date", "objection_type", "customer_message", "winning_reply", "confirmation", F.coalesce("labels", F.lit(""))).toLocalIterator())
+            return rows.select("phone", "date", "objection_type", "customer_message", "winning_reply", "confirmation", F.coalesce("labels", F.lit("")).alias("labels"))
 
         found = self.table("clusters")
-        of_step = found.groupBy("step_id").agg(F.array_sort(F.collect_list(F.struct("rank", "medoid_text", "size", "example_msg_ids"))).alias("c"))
+        own = F.struct("step_id", "medoid_text", "size", "example_msg_ids")
+        of_step = found.groupBy("step_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", own.alias("c")))), lambda x: x["c"]).alias("clusters"))
         steps = self.table("per_step").join(of_step, "step_id", "left").orderBy("step_id")
-
-        def counts(values: list) -> str:
-            return json_cell([[v["value"], v["n"]] for v in values or []])
-
-        def step_row(r: Any) -> tuple:
-            own = [{"step_id": r["step_id"], "medoid_text": c["medoid_text"], "size": c["size"], "example_msg_ids": c["example_msg_ids"]} for c in r["c"] or []]
-            return (r["step_id"], r["on_script_count"], r["off_script_count"], counts(r["top_intents"]), counts(r["top_objections"]), json_cell(own))
-
+        none = {n: F.coalesce(n, F.from_json(F.lit("[]"), steps.schema[n].dataType)) for n in ("top_intents", "top_objections", "clusters")}
         scored = self.table("templates").join(self.table("score"), "template_id", "left").orderBy("template_id")
         return {
             "turnarounds.csv": deals("turnarounds"),
             "lost_deals.csv": deals("lost_deals"),
-            "per_step.csv": (step_row(r) for r in steps.toLocalIterator()),
-            "spa_templates_scored.csv": (tuple("" if v is None else v for v in r) for r in scored.select(*domain.CSV_COLUMNS["spa_templates_scored.csv"]).toLocalIterator()),
-            "off_script_clusters.csv": ((r["step_id"], r["medoid_text"], r["size"], json_cell(r["example_msg_ids"])) for r in found.filter(F.col("step_id") == domain.UNKNOWN).orderBy("rank").toLocalIterator()),
+            "per_step.csv": steps.withColumns(none).select("step_id", "on_script_count", "off_script_count", *none),
+            "spa_templates_scored.csv": scored.select(*domain.CSV_COLUMNS["spa_templates_scored.csv"]),
+            "off_script_clusters.csv": found.filter(F.col("step_id") == domain.UNKNOWN).orderBy("rank").select("step_id", "medoid_text", "size", "example_msg_ids"),
         }
 
     def sample_for_truth(self, path: str, counts: tuple[int, int, int] = (6, 8, 6)) -> list[int]:

@@ -8,7 +8,6 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterable
 from pathlib import Path
 from typing import Any
 
@@ -125,24 +124,6 @@ def write_json(path: str | Path, value: Any) -> None:
     replace_text(path, json.dumps(value, ensure_ascii=False, indent=2))
 
 
-def write_csv(path: str | Path, header: list[str], rows: list[tuple]) -> None:
-    write_csv_rows(path, header, rows)
-
-
-def write_csv_rows(path: str | Path, header: list[str], rows: Iterable[tuple]) -> int:
-    """A CSV of rows as they come, whole or not at all; the header is there without rows too. How many rows it has."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    part, n = path.with_name(f"{path.name}.{os.getpid()}.part"), 0
-    with part.open("w", encoding="utf-8", newline="") as f:
-        writer = csv.writer(f)
-        writer.writerow(header)
-        for n, row in enumerate(rows, 1):
-            writer.writerow(row)
-    os.replace(part, path)
-    return n
-
-
 def read_jsonl(spark: SparkSession, path: str, schema: str, missing_ok: bool = False) -> DataFrame:
     """Typed JSON lines; blank lines are skipped, ``{}`` is a row of nulls; a missing file may mean no rows."""
     if missing_ok and not Path(path).exists():

@@ -1,7 +1,14 @@
-"""SQLite tables as a Spark data source, read-only, split by row id."""
+"""SQLite tables as a Spark data source, read-only, split into parts of about as many rows.
+
+Splits follow the row id, or the first column of the primary key where a table has none. They are
+found by seeks alone: the range of numbers is halved again and again, each half narrowed to the
+numbers that are there, the widest first, so gaps go; what is left is cut at equal widths. The
+first and the last part are open, so no row is outside all parts, whatever its key is.
+"""
 
 from __future__ import annotations
 
+import heapq
 import sqlite3
 from collections.abc import Iterator
 
@@ -16,10 +23,53 @@ def _connect(path: str) -> sqlite3.Connection:
     return sqlite3.connect(f"file:{path}?mode=ro", uri=True)
 
 
+#: Ranges without large gaps that a part of the table is looked at in.
+RANGES = 64
+
+
 class _Rows(InputPartition):
-    def __init__(self, lo: int, hi: int) -> None:
-        super().__init__((lo, hi))
-        self.lo, self.hi = lo, hi
+    """Keys from ``lo`` and under ``hi``; None is open."""
+
+    def __init__(self, key: str | None, lo: int | None, hi: int | None) -> None:
+        super().__init__((key, lo, hi))
+        self.key, self.lo, self.hi = key, lo, hi
+
+
+def _key(c: sqlite3.Connection, table: str) -> str | None:
+    """What splits a table: its row id, or the first column of its primary key; None for views without either."""
+    try:
+        c.execute(f'select rowid from "{table}" limit 1')
+        return "rowid"
+    except sqlite3.OperationalError:
+        columns = c.execute(f'pragma table_info("{table}")').fetchall()
+        return next((f'"{x[1]}"' for x in columns if x[5] == 1), None)
+
+
+def _cuts(c: sqlite3.Connection, table: str, key: str, parts: int) -> list[int]:
+    """Up to ``parts - 1`` keys that cut the table's whole-number keys into parts of about as many."""
+
+    def inside(lo: int, hi: int) -> tuple[int, int] | None:
+        """The least and the greatest key of a range, by two seeks."""
+        ends = [c.execute(f'select {key} from "{table}" where {key} between ? and ? order by {key} {way} limit 1', (lo, hi)).fetchone() for way in ("asc", "desc")]
+        return (int(ends[0][0]), int(ends[1][0])) if ends[0] else None
+
+    whole = inside(-(2**63), 2**63 - 1)
+    if whole is None:
+        return []
+    heap = [(whole[0] - whole[1], *whole)]
+    while len(heap) < RANGES * parts and heap[0][0]:
+        _, lo, hi = heapq.heappop(heap)
+        middle = (lo + hi) // 2
+        for found in (inside(lo, middle), inside(middle + 1, hi)):
+            if found:
+                heapq.heappush(heap, (found[0] - found[1], *found))
+    ranges = sorted((lo, hi) for _, lo, hi in heap)
+    total, cuts, before = sum(hi - lo + 1 for lo, hi in ranges), [], 0
+    for lo, hi in ranges:
+        while len(cuts) < parts - 1 and (at := (len(cuts) + 1) * total // parts) < before + hi - lo + 1:
+            cuts.append(lo + at - before)
+        before += hi - lo + 1
+    return sorted(set(cuts) - {whole[0]})
 
 
 class _Reader(DataSourceReader):
@@ -51,18 +101,17 @@ class _Reader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         with _connect(self.path) as c:
-            lo, hi = c.execute(f'select min(rowid), max(rowid) from "{self.table}"').fetchone()
-        if lo is None:
-            return [_Rows(0, 0)]
-        step = -(-(hi - lo + 1) // self.parts)
-        return [_Rows(a, min(a + step, hi + 1)) for a in range(lo, hi + 1, step)]
+            key = _key(c, self.table)
+            cuts = _cuts(c, self.table, key, self.parts) if key else []
+        return [_Rows(key, lo, hi) for lo, hi in zip([None, *cuts], [*cuts, None], strict=True)]
 
     def read(self, partition: _Rows) -> Iterator[tuple]:
         columns = ", ".join(f'"{n}"' for n in self.names)
+        ends = [(f"{partition.key} {sign} ?", end) for sign, end in ((">=", partition.lo), ("<", partition.hi)) if end is not None]
         c = _connect(self.path)
         try:
-            where = " and ".join(["rowid >= ?", "rowid < ?", *self.where])
-            yield from c.execute(f'select {columns} from "{self.table}" where {where}', (partition.lo, partition.hi, *self.values))
+            where = " and ".join([*(w for w, _ in ends), *self.where]) or "true"
+            yield from c.execute(f'select {columns} from "{self.table}" where {where}', (*(end for _, end in ends), *self.values))
         finally:
             c.close()
 

@@ -113,8 +113,6 @@ def test_files(tmp_path):
     with pytest.raises(ValueError):
         files.phone_list(p)
     assert files.user_date("20.04.2026") == "2026-04-20" and files.iso_ms("1970-01-02") == 86_400_000
-    files.write_csv(tmp_path / "a.csv", ["a", "b"], [('x"y', None)])
-    assert (tmp_path / "a.csv").read_bytes() == b'a,b\r\n"x""y",\r\n'
 
 
 def test_runner(tmp_path):
