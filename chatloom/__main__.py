@@ -21,8 +21,9 @@ def named(name: str) -> Callable[[str, str], str]:
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="chatloom", description=__doc__)
-    for name in ("db", "script", "folder"):
+    for name in ("db", "script"):
         p.add_argument(f"--{name}", type=Path, required=True)
+    p.add_argument("--folder", required=True, help="where tables, report and manifests go; any path that Spark reaches")
     for name in ("config", "labels", "phones"):
         p.add_argument(f"--{name}", type=Path)
     p.add_argument("--chat-limit", type=int)
@@ -33,8 +34,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--force", action="store_true", help="run stages again whose inputs are as they were")
     p.add_argument("--restart", action="store_true", help="forget all stages first")
     p.add_argument("--dry-run", action="store_true", help="only say which stages would run")
-    p.add_argument("--data", type=Path, help="folder of tables (FOLDER/data)")
-    p.add_argument("--output", type=Path, help="folder of the report and its tables (FOLDER/output)")
+    p.add_argument("--data", help="folder of tables (FOLDER/data)")
+    p.add_argument("--output", help="folder of the report and its tables (FOLDER/output)")
     p.add_argument("--prompts", type=Path, help="folder of instructions, one file a task")
     p.add_argument("--ask", action="append", type=named, default=[], metavar="MODULE:FUNCTION", help="what answers questions; further ones are asked when those before fail")
     p.add_argument("--vocabulary", type=Path, help="vocabulary file that counts the tokens of transcripts")

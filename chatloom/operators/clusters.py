@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -235,6 +235,96 @@ def embedded(texts: DataFrame, key: str, dims: int = DIMS) -> DataFrame:
     return texts.select(key, vectors("text").alias("vector"))
 
 
+#: Hashed features of a text, dimensions that are learned, and rounds that sharpen them.
+FEATURES, LEARNED_DIMS, ROUNDS, GRAMS = 1 << 12, 64, 2, (3, 5)
+
+
+def _features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, hashed feature and logarithmic count of the words' character n-grams of each text, words set off by blanks."""
+    low = [f" {' '.join((t or '').lower().split())} " if (t or "").strip() else "" for t in texts]
+    code = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    row = np.repeat(np.arange(len(low)), [len(t) for t in low])
+    found = []
+    with np.errstate(over="ignore"):
+        h = np.zeros(len(code), dtype=np.uint64)
+        for n in range(1, GRAMS[1] + 1):
+            m = len(code) - n + 1
+            if m <= 0:
+                break
+            h = h[:m] * np.uint64(0x100000001B3) + code[n - 1 :] + np.uint64(n)
+            if n >= GRAMS[0]:
+                inside = row[:m] == row[n - 1 :]
+                mixed = (h[inside] ^ (h[inside] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                found.append(row[:m][inside] * FEATURES + (mixed >> np.uint64(52)).astype(np.int64))
+    keys, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
+    return keys // FEATURES, keys % FEATURES, 1 + np.log(n)
+
+
+def learned_embedder(corpus: DataFrame, dims: int = LEARNED_DIMS, rounds: int = ROUNDS, seed: int = 7) -> Callable[[DataFrame, str], DataFrame]:
+    """An embedder as ``embedded``, learned from ``corpus(text)``: TF-IDF n-grams on their main directions.
+
+    The directions are those of a randomised singular value decomposition: each round every task
+    sums, over its texts, the products of a text's features and its present place, and the sum is made
+    orthogonal again. So texts whose words stand together elsewhere come near each other even if
+    they share none. The driver holds ``FEATURES`` x ``dims`` numbers at any size of the corpus.
+    """
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        df, n = np.zeros(FEATURES, dtype=np.int64), 0
+        for batch in batches:
+            df += np.bincount(_features(batch["text"].tolist())[1], minlength=FEATURES)
+            n += len(batch)
+        yield pd.DataFrame({"feature": np.append(np.arange(FEATURES), -1), "n": np.append(df, n)})
+
+    texts = corpus.select("text")
+    counts = {r["feature"]: r["n"] for r in texts.mapInPandas(counted, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()}
+    n = counts.pop(-1, 0)
+    idf = np.log((1 + n) / (1 + np.array([counts.get(i, 0) for i in range(FEATURES)]))) + 1
+
+    def placed(texts_: list[str | None], basis: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rows, features and weights of texts of length one, and each text's place."""
+        row, feature, count = _features(texts_)
+        weight = count * idf[feature]
+        size = np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(texts_)))
+        weight = weight / size[row]
+        place = np.zeros((len(texts_), basis.shape[1]))
+        for k in range(basis.shape[1]):
+            place[:, k] = np.bincount(row, weights=weight * basis[feature, k], minlength=len(texts_))
+        return row, feature, weight, place
+
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(FEATURES, dims)))[0]
+    for k in range(rounds + 1):
+
+        def summed(batches: Iterator[pd.DataFrame], basis: np.ndarray = basis) -> Iterator[pd.DataFrame]:
+            total = np.zeros_like(basis)
+            for batch in batches:
+                row, feature, weight, place = placed(batch["text"].tolist(), basis)
+                for k in range(basis.shape[1]):
+                    total[:, k] += np.bincount(feature, weights=weight * place[row, k], minlength=FEATURES)
+            yield pd.DataFrame({"feature": np.arange(FEATURES), "v": list(total)})
+
+        sums = texts.mapInPandas(summed, "feature long, v array<double>").groupBy("feature").agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v")).collect()
+        total = np.zeros_like(basis)
+        for r in sums:
+            total[r["feature"]] = r["v"]
+        if k < rounds:
+            basis = np.linalg.qr(total)[0]
+    # Directions by how much of the corpus lies along them: what often stands together counts most.
+    strength, turn = np.linalg.eigh(basis.T @ total)
+    basis = basis @ turn * np.sqrt(np.maximum(strength, 0))
+
+    def embed(asked: DataFrame, key: str) -> DataFrame:
+        @F.pandas_udf("array<float>")
+        def vectors(batch: pd.Series) -> pd.Series:
+            place = placed(batch.tolist(), basis)[3]
+            size = np.linalg.norm(place, axis=1, keepdims=True)
+            return pd.Series(list((place / np.where(size == 0, 1, size)).astype(np.float32)))
+
+        return asked.select(key, vectors("text").alias("vector"))
+
+    return embed
+
+
 def summaries(clustered: DataFrame, vectors: DataFrame, texts: DataFrame, group: str, key: str, vector: str) -> DataFrame:
     """``group, cluster, medoid_text, size, example_msg_ids, rank`` of each cluster, without noise.
 

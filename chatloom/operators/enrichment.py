@@ -18,7 +18,7 @@ from .. import domain
 from ..functions.formats import json_object
 from ..functions.prompts import question
 from ..functions.text import AGENT, CUSTOMER, tokens_of
-from ..storage import delete, exists, qualified, saved
+from ..storage import arrow_url, delete, exists, saved
 
 
 class Provider(Protocol):
@@ -166,8 +166,7 @@ class Journal:
     @staticmethod
     def beside(spark: SparkSession, path: str) -> Journal | None:
         """The journal of the table at ``path``; None where only Spark reaches the file system, and a wave is the least that is kept."""
-        url = qualified(spark, f"{path}-journal")
-        journal = Journal("file://" + url.removeprefix("file:").removeprefix("//") if url.startswith("file:") else url)
+        journal = Journal(arrow_url(spark, f"{path}-journal"))
         try:
             journal._folder()
         except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):

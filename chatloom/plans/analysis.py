@@ -21,7 +21,7 @@ from ..functions import text as tx
 from ..functions.formats import chosen_numbers, json_object, without_fence
 from ..operators import clusters, conversion, enrichment, evaluation, ordered, relational, reporting, templates
 from ..sources import csv_file, files, sqlite
-from ..storage import saved
+from ..storage import Folder, saved
 from .runner import Runner, Stage
 
 #: Characters of a template that are scored, and templates or messages of a call.
@@ -40,39 +40,39 @@ class Settings:
 
     db: Path
     script: Path
-    folder: Path
+    folder: str | Path
     phones: tuple[str, ...] | None = None
     excluded_labels: tuple[str, ...] = ()
     from_date: str | None = None
     chat_limit: int | None = None
     budget: float | None = None
     prompts: Path | None = None
-    data_folder: Path | None = None
-    output_folder: Path | None = None
+    data_folder: str | Path | None = None
+    output_folder: str | Path | None = None
 
     def __post_init__(self) -> None:
         if self.phones is not None and self.chat_limit is not None:
             raise ValueError("a limit of chats and a list of phones exclude each other")
 
     @property
-    def data(self) -> Path:
-        return Path(self.data_folder or Path(self.folder) / "data")
+    def data(self) -> str:
+        return str(self.data_folder or f"{self.folder}/data").rstrip("/")
 
     @property
-    def output(self) -> Path:
-        return Path(self.output_folder or Path(self.folder) / "output")
+    def output(self) -> str:
+        return str(self.output_folder or f"{self.folder}/output").rstrip("/")
 
     def fingerprint(self) -> dict[str, Any]:
         inputs = [files.file_hash(self.db), files.file_hash(self.script), *self.excluded_labels, self.from_date or ""]
         return {"inputs": files.names_hash([f"{i}:{x}" for i, x in enumerate(inputs)]), "chat_limit": self.chat_limit, "phones": files.names_hash(list(self.phones)) if self.phones is not None else None}
 
     @staticmethod
-    def load(db: Path, script: Path, folder: Path, config: Path | None = None, phones: Path | None = None, labels: Path | None = None, **more: Any) -> Settings:
+    def load(db: Path, script: Path, folder: str | Path, config: Path | None = None, phones: Path | None = None, labels: Path | None = None, **more: Any) -> Settings:
         """Settings from files of phones, of labels to leave out and of the first day."""
         return Settings(
             Path(db),
             Path(script),
-            Path(folder),
+            folder,
             phones=tuple(files.phone_list(phones)) if phones else None,
             excluded_labels=tuple(files.line_list(labels)) if labels else (),
             from_date=files.configured_date(config) if config else None,
@@ -80,6 +80,20 @@ class Settings:
         )
 
 
+class Placed(Folder):
+    """A folder some of whose parts may be elsewhere."""
+
+    def __init__(self, spark: SparkSession, root: str | Path, parts: dict[str, str]) -> None:
+        super().__init__(spark, str(root))
+        self.parts = parts
+
+    def path(self, name: str) -> str:
+        for start, place in self.parts.items():
+            if name.startswith(start):
+                return f"{place}/{name.removeprefix(start)}"
+        return super().path(name)
+
+
 @dataclass
 class Analysis:
     """The stages over one export. ``providers`` answer by task; the script's own words are the default."""
@@ -87,7 +101,7 @@ class Analysis:
     spark: SparkSession
     settings: Settings
     providers: dict[str, enrichment.Provider] = field(default_factory=dict)
-    embedder: Callable[[DataFrame, str], DataFrame] = clusters.embedded
+    embedder: Callable[[DataFrame, str], DataFrame] | None = None
     tokens: Callable[[Column], Column] | None = None
     expand: Callable[[dict[str, Any]], dict[str, Any]] | None = None
     write: Callable[[str], str] | None = None
@@ -95,17 +109,29 @@ class Analysis:
     # Tables and small documents of the stages.
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(str(self.settings.data / name))
+        return self.spark.read.parquet(self.data.path(name))
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(str(self.settings.data / name))
+        df.write.mode("overwrite").parquet(self.data.path(name))
         return self.table(name)
 
     def _document(self, name: str) -> Any:
-        return files.tolerant_json(self.settings.data / name)
+        """A small document of the data; an empty one where it is missing or broken."""
+        try:
+            return json.loads(self.data.text(name) or "{}")
+        except ValueError:
+            return {}
+
+    @property
+    def data(self) -> Folder:
+        return Folder(self.spark, self.settings.data)
+
+    @property
+    def output(self) -> Folder:
+        return Folder(self.spark, self.settings.output)
 
     def script(self) -> dict[str, Any]:
-        return files.load_script(self.settings.script, self.settings.data / "script_extensions.yaml")
+        return files.with_extensions(files.load_script(self.settings.script), self.data.text("script_extensions.yaml"))
 
     def provider(self, task: str) -> enrichment.Provider:
         return self.providers.get(task) or enrichment.ScriptProvider(self.script(), task)
@@ -118,8 +144,8 @@ class Analysis:
         """
         content = F.sha2(F.to_json(F.struct(*[c for c in items.columns if c != key])), 256)
         items = saved(items.withColumn("item", content), f"{task}-items")
-        store, fields = self.settings.data / "records" / task, RECORDS[task] + ", item string"
-        known = saved(self.spark.read.schema(fields).parquet(str(store)) if store.exists() else self.spark.createDataFrame([], fields), f"{task}-known")
+        store, fields = f"records/{task}", RECORDS[task] + ", item string"
+        known = saved(self.spark.read.schema(fields).parquet(self.data.path(store)) if self.data.exists(store) else self.spark.createDataFrame([], fields), f"{task}-known")
         done = known.join(items.select(key, "item"), [key, "item"], "left_semi")
         done = saved(done if stub is None else done.filter(~F.coalesce(stub, F.lit(False))), f"{task}-done")
         left = relational.numbered(enrichment.pending(items, done, key), order).select("idx", *[c for c in items.columns if c != "item"])
@@ -127,7 +153,7 @@ class Analysis:
         provider = self.provider(task)
         usage = self._document("usage.json")
         calls = enrichment.enrich_cached(
-            left, provider, key, size, str(self.settings.data / "cache"), version=json.dumps(self.settings.fingerprint()), skip_errors=skip_errors, spend=lambda dollars: enrichment.guard(usage.get("cost", 0.0), dollars, self.settings.budget)
+            left, provider, key, size, self.data.path("cache"), version=json.dumps(self.settings.fingerprint()), skip_errors=skip_errors, spend=lambda dollars: enrichment.guard(usage.get("cost", 0.0), dollars, self.settings.budget)
         )
         found = enrichment.strict(enrichment.records(calls, RECORDS[task]), rules).join(items.select(key, "item"), key)
         found = saved(found, f"{task}-found")
@@ -136,7 +162,7 @@ class Analysis:
         use = {r["bucket"]: r.asDict() for r in enrichment.usage(calls, enrichment.prices(provider)).collect()}  # a row for each provider
         usage.setdefault("stages", {})[task] = use
         usage["cost"] = usage.get("cost", 0.0) + sum(u["cost"] for u in use.values())
-        files.write_json(self.settings.data / "usage.json", usage)
+        self.data.put("usage.json", json.dumps(usage, ensure_ascii=False, indent=2))
         return out
 
     # Stages.
@@ -163,9 +189,9 @@ class Analysis:
         names = links.join(labels.filter("type = 0").select("label_id", "label_name"), "label_id").join(jid.select(F.col("_id").alias("jid_row_id"), F.col("user").alias("phone")), "jid_row_id").join(phones, "phone", "left_semi")
         self._keep(relational.labels_per_key(names, "phone", "label_name"), "chat_labels")
         excluded = chat.filter("group_type = 0").join(barred, "jid_row_id", "left_semi").agg(F.count_distinct("_id").alias("n")).first()["n"]
-        files.write_jsonl(self.conversations(), str(s.data / "conversations.jsonl"), ["chat_id"])
+        files.write_jsonl(self.conversations(), self.data.path("conversations.jsonl"), ["chat_id"])
         summary = {"excluded_labels": list(s.excluded_labels), "excluded_chats_count": excluded, "kept_chats_count": kept.select("chat_id").distinct().count(), "from_date": s.from_date}
-        files.write_json(s.data / "stage1_summary.json", summary)
+        self.data.put("stage1_summary.json", json.dumps(summary, ensure_ascii=False, indent=2))
         present = labels.filter("type = 0").select(F.trim(F.coalesce("label_name", F.lit(""))).alias("name")).distinct()
         missing = self._missing(out_of, present, "name")
         unknown = self._missing(list(s.phones or ()), kept.select("phone").distinct(), "phone")
@@ -200,7 +226,7 @@ class Analysis:
     def extend(self, _: Any = None) -> dict[str, Any]:
         """The script's extensions: replies to objections, checked to cover each type once."""
         made = (self.expand or _plain_replies)(self.script())
-        files.write_yaml(self.settings.data / "script_extensions.yaml", files.checked_replies(made))
+        self.data.put("script_extensions.yaml", files.yaml_text(files.checked_replies(made)))
         return {"replies": len(made["objection_replies"])}
 
     def label(self, _: Any = None) -> dict[str, Any]:
@@ -237,8 +263,9 @@ class Analysis:
         return {"conversions": placed.count(), "turnarounds": self._keep(won, "turnarounds").count(), "lost_deals": self._keep(lost, "lost_deals").count()}
 
     def aggregate(self, _: Any = None) -> dict[str, Any]:
-        """Counts and clusters for each step of the script."""
-        steps, found = clusters.aggregations(self.table("labelled"), self.table("messages"), self.embedder)
+        """Counts and clusters for each step of the script; texts are embedded as all messages teach."""
+        embedder = self.embedder or clusters.learned_embedder(self.table("messages"))
+        steps, found = clusters.aggregations(self.table("labelled"), self.table("messages"), embedder)
         return {"steps": self._keep(steps, "per_step").count(), "clusters": self._keep(found, "clusters").count()}
 
     def payload(self) -> dict[str, Any]:
@@ -266,8 +293,8 @@ class Analysis:
         payload = self.payload()
         question = prompts.question({"DATA": payload})
         text = (self.write or (lambda _: _plain_report(payload)))(question)
-        files.replace_text(self.settings.output / "report.md", reporting.repaired_headers(text, list(domain.SECTIONS)))
-        written = {name: csv_file.write(rows, self.settings.output / name, domain.CSV_COLUMNS[name]) for name, rows in self.csv_tables().items()}
+        self.output.put("report.md", reporting.repaired_headers(text, list(domain.SECTIONS)))
+        written = {name: csv_file.write(rows, self.output.path(name), domain.CSV_COLUMNS[name]) for name, rows in self.csv_tables().items()}
         return {"rows": written}
 
     def csv_tables(self) -> dict[str, DataFrame]:
@@ -299,7 +326,7 @@ class Analysis:
         chosen = evaluation.stratified_sample(sizes, "n", "chat_id", counts).select("chat_id")
         rows = ordered.written_out(messages.join(F.broadcast(chosen), "chat_id")).orderBy("chat_id").collect()  # a few chats
         for r in rows:
-            files.replace_text(Path(path) / f"{r['chat_id']}.txt", r["chat"] + "\n")
+            Folder(self.spark, path).put(f"{r['chat_id']}.txt", r["chat"] + "\n")
         return [r["chat_id"] for r in rows]
 
     def judged(self, path: str, chat_id: int, outcome: str, notes: str = "") -> None:
@@ -317,7 +344,7 @@ class Analysis:
 
     def runner(self, tries: int = 1) -> Runner:
         """The stages with what each needs and leaves."""
-        d, o = f"{self.settings.data.absolute()}/", f"{self.settings.output.absolute()}/"
+        d, o = "data/", "output/"
         stages = [
             Stage(1, "load", self.load, [], [d + "messages", d + "chat_labels", d + "stage1_summary.json", d + "conversations.jsonl"]),
             Stage(2, "dedupe", self.dedupe, [d + "messages"], [d + "templates", d + "template_map"]),
@@ -328,7 +355,8 @@ class Analysis:
             Stage(7, "aggregate", self.aggregate, [d + "messages", d + "labelled"], [d + "per_step", d + "clusters"]),
             Stage(8, "report", self.report, [d + "templates", d + "score", d + "conversions", d + "turnarounds", d + "lost_deals", d + "per_step", d + "clusters", d + "chat_labels"], [o + "report.md", *(o + n for n in domain.CSV_COLUMNS)]),
         ]
-        return Runner(Path(self.settings.folder), stages, self.settings.fingerprint(), tries)
+        folder = Placed(self.spark, self.settings.folder, {d: self.settings.data, o: self.settings.output})
+        return Runner(folder, stages, self.settings.fingerprint(), tries)
 
 
 #: What a model is told besides the items of each task.

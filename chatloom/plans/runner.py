@@ -3,26 +3,17 @@
 from __future__ import annotations
 
 import json
-import shutil
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from pathlib import Path
 from typing import Any
 
-from ..sources.files import write_json
+from ..storage import Folder
 
 
 class MissingInput(RuntimeError):
     pass
 
 
-def remove(path: Path) -> None:
-    if path.is_dir():
-        shutil.rmtree(path)
-    else:
-        path.unlink(missing_ok=True)
-
-
 @dataclass
 class Stage:
     number: int
@@ -36,26 +27,26 @@ class Stage:
 class Runner:
     """Runs stages in a folder of its own; ``fingerprint`` stands for all inputs and settings."""
 
-    folder: Path
+    folder: Folder
     stages: list[Stage]
     fingerprint: dict[str, Any]
     tries: int = 1
 
-    def manifest(self, stage: Stage) -> Path:
-        return self.folder / f"stage{stage.number}.done"
+    def manifest(self, stage: Stage) -> str:
+        return f"stage{stage.number}.done"
 
     def valid(self, stage: Stage) -> bool:
         try:
-            return json.loads(self.manifest(stage).read_text())["fingerprint"] == self.fingerprint
-        except (OSError, ValueError, KeyError):
+            return json.loads(self.folder.text(self.manifest(stage)) or "{}")["fingerprint"] == self.fingerprint
+        except (ValueError, KeyError):
             return False
 
     def invalidate(self, stage: Stage) -> None:
         inputs = {n for s in self.stages for n in s.needs if s.number <= stage.number}
         for name in stage.outputs:
             if name not in inputs:
-                remove(self.folder / name)
-        self.manifest(stage).unlink(missing_ok=True)
+                self.folder.delete(name)
+        self.folder.delete(self.manifest(stage))
 
     def chosen(self, first: int = 1, last: int | None = None, force: bool = False, only: int | None = None) -> list[Stage]:
         """The stages that a run would do: those asked for that aren't done for these inputs."""
@@ -66,7 +57,7 @@ class Runner:
         out = {}
         for stage in self.chosen(first, last, force, only):
             self.invalidate(stage)
-            missing = [n for n in stage.needs if not (self.folder / n).exists()]
+            missing = [n for n in stage.needs if not self.folder.exists(n)]
             if missing:
                 raise MissingInput(f"stage {stage.number} ({stage.name}) needs {', '.join(missing)}; run the stages before it")
             for left in range(self.tries - 1, -1, -1):
@@ -76,7 +67,7 @@ class Runner:
                 except (OSError, TimeoutError):  # anything else, a spent budget above all, ends the run
                     if not left:
                         raise
-            write_json(self.manifest(stage), {"fingerprint": self.fingerprint, "outputs": stage.outputs, "result": result})
+            self.folder.put(self.manifest(stage), json.dumps({"fingerprint": self.fingerprint, "outputs": stage.outputs, "result": result}, ensure_ascii=False, indent=2))
             out[stage.number] = result
         return out
 
@@ -85,5 +76,5 @@ class Runner:
         for stage in self.stages:
             for name in stage.outputs:
                 if name not in keep:
-                    remove(self.folder / name)
-            self.manifest(stage).unlink(missing_ok=True)
+                    self.folder.delete(name)
+            self.folder.delete(self.manifest(stage))

@@ -65,9 +65,14 @@ def load_script(path: str | Path, extensions: str | Path | None = None) -> dict[
         raise ValueError(f"script lacks steps {missing} and objection types {unnamed}")
     for part, empty in (("services", []), ("price_grid", []), ("additionals", []), ("negotiation_rules", {}), ("promocoes", {})):
         script[part] = script.get(part) or empty
-    more = yaml.safe_load(Path(extensions).read_text(encoding="utf-8")) if extensions and Path(extensions).exists() else None
-    script["extensions"] = more or {}
-    return script
+    return with_extensions(script, Path(extensions).read_text(encoding="utf-8") if extensions and Path(extensions).exists() else None)
+
+
+def with_extensions(script: dict[str, Any], text: str | None) -> dict[str, Any]:
+    """A script and what a document adds to it, empty where there is none."""
+    import yaml
+
+    return {**script, "extensions": yaml.safe_load(text or "") or {}}
 
 
 def checked_replies(extensions: dict[str, Any]) -> dict[str, Any]:
@@ -78,11 +83,15 @@ def checked_replies(extensions: dict[str, Any]) -> dict[str, Any]:
     return extensions
 
 
-def write_yaml(path: str | Path, value: Any) -> None:
+def yaml_text(value: Any) -> str:
     """Key order and letters stay as they are."""
     import yaml
 
-    replace_text(path, yaml.safe_dump(value, allow_unicode=True, sort_keys=False))
+    return yaml.safe_dump(value, allow_unicode=True, sort_keys=False)
+
+
+def write_yaml(path: str | Path, value: Any) -> None:
+    replace_text(path, yaml_text(value))
 
 
 def configured_date(path: str | Path) -> str | None:

@@ -52,6 +52,50 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def arrow_url(spark: SparkSession, path: str) -> str:
+    """``path`` as tasks open it by Arrow, without the JVM."""
+    url = qualified(spark, path)
+    return "file://" + url.removeprefix("file:").removeprefix("//") if url.startswith("file:") else url
+
+
+class Folder:
+    """Small documents and whole tables under one path of any file system that Spark reaches."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, str(root).rstrip("/")
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def exists(self, name: str) -> bool:
+        return exists(self.spark, self.path(name))
+
+    def delete(self, name: str) -> None:
+        delete(self.spark, self.path(name))
+
+    def text(self, name: str) -> str | None:
+        where, files = _place(self.spark, self.path(name))
+        if not files.exists(where):
+            return None
+        stream = files.open(where)
+        try:
+            return bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+        finally:
+            stream.close()
+
+    def put(self, name: str, text: str) -> None:
+        """Write a document whole or not at all."""
+        part, files = _place(self.spark, self.path(f"{name}.{uuid.uuid4().hex}.part"))
+        stream = files.create(part)
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+        where, _ = _place(self.spark, self.path(name))
+        files.delete(where, False)
+        files.rename(part, where)
+
+
 def discard(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application, once its results are written."""
     delete(spark, shared_dir(spark))

@@ -112,6 +112,21 @@ def test_end_to_end(spark, made):
     assert a.runner().run() == {}
 
 
+def test_folders_by_url(spark, made):
+    """Tables, documents, calls and CSVs under a URL of a file system."""
+    s = Settings(made / "a.db", made / "script.yaml", f"file://{made}/far/away", excluded_labels=("Staff",))
+    Analysis(spark, s).runner().run()
+    far = made / "far" / "away"
+    assert len(list(far.glob("stage*.done"))) == 8 and (far / "output" / "per_step.csv").exists() and (far / "data" / "cache").is_dir()
+    assert Analysis(spark, s).runner().chosen() == [] and not list(far.rglob("*.part")) and not (made / "file:").exists()
+    assert not any(p.name.startswith(".") and p.suffix == ".part" for p in far.rglob("*"))
+    folder = storage.Folder(spark, f"file://{made}/docs")
+    assert folder.text("a/b.txt") is None
+    for text in ("é 💛", "", "again"):
+        folder.put("a/b.txt", text)
+        assert folder.text("a/b.txt") == text and (made / "docs/a/b.txt").read_text() == text
+
+
 def test_limits_and_phones(spark, made):
     assert Analysis(spark, settings(made, chat_limit=1)).load()["kept_chats_count"] == 1
     got = Analysis(spark, settings(made, phones=("5511000000003", "5599000000000"))).load()
@@ -291,8 +306,8 @@ def test_a_forced_stage_asks_for_nothing_known(spark, made):
     asked = (made / "log").read_text()
     runner = a.runner()
     runner.invalidate(runner.stages[4])
-    assert not (a.settings.data / "score").exists()
-    storage.delete(spark, str(a.settings.data / "cache"))
+    assert not a.data.exists("score")
+    a.data.delete("cache")
     assert a.score()["scored"] == a.table("templates").count() and (made / "log").read_text() == asked
 
 
@@ -307,7 +322,7 @@ def test_budget_and_stubs(spark, made):
     b.score()
     stub = storage.saved(b.table("records/score").withColumn("critique", F.when(F.col("template_id") == 0, domain.STUB_CRITIQUE).otherwise(F.col("critique"))).withColumn("warmth", F.lit(3)), "stub")
     b._keep(stub, "records/score")
-    storage.delete(spark, str(b.settings.data / "cache"))
+    b.data.delete("cache")
     assert b.score() == {"scored": n} and b.table("score").filter("template_id = 0").first().warmth == 4
 
 

@@ -122,3 +122,26 @@ def test_boruvka_on_edges(spark):
     got = clusters.least_tree(spark.createDataFrame(rows, "a long, b long, w double")).collect()
     assert sum(r.w for r in got) == want and len(got) == len(root) - len({find(i) for i in root})
     assert clusters.least_tree(spark.createDataFrame([], "a long, b long, w double")).count() == 0
+
+
+PRICE, PLACE = "quanto custa qual valor preço tabela", "onde fica endereço aonde rua qual"
+
+
+def test_learned_embeddings_bring_paraphrases_together(spark):
+    """Words of a topic stand together in the corpus; texts that share no word come near each other."""
+    rng = np.random.default_rng(9)
+    corpus = [" ".join(rng.choice(topic.split(), 3, replace=False)) + " por favor" * int(rng.integers(0, 2)) for topic in (PRICE, PLACE) for _ in range(300)] + ["", None]
+    df = spark.createDataFrame([(t,) for t in corpus], "text string").repartition(3)
+    texts = ["quanto custa?", "qual o valor?", "qual preço?", "onde fica?", "qual endereço?", "fica aonde?"]
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "", None, "quanto custa?"])], "id long, text string")
+    embed = clusters.learned_embedder(df, dims=4)
+    got = {r.id: np.array(r.vector) for r in embed(asked, "id").collect()}
+    again = {r.id: np.array(r.vector) for r in clusters.learned_embedder(df.repartition(5), dims=4)(asked, "id").collect()}
+    assert all(np.abs(got[i] - again[i]).max() < 1e-5 for i in got)
+    assert [round(float(np.linalg.norm(got[i])), 5) for i in range(9)] == [1.0] * 6 + [0.0, 0.0, 1.0] and (got[0] == got[8]).all()
+    near = [max(range(6), key=lambda j: -9 if j == i else got[i] @ got[j]) for i in range(6)]
+    assert all((i < 3) == (j < 3) for i, j in enumerate(near))
+    vectors = spark.createDataFrame([(0, i, got[i].tolist()) for i in range(6)], "g int, id long, v array<double>")
+    found = {r.id: r.cluster for r in clusters.density_clusters(vectors, "g", "id", "v", 3).collect()}
+    assert found[0] == found[1] == found[2] != found[3] == found[4] == found[5] and -1 not in found.values()
+    assert clusters.learned_embedder(df.limit(0))(asked, "id").count() == 9

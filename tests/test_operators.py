@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from chatloom import storage
 from chatloom.functions import text as tx
 from chatloom.functions.similarity import lcs_length, token_set_ratio
 from chatloom.operators import clusters, conversion, enrichment, ordered, reporting, templates
@@ -115,13 +116,13 @@ def test_files(tmp_path):
     assert files.user_date("20.04.2026") == "2026-04-20" and files.iso_ms("1970-01-02") == 86_400_000
 
 
-def test_runner(tmp_path):
+def test_runner(spark, tmp_path):
     calls = []
 
     def stage(n):
         return Stage(n, f"s{n}", lambda f: calls.append(n) or (tmp_path / f"o{n}").write_text("x") and {"n": n}, needs=[f"o{n - 1}"] if n > 1 else [], outputs=[f"o{n}"])
 
-    r = Runner(tmp_path, [stage(1), stage(2)], {"input": "a"})
+    r = Runner(storage.Folder(spark, tmp_path), [stage(1), stage(2)], {"input": "a"})
     with pytest.raises(MissingInput):
         r.run(only=2)
     r.run()
