@@ -432,3 +432,81 @@ def test_substrings_of_one_id_twice(spark):
         rows = spark.createDataFrame([(5, run + " a"), (5, run + " b"), (7, run + " c"), (9, run), (9, run + " d")], "doc_id long, text string").repartition(parts)
         got = sorted((r.doc_id, r.n_removed) for r in substrings.without_repeats(rows).collect())
         assert got == [(5, 0), (5, 0), (7, 25), (9, 25), (9, 25)]
+
+
+def test_pipeline_stages_plainly(spark, tmp_path):
+    """Each stage against a plain version of it on its own input: rejected, near, personal, mixed and packed documents."""
+    import corpus_pipeline
+    import public_tokenizers
+    import tokenizers
+
+    rng = np.random.default_rng(12)
+    words = [f"{a}{b}ka" for a in "bcdfghklm" for b in "aeiou"]
+    good = [" ".join(rng.choice(words, 60)) for _ in range(40)]
+    near = [" ".join([*t.split()[:59], "ending"]) for t in good[:6]]
+    private = [f"Waldemar wrote q@r.st and {' '.join(rng.choice(words, 30))}" for _ in range(4)] + [f"call +49 30 123456{i} {' '.join(rng.choice(words, 30))} Waldemar" for i in range(3)]
+    texts = good + near + good[:3] + private + ["short one", " ".join(rng.choice(words, 9000))]
+    bad = [" ".join(["NO!!"] * 30 + [f"Q{i}##"] * 9) for i in range(30)]
+    rows = [(i * 7 % 600, t, "aa", f"s{i % 3}", len(t)) for i, t in enumerate(texts + bad)]
+    spark.createDataFrame(rows, DOCS).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(r[0], int(r[1] not in bad), 0) for r in rows], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    docs, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        seen[name] = docs.collect()
+
+    assert {r.text for r in seen["quality"]} == set(texts)
+    # Near documents: all pairs, the smallest id of those that hang together.
+    sets = {r.doc_id: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for r in seen["quality"] if (w := r.text.lower().split())}
+    up = {i: i for i in sets}
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in itertools.combinations(sets, 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            up[max(top(a), top(b))] = min(top(a), top(b))
+    assert sorted(r.doc_id for r in seen["neardup"]) == sorted({top(i) for i in up}) and len(seen["neardup"]) < len(texts)
+    # Personal data: every span of every text, by its definition.
+    terms, want = naive_terms([r.text for r in seen["neardup"]]), {}
+    for r in seen["neardup"]:
+        base, free = naive_base(r.text), list(r.text)
+        for _, lo, hi, _ in base:
+            free[lo:hi] = " " * (hi - lo)
+        spans = [b[:3] for b in base] + [("term", m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{4,}", "".join(free)) if m[0].lower() in terms]
+        text, at = "", 0
+        for lo, end, kind in sorted((s, e, k) for k, s, e in spans):
+            if lo >= at:
+                word = r.text[lo:end]
+                text += r.text[at:lo] + (f"[{kind.upper()}]" if kind != "term" else re.sub("[a-z]", "x", re.sub("[A-Z]", "X", word)) if re.search("[A-Z]", word) else "")
+            at = max(at, end)
+        want[r.doc_id] = text + r.text[at:]
+    assert {r.doc_id: r.text for r in seen["pii"]} == want and all(r.n_chars == len(r.text) for r in seen["pii"]) and "[EMAIL]" in "".join(want.values())
+    # Mixing: whole rounds of a source's documents and the start of one more, nothing else.
+    given = {r.doc_id: tuple(r) for r in seen["pii"]}
+    times = collections.Counter(r.doc_id for r in seen["mix"])
+    assert all(tuple(r) == given[r.doc_id] for r in seen["mix"])
+    for source in ("s0", "s1", "s2"):
+        counts = {times[i] for i, r in given.items() if r[3] == source}
+        assert max(counts) - min(counts) <= 1 and max(counts) >= 1
+    # Packing: every token once, no sequence over its length, none that another could hold.
+    tokens = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    length = {r.doc_id: len(tokens.encode(r.text, add_special_tokens=False).ids) + 1 for r in seen["mix"]}
+    total, filled = collections.Counter(), collections.defaultdict(list)
+    for r in seen["pack"]:
+        total[r.doc_id] += r["length"]
+        filled[r.sequence_id].append((r.offset, r["length"]))
+    assert total == {i: n * times[i] for i, n in length.items()}
+    for places in filled.values():
+        at = 0
+        for offset, n in sorted(places):
+            assert offset == at
+            at += n
+        assert at <= 2048
+    left = sorted(2048 - sum(n for _, n in places) for places in filled.values())
+    assert all(2048 - x > y for x, y in itertools.combinations(left, 2)) or len(filled) <= -(-sum(total.values()) // 2048) + 1
