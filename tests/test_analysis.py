@@ -445,6 +445,18 @@ def test_sqlite_filters(spark, made):
     assert [r.label_name for r in source.label_catalogue(spark, str(made / "a.db")).collect()] == ["VIP", " Staff "]
 
 
+def test_command_line(spark, made, capsys):
+    from chatloom.__main__ import main
+
+    argv = ["--db", str(made / "a.db"), "--script", str(made / "script.yaml"), "--folder", str(made / "out")]
+    assert main([*argv, "--dry-run"]) == 0 and json.loads(capsys.readouterr().out) == ["load", "dedupe", "extend", "label", "score", "convert", "aggregate", "report"]
+    assert main([*argv, "--to", "2"]) == 0 and set(json.loads(capsys.readouterr().out)) == {"1", "2"}
+    assert main([*argv, "--to", "3", "--dry-run"]) == 0 and json.loads(capsys.readouterr().out) == ["extend"]
+    for wrong in (["--ask", "json:dumps"], ["--phones", "x", "--chat-limit", "1"]):
+        with pytest.raises(SystemExit):
+            main([*argv, *wrong])
+
+
 def test_restart(spark, made):
     a = Analysis(spark, settings(made))
     r = a.runner()
