@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chatloom.llm import fingerprints, language, mixing, neardup, packing, pii, quality, search, sharding, substrings
+from chatloom.llm import common, fingerprints, language, mixing, neardup, packing, pii, quality, search, sharding, substrings
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, quality int, _range int"
 VOCAB = [f"w{i}" for i in range(60)] + ["é", "ß💛"]
@@ -77,6 +77,14 @@ def test_fingerprints(docs, empty, rows):
     assert fingerprints.with_next(empty).count() == 0
 
 
+def test_many_ranges(spark):
+    """More than 500 ranges, which 1,000,000 documents make at the usual size of a range."""
+    docs = spark.range(1600).selectExpr("id * 3 as doc_id", "concat('text ', id) as text")
+    assert len(common.range_bounds(docs, "doc_id", 2)) > 700
+    got = {r.doc_id: r.next_text for r in fingerprints.with_next(docs, rows_per_range=2).collect()}
+    assert got == {i * 3: f"text {(i + 1) % 1600}" for i in range(1600)}
+
+
 def test_fingerprints_of_short_texts(spark):
     texts = [f"a{i} b c d e" for i in range(40)]
     df = spark.createDataFrame([(t, f"{t} f g h") for t in texts], "text string, longer string")
