@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chatloom import storage
 from chatloom.functions import text as tx
-from chatloom.functions.similarity import lcs_length, token_set_ratio
+from chatloom.functions.similarity import Rests, lcs_length, token_set_ratio
 from chatloom.operators import clusters, conversion, enrichment, ordered, reporting, templates
 from chatloom.plans.runner import MissingInput, Runner, Stage
 from chatloom.sources import files, sqlite
@@ -131,3 +131,22 @@ def test_runner(spark, tmp_path):
     r.fingerprint = {"input": "b"}
     r.run()
     assert calls == [1, 2, 1, 2]
+
+
+def test_rests_lose_no_pair_within_reach():
+    """Same letters, other words: counts of letters let nearly all pairs pass, their order few; near ones stay."""
+    rng = np.random.default_rng(3)
+    texts = [[f"{''.join(rng.choice(list('abcdefghij'), 6))}" for _ in range(40)] for _ in range(60)]
+    texts += [[w[:-1] if k % 3 else w for k, w in enumerate(t)] for t in texts[:20]] + [t[:34] + u[34:] for t, u in zip(texts[:20], texts[20:40], strict=True)]
+    texts = [sorted(set(t)) for t in texts]
+    size = np.array([len(" ".join(t)) for t in texts])
+    rests, left = Rests(texts), 0
+    for i in range(len(texts)):
+        others = np.array([j for j in range(len(texts)) if j != i])
+        most = 0.125 * (size[others] + size[i])
+        found = set(rests.within(i, others, most).tolist())
+        left += len(found)
+        for j, m in zip(others.tolist(), most.tolist(), strict=True):
+            one, other = (" ".join(sorted(set(texts[p]) - set(texts[q]))) for p, q in ((i, j), (j, i)))
+            assert len(one) + len(other) - 2 * lcs_length(one, other) > m or j in found
+    assert 40 <= left < len(texts) * len(texts) / 10
