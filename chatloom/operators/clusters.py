@@ -23,6 +23,8 @@ from .templates import top_values
 
 #: Dimensions of an embedded text, and vectors of a block that is compared at once.
 DIMS, BLOCK = 384, 2048
+#: Blocks that a group has while they are smaller than ``BLOCK``.
+FEW_BLOCKS = 16
 
 
 def medoids(vectors: DataFrame, group: str, key: str, vector: str) -> DataFrame:
@@ -43,7 +45,8 @@ def _distances(vectors: pd.Series) -> np.ndarray:
     x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
     size = np.linalg.norm(x, axis=1)
     u = x / np.where(size == 0, 1, size)[:, None]
-    return np.round(np.maximum(1 - u @ u.T, 0), 9)
+    d = u @ u.T
+    return np.round(np.maximum(np.subtract(1, d, out=d), 0, out=d), 9, out=d)
 
 
 def _tree(d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,7 +68,10 @@ def _blocks(rows: DataFrame, group: str, key: str, block: int) -> DataFrame:
 
     Groups of one block meet in it; of more, only different blocks meet, which holds the pairs inside a block too.
     """
-    sizes = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_k")).withColumnRenamed(group, "_of")
+    # A row is copied once a block: blocks grow with the group, up to what one task may hold.
+    n = F.count(F.lit(1))
+    size = F.greatest(F.lit(block), F.least(F.ceil(n / FEW_BLOCKS), F.lit(BLOCK)))
+    sizes = rows.groupBy(group).agg(F.ceil(n / size).cast("int").alias("_k")).withColumnRenamed(group, "_of")
     placed = rows.join(sizes, F.col(group).eqNullSafe(F.col("_of"))).withColumn("_b", F.pmod(F.xxhash64(key), F.col("_k")).cast("int"))
     other = F.filter(F.sequence(F.lit(0), F.col("_k") - 1), lambda o: (o != F.col("_b")) | (F.col("_k") == 1))
     met = placed.withColumn("_o", F.explode(other))

@@ -145,3 +145,12 @@ def test_learned_embeddings_bring_paraphrases_together(spark):
     found = {r.id: r.cluster for r in clusters.density_clusters(vectors, "g", "id", "v", 3).collect()}
     assert found[0] == found[1] == found[2] != found[3] == found[4] == found[5] and -1 not in found.values()
     assert clusters.learned_embedder(df.limit(0))(asked, "id").count() == 9
+
+
+def test_blocks_grow_with_their_group(spark):
+    """A row is copied once a block: of 3,000 rows two groups in blocks of 32, that would be 46 copies."""
+    rows = spark.range(3000).selectExpr("id % 2 as g", "id")
+    dealt = clusters._blocks(rows, "g", "id", 32)
+    assert dealt.count() <= 3000 * clusters.FEW_BLOCKS
+    pairs = dealt.alias("p").join(dealt.alias("q"), ["g", "_x", "_y"]).filter("p.id < q.id").select("p.id", "q.id").distinct()
+    assert pairs.count() == 2 * 1500 * 1499 // 2
