@@ -150,3 +150,36 @@ def test_rests_lose_no_pair_within_reach():
             one, other = (" ".join(sorted(set(texts[p]) - set(texts[q]))) for p, q in ((i, j), (j, i)))
             assert len(one) + len(other) - 2 * lcs_length(one, other) > m or j in found
     assert 40 <= left < len(texts) * len(texts) / 10
+
+
+def _rows_shuffled(spark):
+    store = spark._jsc.sc().statusStore()
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    seq = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+    return sum(seq.apply(i).shuffleWriteRecords() for i in range(seq.size()))
+
+
+def test_links_by_words_pass_candidates_to_no_shuffle(spark, monkeypatch):
+    """Texts of few words, all common, are nearly all candidates of each other, and few are links."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(["ab", *(f"w{k}" for k in rng.choice(24, 8, replace=False))])) for i in range(1000)]
+    rows += [(1000 + i, norm + " und") for i, (_, norm) in enumerate(rows[:20])]
+    # Words of one text alone are shared by none, but are part of it.
+    rows += [(2000, "ab alone w1"), (2001, "ab alonely w1"), (2002, "ab"), (2003, "nobody else"), (2004, "a"), (2005, "w1 w2 w3 w4 w5 w6 w7"), (2006, "w1 w2 w3 w4 w5 w6 w7 abcdef"), (2007, "w1 w2 w3 w4 w5 w6 w7 w8 w9")]
+    monkeypatch.setattr(templates, "BLOCK", 100)
+    monkeypatch.setattr(templates, "WORD_BLOCKS", 3)
+    monkeypatch.setattr(templates, "CANDIDATES", 50)
+    df = storage.saved(templates.worded(spark.createDataFrame(rows, "id long, norm string")), "words")
+
+    def score(a, b):
+        x, y = set(a.split()), set(b.split())
+        both, (la, lb) = x & y, (len(" ".join(sorted(s))) for s in (x, y))
+        c = len(" ".join(sorted(both)))
+        return 0 if not both else 100.0 if both in (x, y) else max(200 * c / (c + la), 200 * c / (c + lb))
+
+    before = _rows_shuffled(spark)
+    got = [(r.a, r.b, r.score) for r in templates.links_by_words(df, 87.5).collect()]
+    dealt = _rows_shuffled(spark) - before
+    want = [(a, b, score(s, t)) for k, (a, s) in enumerate(rows) for b, t in rows[k + 1 :] if score(s, t) >= 87.5]
+    assert sorted(got) == sorted(want) and len(want) > 1000
+    assert dealt < 60 * len(rows), dealt
