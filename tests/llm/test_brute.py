@@ -265,6 +265,27 @@ def test_op4_skips_blocks():
     assert len(doc) == 5 and all("rare" in texts[d] for d in doc) and index.skipped > 0.5 * index.blocks
 
 
+def test_op4_deals_each_part_of_a_shard_to_its_own_task(spark):
+    rows = spark.range(12 * 2 * 3).select((F.col("id") % 12 + 12).cast("int").alias("shard"), (F.col("id") / 12 % 2).cast("int").alias("part"), F.lit(0).alias("kind"), "id")
+    dealt = search._tasks(rows, 12, 24, 2).groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("shard", "part").alias("n")).collect()
+    assert len(dealt) == 24 and {r.n for r in dealt} == {1}
+
+
+def test_op4_finds_terms_and_sums_their_postings():
+    """Queries that share steps, with terms that no document has or without any, rank as one by one."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice([f"c{i}" for i in range(400)], 30)) for _ in range(700)]
+    index, asked = search.Index(texts, 30.0), []
+    for text in (*texts[:5], "nowhere c1 c2", "nowhere", "c3"):
+        term, count = search._terms([text])[1:]
+        asked.append((index.find(term), count * 1.5))
+    for (doc, score), one in zip(index.top_many(asked, 7), asked, strict=True):
+        alone = index.top_many([one], 7)[0]
+        assert doc.tolist() == alone[0].tolist() and score.tolist() == alone[1].tolist()
+        assert len(doc) == (0 if (one[0] < 0).all() else 7)
+    assert search.Index([], 1.0).find(np.array([1, 2])).tolist() == [-1, -1]
+
+
 def test_samples_are_bounded_rows_of_one_id(spark, monkeypatch):
     """20,000 texts of one id, each twice, bring no more rows to the driver than a sample holds."""
     brought, one = [], next(i for i in range(99) if zlib.crc32(str(i).encode()) % 4 != 2 and zlib.crc32(str(i).encode()) % 3 != 1)
