@@ -183,3 +183,20 @@ def test_links_by_words_pass_candidates_to_no_shuffle(spark, monkeypatch):
     want = [(a, b, score(s, t)) for k, (a, s) in enumerate(rows) for b, t in rows[k + 1 :] if score(s, t) >= 87.5]
     assert sorted(got) == sorted(want) and len(want) > 1000
     assert dealt < 60 * len(rows), dealt
+
+
+def test_blocks_of_texts_meet_without_copies(spark, monkeypatch):
+    """Many small blocks: each text is dealt a few times, not once for each block that it meets."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(sorted({f"w{k}x" for k in rng.choice(300, 6, replace=False)}))) for i in range(200)]
+    rows += [(200 + i, norm.replace("x", "", 1)) for i, (_, norm) in enumerate(rows[:40])]
+    monkeypatch.setattr(templates, "BLOCK", 20)
+    monkeypatch.setattr(templates, "WORD_BLOCK", 20)
+    df = storage.saved(templates.worded(spark.createDataFrame(rows, "id long, norm string")), "texts")
+    want = {(a, b) for k, (a, s) in enumerate(rows) for b, t in rows[k + 1 :] if token_set_ratio(s, t) >= 87.5}
+    for links, most in ((templates._by_letters, 4), (templates.links_by_words, 12)):
+        before = _rows_shuffled(spark)
+        got = [(r.a, r.b) for r in links(df, 87.5).collect()]
+        dealt = _rows_shuffled(spark) - before
+        assert len(got) == len(set(got)) and set(got) <= want and dealt < most * len(rows), dealt
+        assert links is templates.links_by_words or set(got) == want and len(want) >= 40
