@@ -535,3 +535,15 @@ def test_pipeline_stages_plainly(spark, tmp_path):
         assert at <= 2048
     left = sorted(2048 - sum(n for _, n in places) for places in filled.values())
     assert all(2048 - x > y for x, y in itertools.combinations(left, 2)) or len(filled) <= -(-sum(total.values()) // 2048) + 1
+
+
+def test_op4_postings_come_with_their_parts():
+    """A term's postings are its documents, and their parts of BM25 times the term's value."""
+    texts = ["ab cd", None, "cd cd ef gh", "", "ef"] * 3
+    index, mean = search.Index(texts, 2.0), 2.0
+    for word in ("ab", "cd", "ef"):
+        _, term, _ = search._terms([word])
+        doc, value = index._postings(index.find(term), np.array([3.0]))
+        said = {i: t.split() for i, t in enumerate(texts) if t and word in t.split()}
+        want = {i: np.float32(t.count(word) * 2.2 / (t.count(word) + 1.2 * (0.25 + 0.75 * len(t) / mean))) * 3.0 for i, t in said.items()}
+        assert dict(zip(index.own[doc].tolist(), value.tolist(), strict=True)) == pytest.approx(want, rel=1e-6)
